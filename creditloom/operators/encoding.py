@@ -7,9 +7,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditloom.functions.naming import value_columns
-from creditloom.functions.quantiles import SKETCH_ACCURACY, exact_quantiles
+from creditloom.functions.quantiles import SKETCH_ACCURACY, distinct_estimate, exact_quantiles
 from creditloom.functions.rowexpr import flag
 from creditloom.operators.cleaning import numeric_columns, string_columns
 from creditloom.operators.shaping import to_long
@@ -26,13 +27,14 @@ class Caps:
 
     bounds: dict[str, float] = field(default_factory=dict)
 
-    def capped(self, name: str, value: Column | None = None) -> Column:
+    def capped(self, name: str, value: Column | None = None, dtype: T.DataType = T.DoubleType()) -> Column:
         c = F.col(name) if value is None else value
         bound = self.bounds.get(name)
         if bound is None:
             return c
         # least() alone would turn a null into the bound
-        return F.when(c > F.lit(bound), F.lit(bound)).otherwise(c.cast("double"))
+        limit = F.lit(bound).cast(dtype)
+        return F.when(c > limit, limit).otherwise(c)
 
 
 def fit_caps(df: DataFrame, probs: Mapping[str, float | tuple[Column, float]], method: str = "approx",
@@ -56,7 +58,7 @@ def fit_caps(df: DataFrame, probs: Mapping[str, float | tuple[Column, float]], m
 
 
 def apply_caps(df: DataFrame, caps: Caps, suffix: str = "_cap") -> DataFrame:
-    return df.withColumns({f"{c}{suffix}": caps.capped(c) for c in caps.bounds})
+    return df.withColumns({f"{c}{suffix}": caps.capped(c, dtype=df.schema[c].dataType) for c in caps.bounds})
 
 
 def fit_values(df: DataFrame, cols: Sequence[str], limit: int = MAX_VALUES_PER_COLUMN) -> dict[str, list[str]]:
@@ -219,7 +221,7 @@ def fit_encoder(df: DataFrame, max_ohe: int = 12, exclude: Iterable[str] = ("sk_
     if not cols:
         return EncoderModel(OneHotModel({}, {}), (), {})
     row = df.agg(
-        *[F.approx_count_distinct(F.col(c), 0.02).alias(f"d{i}") for i, c in enumerate(cols)],
+        *[distinct_estimate(c).alias(f"d{i}") for i, c in enumerate(cols)],
         *[F.count_if(F.col(c).isNull()).alias(f"z{i}") for i, c in enumerate(cols)],
     ).first()
     estimate = {c: row[f"d{i}"] for i, c in enumerate(cols)}

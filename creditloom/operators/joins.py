@@ -14,7 +14,11 @@ MAX_HOT_KEYS = 1_000
 
 def attach(base: DataFrame, agg: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Left join of one aggregate that is unique on the key(s)."""
-    return base.join(agg, [key] if isinstance(key, str) else list(key), "left")
+    keys = [key] if isinstance(key, str) else list(key)
+    clash = sorted((set(base.columns) & set(agg.columns)) - set(keys))
+    if clash:
+        raise ValueError(f"both sides have: {clash}")
+    return base.join(agg, keys, "left")
 
 
 def unique_by(df: DataFrame, key: str) -> DataFrame:

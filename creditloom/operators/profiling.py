@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.functions.naming import business_role
-from creditloom.functions.quantiles import SKETCH_ACCURACY, exact_quantiles, q_approx, quantile_columns
+from creditloom.functions.quantiles import SKETCH_ACCURACY, distinct_estimate, exact_quantiles, q_approx, quantile_columns
 from creditloom.operators.cleaning import numeric_columns
 from creditloom.operators.entity import Metric, global_aggregate
 from creditloom.operators.shaping import share_of_total, stack_reports, to_long, top_k
@@ -247,7 +247,7 @@ def quick_profile(df: DataFrame, exact: bool = False, digits: int | None = 2) ->
         pct = F.try_divide(nulls * F.lit(100.0), F.count(F.lit(1)))
         out = {"type": F.lit(types[c]), "nulls": nulls}
         if not exact:
-            out["distinct_values"] = F.approx_count_distinct(F.col(c), 0.02)
+            out["distinct_values"] = distinct_estimate(c)
         return out | {
             "pct_nulls": F.round(pct, digits) if digits is not None else pct,
             "role": F.lit(business_role(c)),

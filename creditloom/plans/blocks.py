@@ -395,12 +395,8 @@ def _behaviour_rows(installments: DataFrame, null_safe: bool) -> DataFrame:
 
 
 def installment_behaviour(installments: DataFrame, null_safe: bool = False, accuracy: int = 10_000) -> DataFrame:
-    """Payment behaviour with median days past due and payment ratio.
-
-    Rows are combined per (client, loan) first, counts and sums stay additive
-    and distinct loans become a count of rows; only the two medians need the
-    single payments, in sketches of bounded size.
-    """
+    """Payment behaviour with median days past due and payment ratio; the
+    medians are sketches of bounded size."""
     dpd = F.col("_dpd")
     return entity_aggregate(
         _behaviour_rows(installments, null_safe),

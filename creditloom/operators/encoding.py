@@ -46,11 +46,9 @@ def fit_caps(df: DataFrame, probs: Mapping[str, float | tuple[Column, float]], m
     exprs = {n: (p if isinstance(p, tuple) else (F.col(n), p)) for n, p in probs.items()}
     if method == "exact":
         wide = df.select(*[e.alias(n) for n, (e, _) in exprs.items()])
-        bounds: dict[str, float] = {}
-        for q in sorted({q for _, q in exprs.values()}):
-            names = [n for n, (_, p) in exprs.items() if p == q]
-            bounds |= {r["variable"]: r["value"] for r in exact_quantiles(wide, names, [q]).collect()}
-        return Caps(bounds)
+        wanted = exact_quantiles(wide, list(exprs), sorted({q for _, q in exprs.values()}))
+        rows = wanted.collect()
+        return Caps({r["variable"]: r["value"] for r in rows if exprs[r["variable"]][1] == r["q"]})
     row = df.agg(
         *[F.percentile_approx(e, q, accuracy).alias(f"c{i}") for i, (e, q) in enumerate(exprs.values())]
     ).first()

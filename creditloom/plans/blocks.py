@@ -1,7 +1,8 @@
 """Feature blocks: each satellite table to one row per client.
 
 Absent input columns count as null. ``Rounding`` gives the decimals of averages
-and sums of amounts and of shares and ratios; ``None`` leaves them unrounded.
+(money), of shares and ratios (share) and of sums (total); ``None`` leaves them
+unrounded.
 Every block is one aggregation by client; conditions over the same rows share it.
 """
 
@@ -30,6 +31,7 @@ SEVERE_STATUSES = ("3", "4", "5")
 class Rounding:
     money: int | None = 4
     share: int | None = 6
+    total: int | None = 4
 
 
 DEFAULT = Rounding()
@@ -69,10 +71,10 @@ def bureau_features(bureau: DataFrame, r: Rounding = DEFAULT) -> DataFrame:
         count("bureau_active_credits", active),
         count("bureau_closed_credits", state == "closed"),
         count("bureau_bad_debt_credits", state.isin("bad debt", "bad_debt")),
-        Metric("bureau_total_credit_sum", "sum0", "amt_credit_sum", digits=r.money),
+        Metric("bureau_total_credit_sum", "sum0", "amt_credit_sum", digits=r.total),
         Metric("bureau_avg_credit_sum", "avg", "amt_credit_sum", digits=r.money),
-        Metric("bureau_total_debt", "sum0", "amt_credit_sum_debt", digits=r.money),
-        Metric("bureau_total_overdue", "sum0", "amt_credit_sum_overdue", digits=r.money),
+        Metric("bureau_total_debt", "sum0", "amt_credit_sum_debt", digits=r.total),
+        Metric("bureau_total_overdue", "sum0", "amt_credit_sum_overdue", digits=r.total),
         Metric("bureau_max_days_overdue", "max", F.coalesce("credit_day_overdue", F.lit(0))),
         Metric("bureau_avg_days_credit", "avg", "days_credit", digits=r.money),
         count("bureau_recent_credits_1y", recent),
@@ -88,7 +90,7 @@ def bureau_features(bureau: DataFrame, r: Rounding = DEFAULT) -> DataFrame:
     return entity_aggregate(ensure_columns(bureau, BUREAU_COLUMNS), KEY, metrics)
 
 
-def bureau_summary(bureau: DataFrame, digits: int | None = 2) -> DataFrame:
+def bureau_summary(bureau: DataFrame, digits: int | None = 2, total: int | None = 2) -> DataFrame:
     """Short exploratory variant: plain sums, statuses taken literally."""
     state = F.col("credit_active")
     return entity_aggregate(
@@ -100,8 +102,8 @@ def bureau_summary(bureau: DataFrame, digits: int | None = 2) -> DataFrame:
             count("bureau_closed_credits", state == "Closed"),
             count("bureau_bad_debt_credits", state == "Bad debt"),
             Metric("bureau_avg_credit_sum", "avg", "amt_credit_sum", digits=digits),
-            Metric("bureau_total_credit_sum", "sum", "amt_credit_sum", digits=digits),
-            Metric("bureau_total_debt", "sum", "amt_credit_sum_debt", digits=digits),
+            Metric("bureau_total_credit_sum", "sum", "amt_credit_sum", digits=total),
+            Metric("bureau_total_debt", "sum", "amt_credit_sum_debt", digits=total),
             Metric("bureau_max_days_overdue", "max", "credit_day_overdue"),
             Metric("bureau_avg_days_credit", "avg", "days_credit", digits=digits),
         ],
@@ -260,7 +262,7 @@ def previous_features(previous: DataFrame, r: Rounding = DEFAULT, tie: str = "sk
         Metric("prev_avg_amt_application", "avg", "amt_application", digits=r.money),
         Metric("prev_avg_amt_credit", "avg", "amt_credit", digits=r.money),
         Metric("prev_avg_amt_annuity", "avg", "amt_annuity", digits=r.money),
-        Metric("prev_total_amt_credit", "sum0", "amt_credit", digits=r.money),
+        Metric("prev_total_amt_credit", "sum0", "amt_credit", digits=r.total),
         Metric("prev_avg_days_decision", "avg", "days_decision", digits=r.money),
         Metric("prev_min_days_decision", "min", "days_decision"),
         Metric("prev_credit_application_ratio", "avg", safe_ratio("amt_credit", "amt_application", "positive"), digits=r.share),
@@ -356,8 +358,8 @@ def installment_features(installments: DataFrame, r: Rounding = DEFAULT) -> Data
             Metric("inst_min_payment_ratio", "min", ratio, digits=r.share),
             count("inst_underpayment_count", under),
             share("inst_pct_underpayment", under, r),
-            Metric("inst_total_instalment", "sum0", "amt_instalment", digits=r.money),
-            Metric("inst_total_payment", "sum0", "amt_payment", digits=r.money),
+            Metric("inst_total_instalment", "sum0", "amt_instalment", digits=r.total),
+            Metric("inst_total_payment", "sum0", "amt_payment", digits=r.total),
         ],
     )
 
@@ -508,9 +510,9 @@ def card_features(card: DataFrame, r: Rounding = DEFAULT) -> DataFrame:
             Metric("cc_avg_credit_limit", "avg", "amt_credit_limit_actual", digits=r.money),
             Metric("cc_max_credit_limit", "max", "amt_credit_limit_actual"),
             Metric("cc_avg_drawings", "avg", "amt_drawings_current", digits=r.money),
-            Metric("cc_total_drawings", "sum0", "amt_drawings_current", digits=r.money),
+            Metric("cc_total_drawings", "sum0", "amt_drawings_current", digits=r.total),
             Metric("cc_avg_payment_total", "avg", "amt_payment_total_current", digits=r.money),
-            Metric("cc_total_payment", "sum0", "amt_payment_total_current", digits=r.money),
+            Metric("cc_total_payment", "sum0", "amt_payment_total_current", digits=r.total),
             Metric("cc_max_dpd", "max", "sk_dpd"),
             Metric("cc_avg_dpd", "avg", "sk_dpd", digits=r.money),
             Metric("cc_max_dpd_def", "max", "sk_dpd_def"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creditloom.functions.quantiles import SKETCH_ACCURACY
 from creditloom.functions.rowexpr import (
     days_to_years, flag, log_amount, row_count_flags, row_stats, row_sum, safe_ratio,
 )
@@ -49,13 +50,15 @@ def application_features_basic(df: DataFrame) -> DataFrame:
     return fill_strings(rows, "Unknown", blank=False)
 
 
-def application_base(df: DataFrame, method: str = "approx", train: DataFrame | None = None) -> DataFrame:
+def application_base(
+    df: DataFrame, method: str = "approx", train: DataFrame | None = None, accuracy: int = SKETCH_ACCURACY
+) -> DataFrame:
     """The cleaned application table. Medians are learned from ``train`` (a
     split of the same raw table) when given, so that no test row leaks in."""
     rows = application_features_basic(df)
     source = rows if train is None else application_features_basic(train)
     present = [c for c in IMPUTED if c in rows.columns]
-    return apply_fill(rows, fit_median(source, present, method), flags=True)
+    return apply_fill(rows, fit_median(source, present, method, accuracy), flags=True)
 
 
 def application_analytic(df: DataFrame) -> DataFrame:
@@ -116,22 +119,24 @@ def expected_features(base: DataFrame) -> dict[str, dict[str, str]]:
 
 
 def client_master(
-    application: DataFrame, tables: Mapping[str, DataFrame | None], r: Rounding = DEFAULT, method: str = "approx"
+    application: DataFrame, tables: Mapping[str, DataFrame | None], r: Rounding = DEFAULT, method: str = "approx",
+    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """Cleaned application with all six blocks. All joins use the client key,
     on which every block is already partitioned by its aggregation."""
-    base = application_base(application, method)
+    base = application_base(application, method, accuracy=accuracy)
     aggregates = satellite_blocks(tables, r)
     missing = any(a is None for a in aggregates.values())
     return assemble_master(base, aggregates, KEY, expected_features(base) if missing else None)
 
 
-def analytic_master(application: DataFrame, tables: Mapping[str, DataFrame], digits: int | None = 2) -> DataFrame:
+def analytic_master(application: DataFrame, tables: Mapping[str, DataFrame], digits: int | None = 2,
+                    total: int | None = 2) -> DataFrame:
     """First version of the master: base with five short aggregates."""
     return assemble_master(
         application_analytic(application),
         {
-            "bureau": blocks.bureau_summary(tables["bureau"], digits),
+            "bureau": blocks.bureau_summary(tables["bureau"], digits, total),
             "previous": blocks.previous_summary(tables["previous_application"], digits),
             "pos": blocks.pos_summary(tables["pos_cash_balance"], digits),
             "card": blocks.card_summary(tables["credit_card_balance"], digits),
@@ -195,6 +200,7 @@ class FeatureConfig:
     count_q: float = 0.99
     ratio_q: float = 0.995
     method: str = "approx"
+    accuracy: int = SKETCH_ACCURACY
     keep: tuple[str, ...] = (KEY, "target")
 
 
@@ -261,7 +267,7 @@ def application_features(df: DataFrame, config: FeatureConfig = FeatureConfig())
     probs: dict[str, float | tuple[Column, float]] = {c: config.amount_q for c in amounts}
     probs |= {c: config.count_q for c in counts}
     probs |= {f"{n}_raw": (e, config.ratio_q) for n, e in ratios.items()}
-    caps = fit_caps(base, probs, config.method)
+    caps = fit_caps(base, probs, config.method, config.accuracy)
     types = {f.name: f.dataType for f in base.schema.fields}
     new: dict[str, Column] = {}
     for c in amounts:

@@ -30,9 +30,12 @@ def avg(x: str, digits: int = 6) -> str:
     return f"round(avg({x}), {digits})"
 
 
-def share(cond: str, digits: int | None = 6) -> str:
-    raw = f"avg(CASE WHEN {cond} THEN 1 ELSE 0 END)"
-    return raw if digits is None else f"round({raw}, {digits})"
+def raw(x: str) -> str:
+    return f"avg({x})"
+
+
+def share(cond: str) -> str:
+    return f"avg(CASE WHEN {cond} THEN 1 ELSE 0 END)"
 
 
 def n(cond: str) -> str:
@@ -56,11 +59,11 @@ SELECT sk_id_curr,
   {n("lower(credit_active) = 'closed'")} AS bureau_closed_credits,
   {n("lower(credit_active) IN ('bad debt', 'bad_debt')")} AS bureau_bad_debt_credits,
   round(sum(coalesce(amt_credit_sum, 0)), 6) AS bureau_total_credit_sum,
-  {avg("amt_credit_sum")} AS bureau_avg_credit_sum,
+  {raw("amt_credit_sum")} AS bureau_avg_credit_sum,
   round(sum(coalesce(amt_credit_sum_debt, 0)), 6) AS bureau_total_debt,
   round(sum(coalesce(amt_credit_sum_overdue, 0)), 6) AS bureau_total_overdue,
   max(coalesce(credit_day_overdue, 0)) AS bureau_max_days_overdue,
-  {avg("days_credit")} AS bureau_avg_days_credit,
+  {raw("days_credit")} AS bureau_avg_days_credit,
   {n(RECENT)} AS bureau_recent_credits_1y,
   {share(RECENT)} AS bureau_pct_recent_credits_1y,
   {n(END + " IS NULL")} AS bureau_missing_days_credit_enddate,
@@ -80,11 +83,11 @@ SELECT sk_id_curr,
   count(*) FILTER (WHERE credit_active = 'Active') AS bureau_active_credits,
   count(*) FILTER (WHERE credit_active = 'Closed') AS bureau_closed_credits,
   count(*) FILTER (WHERE credit_active = 'Bad debt') AS bureau_bad_debt_credits,
-  round(avg(amt_credit_sum), {d}) AS bureau_avg_credit_sum,
+  avg(amt_credit_sum) AS bureau_avg_credit_sum,
   round(sum(amt_credit_sum), {d}) AS bureau_total_credit_sum,
   round(sum(amt_credit_sum_debt), {d}) AS bureau_total_debt,
   max(credit_day_overdue) AS bureau_max_days_overdue,
-  round(avg(days_credit), {d}) AS bureau_avg_days_credit
+  avg(days_credit) AS bureau_avg_days_credit
 FROM fx_bureau GROUP BY sk_id_curr
 """.replace("{d}", "6")
 add("entity_block_bureau_summary", "bureau", BUREAU_SHORT)
@@ -95,7 +98,7 @@ def bureau_profile(digits: int | None) -> str:
         return x if digits is None else f"round({x}, {digits})"
 
     return f"""
-SELECT b.sk_id_curr, t.target,
+SELECT p.*, t.target FROM (SELECT sk_id_curr,
   count(*) AS bureau_credit_count,
   {n("lower(credit_active) = 'active'")} AS bureau_active_credit_count,
   {n("lower(credit_active) = 'closed'")} AS bureau_closed_credit_count,
@@ -111,8 +114,7 @@ SELECT b.sk_id_curr, t.target,
   {n("coalesce(credit_day_overdue, 0) > 0")} AS bureau_overdue_credit_count,
   min(days_credit_update) AS bureau_oldest_update_days,
   max(days_credit_update) AS bureau_latest_update_days
-FROM fx_bureau b JOIN fx_application t ON b.sk_id_curr = t.sk_id_curr
-GROUP BY b.sk_id_curr, t.target
+FROM fx_bureau GROUP BY sk_id_curr) p JOIN fx_application t ON p.sk_id_curr = t.sk_id_curr
 """
 
 
@@ -169,34 +171,38 @@ FROM fx_bureau_balance GROUP BY sk_id_bureau
 )
 
 PREV_STATUS = "upper(coalesce(name_contract_status, 'UNKNOWN'))"
-PREVIOUS = f"""
+PREVIOUS_COUNTS = f"""
 SELECT sk_id_curr,
   count(*) AS prev_num_applications,
   {n(PREV_STATUS + " = 'APPROVED'")} AS prev_approved_count,
   {n(PREV_STATUS + " = 'REFUSED'")} AS prev_refused_count,
   {n(PREV_STATUS + " = 'CANCELED'")} AS prev_canceled_count,
   {n(PREV_STATUS + " = 'UNUSED OFFER'")} AS prev_unused_offer_count,
-  {avg("amt_application")} AS prev_avg_amt_application,
-  {avg("amt_credit")} AS prev_avg_amt_credit,
-  {avg("amt_annuity")} AS prev_avg_amt_annuity,
+  {raw("amt_application")} AS prev_avg_amt_application,
+  {raw("amt_credit")} AS prev_avg_amt_credit,
+  {raw("amt_annuity")} AS prev_avg_amt_annuity,
   round(sum(coalesce(amt_credit, 0)), 6) AS prev_total_amt_credit,
-  {avg("days_decision")} AS prev_avg_days_decision,
+  {raw("days_decision")} AS prev_avg_days_decision,
   min(days_decision) AS prev_min_days_decision,
-  {avg("CASE WHEN amt_application > 0 THEN amt_credit / amt_application END")} AS prev_credit_application_ratio,
-  {avg("cnt_payment")} AS prev_avg_cnt_payment,
-  max(CASE WHEN rn = 1 THEN {PREV_STATUS} END) AS prev_last_status
-FROM (SELECT *, row_number() OVER (PARTITION BY sk_id_curr ORDER BY days_decision DESC NULLS LAST, sk_id_prev DESC) AS rn
-      FROM fx_previous) GROUP BY sk_id_curr
+  {raw("CASE WHEN amt_application > 0 THEN amt_credit / amt_application END")} AS prev_credit_application_ratio,
+  {raw("cnt_payment")} AS prev_avg_cnt_payment
+FROM fx_previous GROUP BY sk_id_curr
+"""
+PREV_LAST = f"""
+SELECT sk_id_curr, {PREV_STATUS} AS prev_last_status FROM (
+  SELECT *, row_number() OVER (PARTITION BY sk_id_curr ORDER BY days_decision DESC NULLS LAST, sk_id_prev DESC) AS rn FROM fx_previous)
+WHERE rn = 1
 """
+PREVIOUS = f"SELECT * FROM ({PREVIOUS_COUNTS}) JOIN ({PREV_LAST}) USING (sk_id_curr)"
 add("entity_block_previous_last", "previous", PREVIOUS)
 
 PREVIOUS_SHORT = """
 SELECT sk_id_curr, count(*) AS prev_num_applications,
   count(*) FILTER (WHERE name_contract_status = 'Approved') AS prev_approved,
   count(*) FILTER (WHERE name_contract_status = 'Refused') AS prev_refused,
-  round(avg(amt_application), 6) AS prev_avg_amt_application,
-  round(avg(amt_credit), 6) AS prev_avg_amt_credit,
-  round(avg(amt_down_payment), 6) AS prev_avg_down_payment
+  avg(amt_application) AS prev_avg_amt_application,
+  avg(amt_credit) AS prev_avg_amt_credit,
+  avg(amt_down_payment) AS prev_avg_down_payment
 FROM fx_previous GROUP BY sk_id_curr
 """
 add("entity_block_previous_summary", "previous", PREVIOUS_SHORT)
@@ -215,17 +221,17 @@ SELECT sk_id_curr,
   {med("amt_credit")} AS amt_credit_median,
   {med("amt_annuity")} AS amt_annuity_median,
   {med("amt_goods_price")} AS amt_goods_price_median,
-  round(sum(amt_credit), 4) AS amt_credit_sum,
+  round(sum(amt_credit), 6) AS amt_credit_sum,
   {med("cnt_payment")} AS cnt_payment_median,
   {med("CASE WHEN amt_credit > 0 THEN amt_application / amt_credit END")} AS application_credit_ratio_median,
   {med("CASE WHEN amt_credit > 0 THEN amt_annuity / amt_credit END")} AS annuity_credit_ratio_median,
   {med("CASE WHEN amt_credit > 0 THEN amt_goods_price / amt_credit END")} AS goods_credit_ratio_median,
-  {share("amt_annuity IS NULL", None)} AS amt_annuity_missing_mean,
-  {share("amt_goods_price IS NULL", None)} AS amt_goods_price_missing_mean,
-  {share("cnt_payment IS NULL", None)} AS cnt_payment_missing_mean,
+  {share("amt_annuity IS NULL")} AS amt_annuity_missing_mean,
+  {share("amt_goods_price IS NULL")} AS amt_goods_price_missing_mean,
+  {share("cnt_payment IS NULL")} AS cnt_payment_missing_mean,
   avg(CASE flag_last_appl_per_contract WHEN 'Y' THEN 1 WHEN 'N' THEN 0 END) AS last_appl_per_contract_mean,
   avg(nflag_last_appl_in_day) AS last_appl_in_day_mean,
-  {share("coalesce(sellerplace_area, 0) <= 0", None)} AS sellerplace_area_nonpositive_mean,
+  {share("coalesce(sellerplace_area, 0) <= 0")} AS sellerplace_area_nonpositive_mean,
   {med("CASE WHEN sellerplace_area > 0 THEN sellerplace_area END")} AS sellerplace_area_positive_median
 FROM fx_previous GROUP BY sk_id_curr
 """
@@ -236,12 +242,12 @@ DELAY = "(days_entry_payment - days_instalment)"
 INSTALLMENTS = f"""
 SELECT sk_id_curr,
   count(*) AS inst_num_payments,
-  {avg(DELAY)} AS inst_avg_payment_delay,
+  {raw(DELAY)} AS inst_avg_payment_delay,
   max({DELAY}) AS inst_max_payment_delay,
   {n(DELAY + " > 0")} AS inst_late_payment_count,
   {share(DELAY + " > 0")} AS inst_pct_late_payments,
-  {avg(INST_RATIO)} AS inst_avg_payment_ratio,
-  round(min({INST_RATIO}), 6) AS inst_min_payment_ratio,
+  {raw(INST_RATIO)} AS inst_avg_payment_ratio,
+  min({INST_RATIO}) AS inst_min_payment_ratio,
   {n(f"({INST_RATIO}) < 1")} AS inst_underpayment_count,
   {share(f"({INST_RATIO}) < 1")} AS inst_pct_underpayment,
   round(sum(coalesce(amt_instalment, 0)), 6) AS inst_total_instalment,
@@ -252,11 +258,11 @@ add("entity_block_installments", "installments", INSTALLMENTS)
 
 INSTALLMENTS_SHORT = f"""
 SELECT sk_id_curr, count(*) AS inst_num_payments,
-  round(avg(amt_instalment), 6) AS inst_avg_instalment,
-  round(avg(amt_payment), 6) AS inst_avg_payment,
-  round(avg(amt_payment - amt_instalment), 6) AS inst_avg_payment_diff,
+  avg(amt_instalment) AS inst_avg_instalment,
+  avg(amt_payment) AS inst_avg_payment,
+  avg(amt_payment - amt_instalment) AS inst_avg_payment_diff,
   {n(DELAY + " > 0")} AS inst_late_payments,
-  round(avg({DELAY}), 6) AS inst_avg_days_delay
+  avg({DELAY}) AS inst_avg_days_delay
 FROM fx_installments GROUP BY sk_id_curr
 """
 add("entity_block_installments_summary", "installments", INSTALLMENTS_SHORT)
@@ -272,13 +278,13 @@ SELECT sk_id_curr,
   count(DISTINCT sk_id_prev) AS previous_loans_nunique,
   {med("dpd")} AS dpd_median,
   max(dpd) AS dpd_max,
-  {share("dpd > 0", None)} AS late_payment_mean,
+  {share("dpd > 0")} AS late_payment_mean,
   {n("dpd > 30")} AS late_30_sum,
-  round(sum(amt_instalment), 4) AS amt_instalment_sum,
-  round(sum(amt_payment), 4) AS amt_payment_sum,
+  round(sum(amt_instalment), 6) AS amt_instalment_sum,
+  round(sum(amt_payment), 6) AS amt_payment_sum,
   {med("ratio")} AS payment_ratio_median,
-  {share("amt_payment < amt_instalment", None)} AS underpaid_mean,
-  {share("coalesce(amt_payment, 0) = 0", None)} AS missed_payment_mean
+  {share("amt_payment < amt_instalment")} AS underpaid_mean,
+  {share("coalesce(amt_payment, 0) = 0")} AS missed_payment_mean
 FROM beh GROUP BY sk_id_curr
 """
 add("entity_block_behaviour", "installments", BEHAVIOUR, BEHAVIOUR_ROWS)
@@ -296,23 +302,23 @@ FROM (SELECT sk_id_curr, CASE WHEN {DELAY} IS NOT NULL THEN greatest({DELAY}, 0)
 POS = f"""
 SELECT sk_id_curr,
   count(*) AS pos_num_records,
-  {avg("months_balance")} AS pos_avg_months_balance,
+  {raw("months_balance")} AS pos_avg_months_balance,
   max(sk_dpd) AS pos_max_sk_dpd,
-  {avg("sk_dpd")} AS pos_avg_sk_dpd,
+  {raw("sk_dpd")} AS pos_avg_sk_dpd,
   max(sk_dpd_def) AS pos_max_sk_dpd_def,
-  {avg("sk_dpd_def")} AS pos_avg_sk_dpd_def,
+  {raw("sk_dpd_def")} AS pos_avg_sk_dpd_def,
   {n("upper(name_contract_status) = 'COMPLETED'")} AS pos_completed_count,
   {n("upper(name_contract_status) = 'ACTIVE'")} AS pos_active_count,
   {share("upper(name_contract_status) = 'COMPLETED'")} AS pos_pct_completed,
-  {avg("cnt_instalment")} AS pos_avg_cnt_instalment,
-  {avg("cnt_instalment_future")} AS pos_avg_cnt_instalment_future
+  {raw("cnt_instalment")} AS pos_avg_cnt_instalment,
+  {raw("cnt_instalment_future")} AS pos_avg_cnt_instalment_future
 FROM fx_monthly GROUP BY sk_id_curr
 """
 add("entity_block_pos", "monthly", POS)
 
 POS_SHORT = """
-SELECT sk_id_curr, count(*) AS pos_num_records, max(sk_dpd) AS pos_max_dpd, round(avg(sk_dpd), 6) AS pos_avg_dpd,
-  max(sk_dpd_def) AS pos_max_dpd_def, round(avg(cnt_instalment_future), 6) AS pos_avg_installments_future
+SELECT sk_id_curr, count(*) AS pos_num_records, max(sk_dpd) AS pos_max_dpd, avg(sk_dpd) AS pos_avg_dpd,
+  max(sk_dpd_def) AS pos_max_dpd_def, avg(cnt_instalment_future) AS pos_avg_installments_future
 FROM fx_monthly GROUP BY sk_id_curr
 """
 add("entity_block_pos_summary", "monthly", POS_SHORT)
@@ -331,7 +337,7 @@ posp AS (SELECT m.sk_id_curr, t.target, count(*) AS total_snapshots, count(DISTI
 add(
     "entity_block_pos_profile",
     "monthly application",
-    """SELECT posp.* REPLACE (round(avg_dpd, 6) AS avg_dpd), usual.frequent_status
+    """SELECT posp.*, usual.frequent_status
        FROM posp LEFT JOIN usual ON posp.sk_id_curr = usual.sk_id_curr""",
     POS_PROFILE_ROWS,
 )
@@ -340,45 +346,45 @@ UTIL = "CASE WHEN amt_credit_limit_actual > 0 THEN amt_balance / amt_credit_limi
 CARD = f"""
 SELECT sk_id_curr,
   count(*) AS cc_num_records,
-  {avg("amt_balance")} AS cc_avg_balance,
-  round(max(amt_balance), 6) AS cc_max_balance,
-  {avg("amt_credit_limit_actual")} AS cc_avg_credit_limit,
+  {raw("amt_balance")} AS cc_avg_balance,
+  max(amt_balance) AS cc_max_balance,
+  {raw("amt_credit_limit_actual")} AS cc_avg_credit_limit,
   max(amt_credit_limit_actual) AS cc_max_credit_limit,
-  {avg("amt_drawings_current")} AS cc_avg_drawings,
+  {raw("amt_drawings_current")} AS cc_avg_drawings,
   round(sum(coalesce(amt_drawings_current, 0)), 6) AS cc_total_drawings,
-  {avg("amt_payment_total_current")} AS cc_avg_payment_total,
+  {raw("amt_payment_total_current")} AS cc_avg_payment_total,
   round(sum(coalesce(amt_payment_total_current, 0)), 6) AS cc_total_payment,
   max(sk_dpd) AS cc_max_dpd,
-  {avg("sk_dpd")} AS cc_avg_dpd,
+  {raw("sk_dpd")} AS cc_avg_dpd,
   max(sk_dpd_def) AS cc_max_dpd_def,
-  {avg("sk_dpd_def")} AS cc_avg_dpd_def,
-  {avg("cnt_drawings_current")} AS cc_avg_cnt_drawings,
-  {avg(UTIL)} AS cc_utilization_ratio,
+  {raw("sk_dpd_def")} AS cc_avg_dpd_def,
+  {raw("cnt_drawings_current")} AS cc_avg_cnt_drawings,
+  {raw(UTIL)} AS cc_utilization_ratio,
   {n("amt_credit_limit_actual IS NULL OR amt_credit_limit_actual <= 0")} AS cc_missing_limit_count
 FROM fx_monthly GROUP BY sk_id_curr
 """
 add("entity_block_card", "monthly", CARD)
 
 CARD_SHORT = """
-SELECT sk_id_curr, count(*) AS cc_num_records, round(avg(amt_balance), 6) AS cc_avg_balance,
-  round(max(amt_balance), 6) AS cc_max_balance, round(avg(amt_credit_limit_actual), 6) AS cc_avg_limit,
+SELECT sk_id_curr, count(*) AS cc_num_records, avg(amt_balance) AS cc_avg_balance,
+  max(amt_balance) AS cc_max_balance, avg(amt_credit_limit_actual) AS cc_avg_limit,
   max(sk_dpd) AS cc_max_dpd, max(sk_dpd_def) AS cc_max_dpd_def
 FROM fx_monthly GROUP BY sk_id_curr
 """
 add("entity_block_card_summary", "monthly", CARD_SHORT)
 
 CARD_PROFILE_ROWS = f"""
-ccp AS (SELECT m.sk_id_curr, t.target, count(*) AS total_snapshots, count(DISTINCT sk_id_prev) AS cards,
+ccp AS (SELECT p.*, t.target FROM (SELECT sk_id_curr, count(*) AS total_snapshots, count(DISTINCT sk_id_prev) AS cards,
           avg(amt_balance) AS avg_balance, max(amt_balance) AS max_balance, avg(({UTIL}) * 1e2) AS utilisation_pct,
           count(*) FILTER (WHERE sk_dpd > 0) AS months_in_arrears, max(sk_dpd) AS max_dpd,
           {pct("amt_payment_current < amt_inst_min_regularity")} AS pct_below_minimum
-        FROM fx_monthly m JOIN fx_application t ON m.sk_id_curr = t.sk_id_curr GROUP BY m.sk_id_curr, t.target)
+        FROM fx_monthly GROUP BY sk_id_curr) p JOIN fx_application t ON p.sk_id_curr = t.sk_id_curr)
 """
 add(
     "entity_block_card_profile",
     "monthly application",
-    """SELECT * REPLACE (round(avg_balance, 6) AS avg_balance, round(max_balance, 6) AS max_balance,
-         round(utilisation_pct, 6) AS utilisation_pct, round(pct_below_minimum, 6) AS pct_below_minimum) FROM ccp""",
+    """SELECT * REPLACE (round(avg_balance, 8) AS avg_balance, round(max_balance, 8) AS max_balance,
+         round(utilisation_pct, 8) AS utilisation_pct, round(pct_below_minimum, 8) AS pct_below_minimum) FROM ccp""",
     CARD_PROFILE_ROWS,
 )
 
@@ -405,27 +411,23 @@ add(
     "metric_kinds",
     "previous",
     f"""
-SELECT sk_id_curr, count(*) AS n, count(amt_annuity) AS n_amount, {n("amt_application > 2e5")} AS n_large,
+SELECT * FROM (SELECT sk_id_curr, count(*) AS n, count(amt_annuity) AS n_amount, {n("amt_application > 2e5")} AS n_large,
   round(sum(amt_application), 4) AS total,
   round(sum(amt_application) FILTER (WHERE name_contract_status = 'Approved'), 4) AS total_approved,
   round(sum(coalesce(amt_annuity, 0)), 4) AS total_null_safe,
-  round(avg(days_decision), 6) AS average,
-  round(avg(days_decision) FILTER (WHERE name_contract_status = 'Refused'), 6) AS average_refused,
+  avg(days_decision) AS average,
+  avg(days_decision) FILTER (WHERE name_contract_status = 'Refused') AS average_refused,
   min(amt_application) AS lowest, max(amt_application) AS highest,
   max(amt_application) FILTER (WHERE name_contract_status = 'Canceled') AS highest_canceled,
   count(DISTINCT name_contract_status) AS statuses,
-  {share("amt_application > 2e5", None)} AS share_large, {pct("amt_application > 2e5")} AS pct_large,
+  {share("amt_application > 2e5")} AS share_large, {pct("amt_application > 2e5")} AS pct_large,
   max(CASE WHEN name_contract_status = 'Unused offer' THEN 1 ELSE 0 END) AS has_unused,
-  max(name_contract_status) FILTER (WHERE first_rank = 1) AS first_status,
-  max(usual) AS usual_client_type,
+  arg_min(name_contract_status, sk_id_prev) AS first_status,
   quantile_disc(days_decision, 0.5) AS median_decision
-FROM (SELECT p.*, row_number() OVER (PARTITION BY p.sk_id_curr ORDER BY sk_id_prev) AS first_rank, u.usual
-      FROM fx_previous p JOIN (
-        SELECT sk_id_curr, name_client_type AS usual FROM (
-          SELECT sk_id_curr, name_client_type,
-            row_number() OVER (PARTITION BY sk_id_curr ORDER BY count(*) DESC, name_client_type) AS rn
-          FROM fx_previous GROUP BY sk_id_curr, name_client_type) WHERE rn = 1) u ON p.sk_id_curr = u.sk_id_curr)
-GROUP BY sk_id_curr
+FROM fx_previous GROUP BY sk_id_curr) JOIN (
+  SELECT sk_id_curr, name_client_type AS usual_client_type FROM (
+    SELECT sk_id_curr, name_client_type, row_number() OVER (PARTITION BY sk_id_curr ORDER BY count(*) DESC, name_client_type) AS rn
+    FROM fx_previous GROUP BY sk_id_curr, name_client_type) WHERE rn = 1) USING (sk_id_curr)
 """,
 )
 
@@ -482,7 +484,10 @@ add(
     "master_validation",
     ALL,
     " UNION ALL ".join(
-        f"SELECT '{g}' AS check_group, '{c}' AS check_name, CAST({e} AS DOUBLE) AS check_value FROM master" for g, c, e in CHECKS
+        f"SELECT '{g}' AS check_group, '{c}' AS check_name, CAST(any_value({e}) AS DOUBLE) AS check_value FROM master"
+        if e.isdigit()
+        else f"SELECT '{g}' AS check_group, '{c}' AS check_name, CAST({e} AS DOUBLE) AS check_value FROM master"
+        for g, c, e in CHECKS
     ),
     MASTER_CTES + f", master AS (SELECT * FROM {CHAIN})",
 )
@@ -536,7 +541,7 @@ add(
     "installments",
     " UNION ALL ".join(
         f"""SELECT num_instalment_number, 'amt_payment' AS variable, CAST({q} AS DOUBLE) AS q,
-            round(quantile_cont(amt_payment, {q}), 6) AS value FROM fx_installments GROUP BY num_instalment_number"""
+            round(quantile_cont(amt_payment, {q}), 4) AS value FROM fx_installments GROUP BY num_instalment_number"""
         for q in (0.1, 0.5)
     ),
 )

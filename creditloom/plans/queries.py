@@ -22,8 +22,13 @@ from creditloom.sources import artifacts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Averages at 6 decimals, where both engines round alike; shares of counts as they are.
-FINE = Rounding(money=6, share=6)
+# Averages and shares unrounded, sums at 6 decimals: decimal ties are rounded
+# differently by different engines.
+FINE = Rounding(money=None, share=None, total=6)
+
+# Sketch accuracy for one value per column: exact up to some hundred thousand
+# rows, a bounded rank error beyond.
+FINE_SKETCH = 100_000
 
 QUERIES: dict[str, Query] = {}
 
@@ -65,7 +70,7 @@ CORR_COLUMNS = [
 @query(*ALL_VIEWS)
 def client_master(application, *rest):
     """Cleaned application with all six blocks."""
-    return master.client_master(application, satellites(*rest), FINE, method="exact")
+    return master.client_master(application, satellites(*rest), FINE, accuracy=FINE_SKETCH)
 
 
 @query(*ALL_VIEWS)
@@ -80,14 +85,14 @@ def master_validation(application, *rest):
 @query(*ALL_VIEWS)
 def analytic_master(application, *rest):
     """First version of the master."""
-    return master.analytic_master(application, satellites(*rest), 6)
+    return master.analytic_master(application, satellites(*rest), None, 6)
 
 
 @query("fx_application", "fx_monthly")
 def master_missing_source(application, monthly):
     """Absent satellites give typed null columns."""
     tables = {"pos_cash_balance": monthly}
-    return master.client_master(application, tables, FINE, method="exact").select(
+    return master.client_master(application, tables, FINE, accuracy=FINE_SKETCH).select(
         KEY, "age_years", "pos_num_records", "bureau_num_records", "prev_last_status", "inst_avg_payment_ratio",
         "cc_avg_balance", "bb_total_snapshots",
     )
@@ -96,7 +101,7 @@ def master_missing_source(application, monthly):
 @query("fx_application")
 def application_base(application):
     """A.1: cleaned application table with medians and flags."""
-    return master.application_base(application, method="exact")
+    return master.application_base(application, accuracy=FINE_SKETCH)
 
 
 # --- entity blocks ----------------------------------------------------------
@@ -109,7 +114,7 @@ def entity_block_bureau(bureau):
 
 @query("fx_bureau")
 def entity_block_bureau_summary(bureau):
-    return blocks.bureau_summary(bureau, 6)
+    return blocks.bureau_summary(bureau, None, 6)
 
 
 @query("fx_bureau", "fx_application")
@@ -139,12 +144,12 @@ def entity_block_previous_last(previous):
 
 @query("fx_previous")
 def entity_block_previous_summary(previous):
-    return blocks.previous_summary(previous, 6)
+    return blocks.previous_summary(previous, None)
 
 
 @query("fx_previous")
 def entity_block_previous_numeric(previous):
-    return _rounded(blocks.previous_numeric(previous), ["amt_credit_sum"])
+    return _rounded(blocks.previous_numeric(previous), ["amt_credit_sum"], 6)
 
 
 @query("fx_installments")
@@ -154,12 +159,12 @@ def entity_block_installments(installments):
 
 @query("fx_installments")
 def entity_block_installments_summary(installments):
-    return blocks.installment_summary(installments, 6)
+    return blocks.installment_summary(installments, None)
 
 
 @query("fx_installments")
 def entity_block_behaviour(installments):
-    return _rounded(blocks.installment_behaviour(installments), ["amt_instalment_sum", "amt_payment_sum"])
+    return _rounded(blocks.installment_behaviour(installments), ["amt_instalment_sum", "amt_payment_sum"], 6)
 
 
 @query("fx_installments")
@@ -176,12 +181,12 @@ def entity_block_pos(monthly):
 
 @query("fx_monthly")
 def entity_block_pos_summary(monthly):
-    return blocks.pos_summary(monthly, 6)
+    return blocks.pos_summary(monthly, None)
 
 
 @query("fx_monthly", "fx_application")
 def entity_block_pos_profile(monthly, application):
-    return blocks.pos_client_profile(monthly, application, digits=6)
+    return blocks.pos_client_profile(monthly, application, digits=None)
 
 
 @query("fx_monthly")
@@ -191,12 +196,12 @@ def entity_block_card(monthly):
 
 @query("fx_monthly")
 def entity_block_card_summary(monthly):
-    return blocks.card_summary(monthly, 6)
+    return blocks.card_summary(monthly, None)
 
 
 @query("fx_monthly", "fx_application")
 def entity_block_card_profile(monthly, application):
-    return blocks.card_client_profile(monthly, application, digits=6)
+    return blocks.card_client_profile(monthly, application, digits=8)
 
 
 @query("fx_previous")
@@ -219,8 +224,8 @@ def metric_kinds(previous):
             Metric("total", "sum", "amt_application", digits=4),
             Metric("total_approved", "sum", "amt_application", where=F.col("name_contract_status") == "Approved", digits=4),
             Metric("total_null_safe", "sum0", "amt_annuity", digits=4),
-            Metric("average", "avg", "days_decision", digits=6),
-            Metric("average_refused", "avg", "days_decision", where=F.col("name_contract_status") == "Refused", digits=6),
+            Metric("average", "avg", "days_decision"),
+            Metric("average_refused", "avg", "days_decision", where=F.col("name_contract_status") == "Refused"),
             Metric("lowest", "min", "amt_application"),
             Metric("highest", "max", "amt_application"),
             Metric("highest_canceled", "max", "amt_application", where=F.col("name_contract_status") == "Canceled"),
@@ -248,7 +253,7 @@ def exact_quantiles_global(bureau):
 def exact_quantiles_grouped(installments):
     """Exact interpolated quantiles per instalment number."""
     out = exact_quantiles(installments, ["amt_payment"], [0.1, 0.5], ["num_instalment_number"], kind="cont")
-    return out.withColumn("value", F.round("value", 6))
+    return out.withColumn("value", F.round("value", 4))
 
 
 @query("fx_installments")
@@ -341,7 +346,7 @@ def business_kpis(application):
 
 @query("fx_application")
 def distribution_summary(application):
-    out = profiling.distribution_summary(application, AMOUNT_COLUMNS, "target")
+    out = profiling.distribution_summary(application, AMOUNT_COLUMNS, "target", FINE_SKETCH)
     return _rounded(out, ["mean"], 6)
 
 
@@ -440,7 +445,7 @@ def bucket_by_label(monthly, application):
 
 @query("fx_monthly", "fx_application")
 def utilisation_by_label(monthly, application):
-    profile = blocks.card_client_profile(monthly, application, digits=6)
+    profile = blocks.card_client_profile(monthly, application, digits=None)
     return reports.bucket_by_label(profile, "utilisation_pct", reports.UTILISATION_PCT)
 
 
@@ -535,7 +540,7 @@ def previous_label_summary(application, previous):
 @query(*ALL_VIEWS)
 def label_summary(application, *rest):
     """E8 on the first master."""
-    whole = master.analytic_master(application, satellites(*rest), None)
+    whole = master.analytic_master(application, satellites(*rest), None, None)
     names = [
         "age_years", "credit_income_ratio", "annuity_income_ratio", "bureau_num_records", "prev_num_applications",
         "inst_late_payments",
@@ -614,7 +619,7 @@ def temporal_summary(bureau, application):
 def combined_frame(bureau, balance, application):
     """Both bureau sources per client and label."""
     return reports.combined_frame(
-        blocks.bureau_client_profile(bureau, application, money=6, years=6),
+        blocks.bureau_client_profile(bureau, application, money=6, years=6, ratio=6),
         blocks.balance_client_profile(balance, bureau, application, digits=None),
     )
 
@@ -832,7 +837,7 @@ def learned_caps(application):
 @query("fx_application")
 def application_features(application):
     """The wide application block."""
-    out = master.application_features(application, master.FeatureConfig(method="exact"))
+    out = master.application_features(application, master.FeatureConfig(accuracy=FINE_SKETCH))
     logs = [c for c in out.columns if c.endswith("_log")]
     return _rounded(out, [*logs, "ext_sources_std", "ext_sources_mean"], 6)
 
@@ -840,7 +845,7 @@ def application_features(application):
 @query("fx_application", "fx_previous", "fx_installments")
 def model_features(application, previous, installments):
     """Final model features."""
-    out = master.model_features(application, previous, installments, categories=["name_client_type", "name_contract_status"])
+    out = master.model_features(application, previous, installments, config=master.FeatureConfig(accuracy=FINE_SKETCH), categories=["name_client_type", "name_contract_status"])
     return out.select(
         KEY, "target", "income_per_child", "previous_count", "days_decision_median", "goods_credit_ratio_median",
         "name_client_type_1_urgent", "name_contract_status_approved", "installments_count", "dpd_median", "late_payment_mean",

@@ -398,14 +398,18 @@ def _behaviour_rows(installments: DataFrame, null_safe: bool) -> DataFrame:
 
 def installment_behaviour(installments: DataFrame, null_safe: bool = False, accuracy: int = 10_000) -> DataFrame:
     """Payment behaviour with median days past due and payment ratio; the
-    medians are sketches of bounded size."""
+    medians are sketches of bounded size.
+
+    Distinct loans are counted in a branch of their own over two columns: next
+    to a distinct count Spark would build the sketches per (client, loan).
+    """
+    rows = _behaviour_rows(installments, null_safe)
     dpd = F.col("_dpd")
-    return entity_aggregate(
-        _behaviour_rows(installments, null_safe),
+    behaviour = entity_aggregate(
+        rows,
         KEY,
         [
             Metric("installments_count", "count", "num_instalment_number"),
-            Metric("previous_loans_nunique", "count_distinct", "sk_id_prev"),
             Metric("dpd_median", "quantile", dpd, accuracy=accuracy),
             Metric("dpd_max", "max", dpd),
             Metric("late_payment_mean", "share", where=dpd > 0),
@@ -417,6 +421,8 @@ def installment_behaviour(installments: DataFrame, null_safe: bool = False, accu
             Metric("missed_payment_mean", "share", where=F.coalesce("amt_payment", F.lit(0.0)) == 0),
         ],
     )
+    loans = entity_aggregate(rows.select(KEY, "sk_id_prev").distinct(), KEY, [count("previous_loans_nunique")])
+    return attach(behaviour, loans, KEY)
 
 
 # --- POS and card months ----------------------------------------------------

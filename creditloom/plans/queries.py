@@ -8,10 +8,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.functions.quantiles import exact_quantiles
+from creditloom.functions.quantiles import exact_quantiles, q_exact
 from creditloom.functions.rowexpr import (
-    bucketize, clip, days_to_years, keep_if, log_amount, map_values, positive_part, row_count_flags, row_stats, row_sum,
-    safe_ratio, status_number,
+    bucketize, clip, days_to_years, keep_if, log_amount, map_values, positive_part, positive_probability,
+    row_count_flags, row_stats, row_sum, safe_ratio, status_number,
 )
 from creditloom.operators import cleaning, encoding, entity, joins, modeling, profiling, shaping
 from creditloom.operators.entity import Metric
@@ -260,13 +260,7 @@ def exact_quantiles_grouped(installments):
 def exact_client_medians(installments):
     """Exact interpolated medians per client."""
     rows = installments.withColumn("delay", F.col("days_entry_payment") - F.col("days_instalment"))
-    return rows.groupBy(KEY).agg(entity_median("delay").alias("delay_median"))
-
-
-def entity_median(column: str):
-    from creditloom.functions.quantiles import q_exact
-
-    return q_exact(column, 0.5)
+    return rows.groupBy(KEY).agg(q_exact("delay").alias("delay_median"))
 
 
 # --- profiling --------------------------------------------------------------
@@ -603,10 +597,10 @@ def overdue_by_state(bureau):
 
 @query("fx_application", "fx_previous", "fx_monthly")
 def coverage_by_label(application, previous, monthly):
-    """Clients by the histories they have. Approved applications
-    stand for one source so that every class occurs."""
-    approved = previous.filter(F.col("name_contract_status") == "Unused offer")
-    return reports.coverage_by_label(application, {"previous": approved, "monthly": monthly})
+    """Clients by the histories they have. Only unused offers stand
+    for the previous applications, so that every class occurs."""
+    unused = previous.filter(F.col("name_contract_status") == "Unused offer")
+    return reports.coverage_by_label(application, {"previous": unused, "monthly": monthly})
 
 
 @query("fx_bureau", "fx_application")
@@ -1029,8 +1023,6 @@ def actual_vs_predicted(application):
 @query("fx_application")
 def positive_probabilities(application):
     """Second entry of a probability given as array and as text."""
-    from creditloom.functions.rowexpr import positive_probability
-
     p = F.round(F.coalesce("ext_source_2", F.lit(0.0)), 3)
     rows = application.select(
         KEY,

@@ -89,29 +89,30 @@ def exact_quantiles(
         renamed = F.broadcast(renamed)
     match = [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys] + [F.col("variable") == F.col("_b_variable")]
     fields = ["q", "r1", "r2", "share"]
-    # Rows outside an interval collapse into one entry below it and one above,
-    # of which only the smallest value can matter (an interpolation partner).
+    # Rows outside an interval collapse into one entry below it and one above.
+    # Only their values next to the interval can matter (to interpolate).
     v = F.col("value")
     zone = F.when(v < F.col("lo"), F.lit(0)).when(v <= F.col("hi"), F.lit(1)).otherwise(F.lit(2)).alias("zone")
     counted = (
         values.join(renamed, match)
         .groupBy(*group, *fields, zone, F.when(v.between(F.col("lo"), F.col("hi")), v).alias("inside"))
-        .agg(F.count(F.lit(1)).alias("cnt"), F.min("value").alias("least"))
+        .agg(F.count(F.lit(1)).alias("cnt"), F.min("value").alias("least"), F.max("value").alias("most"))
     )
     upto = Window.partitionBy(*group, "q").orderBy("zone", "inside").rowsBetween(Window.unboundedPreceding, 0)
     running = counted.withColumn("seen", F.sum("cnt").over(upto))
 
     def at_rank(rank: str) -> Column:
         inside = (F.col("zone") == 1) & (F.col("seen") >= F.col(rank))
-        next_above = (F.col("zone") == 2) & (F.col("seen") - F.col("cnt") + 1 == F.col(rank))
-        return F.min(F.when(inside | next_above, F.col("least")))
+        last_below = (F.col("zone") == 0) & (F.col("cnt") == F.col(rank))
+        first_above = (F.col("zone") == 2) & (F.col("seen") - F.col("cnt") + 1 == F.col(rank))
+        return F.min(F.when(last_below, F.col("most")).when(inside | first_above, F.col("least")))
 
     found = running.groupBy(*group, *fields).agg(
         at_rank("r1").alias("low"),
         at_rank("r2").alias("high"),
         F.max(F.when(F.col("zone") == 0, F.col("cnt")).otherwise(F.lit(0))).alias("below"),
     )
-    missed = (F.col("below") >= F.col("r1")) | F.col("low").isNull() | F.col("high").isNull()
+    missed = (F.col("below") > F.col("r1")) | F.col("low").isNull() | F.col("high").isNull()
     value = F.col("low") + (F.col("high") - F.col("low")) * F.col("share")
     checked = F.when(missed, F.raise_error(F.lit("quantile outside its sketch interval")).cast("double"))
     return found.select(*group, "q", checked.otherwise(value).alias("value"))

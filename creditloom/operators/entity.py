@@ -103,13 +103,20 @@ def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
+def safe_corr(x: ColumnOrName, y: ColumnOrName) -> Column:
+    """Aggregate: Pearson correlation, null when a side is constant (the
+    built-in divides by zero there under ANSI rules)."""
+    a, b = as_col(x).cast("double"), as_col(y).cast("double")
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def corr_with(df: DataFrame, label: str, cols: Sequence[str], digits: int | None = None) -> DataFrame:
     """Pearson correlation of every column with the label: ``variable,
     corr_target, abs_corr``; one aggregate over one scan."""
-    target = F.col(label).cast("double")
     rows = []
     for c in cols:
-        r = F.corr(target, F.col(c).cast("double"))
+        r = safe_corr(label, c)
         rows.append(F.struct(F.lit(c).alias("variable"), (F.round(r, digits) if digits is not None else r).alias("corr_target")))
     return (
         df.agg(F.array(*rows).alias("rows"))

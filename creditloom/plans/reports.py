@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from creditloom.functions.quantiles import exact_quantiles
 from creditloom.functions.rowexpr import Buckets, days_to_years, keep_if, safe_ratio
 from creditloom.operators.cleaning import category, valid_label
-from creditloom.operators.entity import Metric, corr_with, entity_aggregate, global_aggregate
+from creditloom.operators.entity import Metric, corr_with, entity_aggregate, global_aggregate, safe_corr
 from creditloom.operators.joins import attach
 from creditloom.operators.profiling import category_rate, label_distribution, null_profile, numeric_summary, per_column
 from creditloom.operators.shaping import latest_per, order_by_rank, pivot_rate, share_of_total, top_k
@@ -385,8 +385,7 @@ def score_summary(application: DataFrame, cols: Sequence[str] = EXTERNAL, digits
     from one scan."""
     def fields(c: str) -> dict[str, Column]:
         v = F.col(c)
-        corr = F.corr(F.col("target").cast("double"), v)
-        out = {"mean": F.avg(v), "corr_target": corr}
+        out = {"mean": F.avg(v), "corr_target": safe_corr("target", c)}
         if digits is not None:
             out = {n: F.round(e, digits) for n, e in out.items()}
         return {"n": F.count(v), "median": F.percentile_approx(v, 0.5, 10_000), **out}

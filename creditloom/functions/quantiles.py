@@ -8,7 +8,7 @@ most of the rows never has to fit into a single buffer.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -118,6 +118,35 @@ def exact_quantiles(
     return found.select(*group, "q", checked.otherwise(value).alias("value"))
 
 
+HOT_ROWS = 1_000_000
+
+
+def entity_quantiles(
+    df: DataFrame, key: str, cols: Mapping[str, str], q: float = 0.5, kind: str = "cont", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Exact quantile of several columns per entity, ``{output: column}``.
+
+    Entities of up to ``hot_rows`` rows use the built-in aggregate, whose
+    buffer that bounds. Larger ones, of which there can only be few, go through
+    ``exact_quantiles``, so no buffer ever holds a hot entity.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > hot_rows) & F.col(key).isNotNull())
+    hot = counts.select(key)
+    found = hot.limit(MAX_BROADCAST_GROUPS + 1).collect()
+    exact = [q_exact(c, q, kind).cast("double").alias(name) for name, c in cols.items()]
+    if not found:
+        return df.groupBy(key).agg(*exact)
+    if len(found) <= MAX_BROADCAST_GROUPS:
+        hot = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
+    cold = df.join(hot, key, "left_anti").groupBy(key).agg(*exact)
+    columns = sorted(set(cols.values()))
+    long = exact_quantiles(df.join(hot, key, "left_semi"), columns, [q], [key], kind)
+    wide = long.groupBy(key).agg(
+        *[F.max(F.when(F.col("variable") == c, F.col("value"))).alias(name) for name, c in cols.items()]
+    )
+    return cold.unionByName(wide)
+
+
 def distinct_estimate(c: ColumnOrName) -> Column:
     """Aggregate: estimated number of distinct values (about 1.6 % error). One
     binary sketch per column keeps wide profiles plannable."""

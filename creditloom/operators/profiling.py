@@ -77,7 +77,9 @@ def numeric_summary(
             "max": rounded(F.max(v)),
         }
         if method == "approx":
-            out |= {name: rounded(q_approx(v, q, accuracy)) for name, q in names.items()}
+            # the same sketch for all probabilities: Spark computes it once
+            sketch = q_approx(v, list(names.values()), accuracy)
+            out |= {name: rounded(F.get(sketch, F.lit(i))) for i, name in enumerate(names)}
         return out
 
     base = per_column(df, cols, fields)

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.functions.quantiles import exact_quantiles, q_exact
+from creditloom.functions.quantiles import entity_quantiles, exact_quantiles
 from creditloom.functions.rowexpr import (
     bucketize, clip, days_to_years, keep_if, log_amount, map_values, positive_part, positive_probability,
     row_count_flags, row_stats, row_sum, safe_ratio, status_number,
@@ -260,7 +260,7 @@ def exact_quantiles_grouped(installments):
 def exact_client_medians(installments):
     """Exact interpolated medians per client."""
     rows = installments.withColumn("delay", F.col("days_entry_payment") - F.col("days_instalment"))
-    return rows.groupBy(KEY).agg(q_exact("delay").alias("delay_median"))
+    return entity_quantiles(rows, KEY, {"delay_median": "delay"})
 
 
 # --- profiling --------------------------------------------------------------

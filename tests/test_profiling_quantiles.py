@@ -5,7 +5,7 @@ import pytest
 from conftest import one, values
 from pyspark.sql import functions as F
 
-from creditloom.functions.quantiles import exact_quantiles, q_exact
+from creditloom.functions.quantiles import entity_quantiles, exact_quantiles, q_exact
 from creditloom.operators import profiling as P
 
 
@@ -36,6 +36,13 @@ def test_exact_quantiles_of_small_groups(spark):
     assert one(df.groupBy().agg(q_exact("x").alias("m"), q_exact("x", 0.5, "disc").alias("d"))) == (2.5, 2.0)
 
 
+@pytest.mark.parametrize("kind", ["disc", "cont"])
+def test_entity_quantiles_with_hot_entities(skewed, kind):
+    got = values(entity_quantiles(skewed, "g", {"m": "x", "again": "x"}, 0.5, kind, hot_rows=3000), "g", "m", "again")
+    plain = values(entity_quantiles(skewed, "g", {"m": "x", "again": "x"}, 0.5, kind), "g", "m", "again")
+    assert got == plain and len(got) == 6
+
+
 def test_null_profile_and_all_null_column(spark):
     df = spark.sql("SELECT * FROM VALUES (1, NULL), (2, 3), (3, NULL) AS t(a, b)").withColumn("z", F.lit(None).cast("double"))
     rows = [tuple(r) for r in P.null_profile(df).collect()]

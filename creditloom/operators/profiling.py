@@ -263,7 +263,8 @@ def quick_profile(df: DataFrame, exact: bool = False, digits: int | None = 2) ->
             "distinct_values", F.coalesce("distinct_values", F.lit(0))
         )
     order = ["column", "type", "nulls", "distinct_values", "pct_nulls", "role"]
-    return base.withColumnRenamed("variable", "column").select(*order)
+    profile = base.withColumnRenamed("variable", "column").select(*order)
+    return profile.orderBy(F.desc("pct_nulls"), F.desc("distinct_values"), "column")
 
 
 def top_missing(profile: DataFrame, n: int = 10) -> DataFrame:

@@ -6,10 +6,11 @@ import tempfile
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from creditloom.operators.cleaning import normalize_columns
 
@@ -45,11 +46,9 @@ def read_table(
     path = catalog.path(zone, name)
     try:
         return normalize_columns(read_parquet(spark, path))
-    except AnalysisException:
-        # the location has no Parquet footer; an absent one fails again below
-        pass
-    except Exception as error:  # a text file read as Parquet fails in a task
-        if "parquet" not in str(error).lower():
+    except (AnalysisException, Py4JJavaError) as error:
+        # files that are not Parquet: no schema to infer, or no readable footer
+        if not any(sign in str(error) for sign in ("UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER")):
             raise
     return normalize_columns(read_csv(spark, path, schema))
 

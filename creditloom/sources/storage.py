@@ -23,7 +23,7 @@ class Catalog:
     preferred first. Paths that differ from ``zone/name`` go to ``locations``."""
 
     root: str
-    databases: tuple[str, ...] = ("trusted_db", "hcdr_trusted", "raw_db")
+    databases: tuple[str, ...] = ("trusted_db", "raw_db")
     locations: Mapping[tuple[str, str], str] = field(default_factory=dict)
     path_fallback: bool = True
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.rowexpr import (
-    clip, days_to_years, flag, keep_if, map_values, positive_part, safe_ratio, status_number,
+    clip, days_to_years, keep_if, map_values, positive_part, safe_ratio, status_number,
 )
 from creditloom.operators.cleaning import category, ensure_columns, require_keys
 from creditloom.operators.encoding import category_shares
@@ -545,8 +545,10 @@ def card_summary(card: DataFrame, digits: int | None = 2) -> DataFrame:
     )
 
 
-def card_client_profile(card: DataFrame, labels: DataFrame, label: str = "target", digits: int | None = 2) -> DataFrame:
-    """Balance, utilisation and arrears per client with label."""
+def card_client_profile(card: DataFrame, labels: DataFrame, label: str = "target", digits: int | None = 2,
+                        percent: int | None = 2) -> DataFrame:
+    """Balance, utilisation and arrears per client with label; ``digits`` of
+    amounts, ``percent`` of percentages."""
     profile = entity_aggregate(
         ensure_columns(card, CARD_COLUMNS),
         KEY,
@@ -555,10 +557,10 @@ def card_client_profile(card: DataFrame, labels: DataFrame, label: str = "target
             Metric("cards", "count_distinct", "sk_id_prev"),
             Metric("avg_balance", "avg", "amt_balance", digits=digits),
             Metric("max_balance", "max", "amt_balance", digits=digits),
-            Metric("utilisation_pct", "avg", utilisation() * F.lit(100.0), digits=digits),
+            Metric("utilisation_pct", "avg", utilisation() * F.lit(100.0), digits=percent),
             count("months_in_arrears", F.col("sk_dpd") > 0),
             Metric("max_dpd", "max", "sk_dpd"),
-            Metric("pct_below_minimum", "pct", where=below_minimum(), digits=digits),
+            Metric("pct_below_minimum", "pct", where=below_minimum(), digits=percent),
         ],
     )
     return profile.join(labels.select(KEY, label), KEY, "inner")

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from creditloom.functions.quantiles import SKETCH_ACCURACY
 from creditloom.functions.rowexpr import (
@@ -15,9 +14,9 @@ from creditloom.functions.rowexpr import (
 )
 from creditloom.operators.cleaning import (
     SENTINEL_DAYS, AnomalyRule, apply_fill, category, constant_columns, drop_header_rows, ensure_columns, fill_strings,
-    fit_median, missing_flags, normalize_columns, null_anomaly, string_columns, valid_label,
+    fit_median, missing_flags, normalize_columns, null_anomaly, valid_label,
 )
-from creditloom.operators.encoding import Caps, apply_one_hot, fit_caps, fit_one_hot
+from creditloom.operators.encoding import apply_one_hot, fit_caps, fit_one_hot
 from creditloom.operators.joins import assemble_master, attach
 from creditloom.plans import blocks
 from creditloom.plans.blocks import DEFAULT, KEY, Rounding

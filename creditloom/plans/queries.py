@@ -201,7 +201,7 @@ def entity_block_card_summary(monthly):
 
 @query("fx_monthly", "fx_application")
 def entity_block_card_profile(monthly, application):
-    return blocks.card_client_profile(monthly, application, digits=8)
+    return blocks.card_client_profile(monthly, application, digits=8, percent=6)
 
 
 @query("fx_previous")
@@ -439,7 +439,7 @@ def bucket_by_label(monthly, application):
 
 @query("fx_monthly", "fx_application")
 def utilisation_by_label(monthly, application):
-    profile = blocks.card_client_profile(monthly, application, digits=None)
+    profile = blocks.card_client_profile(monthly, application, digits=None, percent=None)
     return reports.bucket_by_label(profile, "utilisation_pct", reports.UTILISATION_PCT)
 
 
@@ -484,7 +484,7 @@ def pos_label_summary(monthly, application):
 
 @query("fx_monthly", "fx_application")
 def card_label_summary(monthly, application):
-    profile = blocks.card_client_profile(monthly, application, digits=None)
+    profile = blocks.card_client_profile(monthly, application, digits=None, percent=None)
     names = ["cards", "avg_balance", "utilisation_pct", "months_in_arrears", "max_dpd", "pct_below_minimum"]
     return reports.label_summary(profile, {f"mean_{n}": n for n in names}, digits=6)
 

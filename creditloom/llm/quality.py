@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from creditloom.llm.common import SPACES, map_batches, stored
 
 SYMBOLS = "#*$%&|<>"
-FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_letters"]
+FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_letters", "n_digits"]
 
 
 def text_features(text: str | None) -> tuple[int, ...]:
@@ -54,7 +54,8 @@ def text_features(text: str | None) -> tuple[int, ...]:
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     upper = int(((raw >= 65) & (raw <= 90)).sum())
     letters = upper + int((((raw >= 97) & (raw <= 122)) | (raw >= 192)).sum())  # beyond ASCII a character counts as a letter
-    return n, len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), dup, repeated, lines, len(ids), upper, letters
+    digits = int(((raw >= 48) & (raw <= 57)).sum())
+    return n, len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), dup, repeated, lines, len(ids), upper, letters, digits
 
 
 def ratio(a: str, b: str) -> Column:
@@ -80,9 +81,9 @@ def default_rules() -> list[Rule]:
     word_length = ratio("word_chars", "n_words")
     return [
         Rule("symbols", ratio("n_symbols", "n_words"), good=0.01, bad=0.1),
-        Rule("repeated windows", ratio("n_repeat_words", "n_words"), good=0.1, bad=0.25),
-        Rule("repeated lines", ratio("n_dup_lines", "n_lines"), good=0.0, bad=0.3, applies=F.col("n_lines") > 1),
-        Rule("letters", 1 - ratio("n_letters", "word_chars"), good=0.06, bad=0.12, applies=F.col("n_words") > 0),
+        Rule("repeated windows", ratio("n_repeat_words", "n_words"), good=0.15, bad=0.4),
+        Rule("repeated lines", ratio("n_dup_lines", "n_lines"), good=0.0, bad=0.5, applies=F.col("n_lines") > 1),
+        Rule("letters and digits", 1 - (F.col("n_letters") + F.col("n_digits")) / F.greatest("word_chars", F.lit(1)), good=0.06, bad=0.12, applies=F.col("n_words") > 0),
         Rule("capitals", ratio("n_upper", "n_letters"), good=0.1, bad=0.3, applies=F.col("n_letters") > 0),
         Rule("vocabulary", 1 - ratio("n_distinct", "n_words"), good=0.6, bad=0.85),
         Rule("word length", F.greatest(word_length / 12, 3 / F.greatest(word_length, F.lit(0.1))), good=1.0, bad=1.7, applies=F.col("n_words") > 0),

@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import quality, secrets
+from creditloom.llm import mixing, pii, quality, secrets, url_filters
 from creditloom.llm.common import table
+from creditloom.llm.oracle import ORACLE  # noqa: F401
+
+#: Rules of the url query: host, path, verdict.
+URL_RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]
 
 
 def joined(spans: Column | str) -> Column:
@@ -14,6 +21,19 @@ def joined(spans: Column | str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def digest(spans: Column | str) -> Column:
+    return F.sha2(joined(spans), 256)
+
+
+def counted(kind: str, spans: Column | str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filters.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(table(spark, sf_dir, "documents"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -24,14 +44,29 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def count(kind: str) -> Column:
-        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
-
+    base = F.filter("spans", lambda s: s["base"])
     return secrets.scan(table(spark, sf_dir, "documents")).select(
-        "doc_id", *(count(k) for k in secrets.BASE_KINDS),
-        F.sha2(joined(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"), joined("spans").alias("spans"),
+        "doc_id", *(counted(k, base) for k in secrets.BASE_KINDS), digest(base).alias("base_sha256"), joined("spans").alias("spans")
+    )
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = [k.name for k in pii.KINDS if k.base]
+    base = F.filter("spans", lambda s: s["kind"].isin(*names))
+    return pii.find(table(spark, sf_dir, "documents")).select(
+        "doc_id", *(counted(k, base) for k in names), digest(base).alias("base_sha256"), joined("spans").alias("spans"),
+        F.array_max(F.transform("spans", lambda s: s["score"])).alias("score"),
     )
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op5_secret_scan": op5_secret_scan}
-ORACLE: dict[str, str] = {}
+QUERIES = {
+    "op1_url_filters": op1_url_filters,
+    "op2_quality_rules": op2_quality_rules,
+    "op5_secret_scan": op5_secret_scan,
+    "op7_source_mixing": op7_source_mixing,
+    "op8_personal_data": op8_personal_data,
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import mixing, pii, quality, secrets, url_filters
+from creditloom.llm import mixing, near_dedup, pii, quality, secrets, url_filters
 from creditloom.llm.common import table
 from creditloom.llm.oracle import ORACLE  # noqa: F401
 
@@ -50,6 +50,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_quality_rules": op2_quality_rules,
     "op5_secret_scan": op5_secret_scan,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_source_mixing": op7_source_mixing,
     "op8_personal_data": op8_personal_data,
 }

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,12 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast of an object whose class executors may not have; call the result inside a task."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], dict[str, list]], schema: str) -> DataFrame:
     """``rows`` applied to each Arrow batch of ``df``; it returns columns as lists, in the order of ``schema``."""
     fields = df.sparkSession.createDataFrame([], schema).schema

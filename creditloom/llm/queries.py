@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import mixing, near_dedup, pii, quality, secrets, url_filters
+from creditloom.llm import decontamination, mixing, near_dedup, pii, quality, secrets, toxicity, url_filters
 from creditloom.llm.common import table
 from creditloom.llm.oracle import ORACLE  # noqa: F401
 
@@ -67,6 +67,18 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "words"
+    )
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_quality_rules": op2_quality_rules,
@@ -74,4 +86,6 @@ QUERIES = {
     "op6_near_duplicates": op6_near_duplicates,
     "op7_source_mixing": op7_source_mixing,
     "op8_personal_data": op8_personal_data,
+    "op9_toxicity": op9_toxicity,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontamination, mixing, near_dedup, pii, quality, secrets, toxicity, url_filters
+from creditloom.llm import decontamination, mixing, near_dedup, pii, quality, secrets, suffix_dedup, toxicity, url_filters
 from creditloom.llm.common import table
 from creditloom.llm.oracle import ORACLE  # noqa: F401
 
@@ -43,6 +43,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
     return secrets.scan(table(spark, sf_dir, "documents")).select(
@@ -82,6 +89,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_quality_rules": op2_quality_rules,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op5_secret_scan": op5_secret_scan,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_source_mixing": op7_source_mixing,

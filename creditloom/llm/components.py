@@ -1,12 +1,17 @@
-"""Connected components by distributed union-find: hook to the least neighbour, then shorten the paths."""
+"""Connected components by distributed union-find, and the links of buckets without pairing buckets with themselves."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.common import stored
 
+#: Rounds in which every node of a bucket meets one other.
+ROUNDS = 3
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``(id, component)`` of every end of ``edges (a, b)``; ``component`` is the least id that can be reached.
@@ -26,3 +31,50 @@ def components(edges: DataFrame) -> DataFrame:
         if labels.where("component <> was").isEmpty():
             return labels.select("id", "component")
         labels = labels.drop("was")
+
+
+def ordered(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def met(live: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each node with one of its bucket: by degree, by least node, then by a hash of the turn."""
+    key = [F.struct("degree", "node"), F.struct(F.col("node")), F.struct(F.xxhash64("node", F.lit(turn)), "node")][min(turn, 2)]
+    chosen = live.groupBy("band").agg(F.max_by(F.struct("node", "component"), key).alias("other"))
+    other = live.join(chosen, "band").where("component <> other.component")
+    return other.select(*ordered(F.col("node"), F.col("other.node"))).distinct()
+
+
+def crossing(live: DataFrame) -> DataFrame:
+    """Every pair of a bucket between two components, the largest of which is not paired with itself."""
+    sizes = live.groupBy("band", "component").count()
+    main = sizes.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("n")).where("n > 1")
+    open_groups = live.join(main, "band")
+    outside = open_groups.where("component <> main").select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
+    inside = open_groups.select("band", F.col("node").alias("y"), F.col("component").alias("cy"), (F.col("component") == F.col("main")).alias("in_main"))
+    pairs = outside.join(inside, "band").where("cx <> cy AND (in_main OR x < y)")
+    return pairs.select(*ordered(F.col("x"), F.col("y"))).distinct()
+
+
+def settled(live: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+    """Confirmed links ``(a, b)`` that connect all nodes which any chain of confirmed pairs within buckets connects.
+
+    ``live`` has a row ``(band, node, degree, component)`` for each bucket a node is in, ``component`` being the node at
+    first; ``confirm`` keeps the pairs ``(a, b)`` that are links. In each round every node of a bucket meets one node of
+    it (the best connected, the least, then a hashed choice), links found are contracted to components, and only nodes
+    of different components go on. Last, the nodes outside a bucket's largest component meet the nodes of its other
+    components, which leaves no pair of two components in one bucket unseen. ``None`` if there is no pair at all.
+    """
+    tried = edges = None
+    for turn in range(ROUNDS + 1):
+        pairs = met(live, turn) if turn < ROUNDS else crossing(live)
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            continue
+        tried = pairs if tried is None else tried.union(pairs)
+        found = stored(confirm(pairs))
+        edges = found if edges is None else edges.union(found)
+        if turn < ROUNDS:
+            labels = components(edges).withColumnsRenamed({"id": "node", "component": "least"})
+            live = stored(live.join(labels, "node", "left").withColumn("component", F.coalesce("least", "node")).drop("least"))
+    return edges

@@ -5,10 +5,7 @@ bands propose pairs; a pair's signatures are compared batch by batch, and it is
 probability that its similarity reaches the threshold falls below the chosen miss probability. What survives is checked
 on the full sets.
 
-No bucket is paired with itself. In each round every node of a bucket meets one node of it (the best connected, the
-least, then hashed choices), links found are contracted to components, and only nodes of different components go on.
-Last, the nodes outside a bucket's largest component meet the nodes of its other components, which leaves no proposed
-pair between two components unseen.
+No bucket is paired with itself; ``components.settled`` says how all proposed links are still found.
 """
 
 from __future__ import annotations
@@ -20,11 +17,11 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.common import map_batches, stored
-from creditloom.llm.components import components
+from creditloom.llm.components import components, settled
 
 WIDTH = 5
 #: Percent of the union that the intersection must reach.
@@ -35,8 +32,6 @@ BANDS, ROWS = 24, 4
 BATCH = 16
 #: Probability of dropping a pair that reaches the threshold, per comparison.
 MISS = 1e-4
-#: Rounds in which every node of a bucket meets one other.
-ROUNDS = 3
 #: Shingles hashed at a time, bounding the memory of a long text.
 CHUNK = 1 << 13
 
@@ -154,29 +149,6 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_batches(pairs.join(first, "a").join(second, "b").select("a", "b", "ta", "tb"), rows, "a binary, b binary")
 
 
-def ordered(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-
-def met(live: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each node with one of its bucket: by degree, by least node, then by a hash of the turn."""
-    key = [F.struct("degree", "node"), F.struct(F.col("node")), F.struct(F.xxhash64("node", F.lit(turn)), "node")][min(turn, 2)]
-    chosen = live.groupBy("band").agg(F.max_by(F.struct("node", "component"), key).alias("other"))
-    other = live.join(chosen, "band").where("component <> other.component")
-    return other.select(*ordered(F.col("node"), F.col("other.node"))).distinct()
-
-
-def crossing(live: DataFrame) -> DataFrame:
-    """Every pair of a bucket between two components, the largest of which is not paired with itself."""
-    sizes = live.groupBy("band", "component").count()
-    main = sizes.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("n")).where("n > 1")
-    open_groups = live.join(main, "band")
-    outside = open_groups.where("component <> main").select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
-    inside = open_groups.select("band", F.col("node").alias("y"), F.col("component").alias("cy"), (F.col("component") == F.col("main")).alias("in_main"))
-    pairs = outside.join(inside, "band").where("cx <> cy AND (in_main OR x < y)")
-    return pairs.select(*ordered(F.col("x"), F.col("y"))).distinct()
-
-
 def link(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(node, component)`` of the nodes that are linked with another."""
     nodes = stored(signed.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("values").alias("values"), F.first("bands").alias("bands")))
@@ -189,18 +161,7 @@ def link(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Data
     picked = source.join(near.select("id").distinct(), "id", "left_semi").union(source.where("id IS NULL"))
     texts = stored(with_node(picked).join(near.select("node"), "node", "left_semi").dropDuplicates(["node"]))
     live = stored(live.join(near.select("node", "degree"), "node").withColumn("component", F.col("node")))
-    tried = edges = None
-    for turn in range(ROUNDS + 1):
-        pairs = met(live, turn) if turn < ROUNDS else crossing(live)
-        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            continue
-        tried = pairs if tried is None else tried.union(pairs)
-        found = stored(confirmed(survivors(pairs, near), texts))
-        edges = found if edges is None else edges.union(found)
-        if turn < ROUNDS:
-            labels = components(edges).withColumnsRenamed({"id": "node", "component": "least"})
-            live = stored(live.join(labels, "node", "left").withColumn("component", F.coalesce("least", "node")).drop("least"))
+    edges = settled(live, lambda pairs: confirmed(survivors(pairs, near), texts))
     if edges is None:
         return signed.select("node", F.col("node").alias("component")).limit(0)
     return components(edges).withColumnRenamed("id", "node")

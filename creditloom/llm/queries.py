@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontamination, mixing, near_dedup, pii, quality, secrets, suffix_dedup, toxicity, url_filters
+from creditloom.llm import decontamination, line_dedup, mixing, near_dedup, pii, quality, secrets, suffix_dedup, toxicity, url_filters
 from creditloom.llm.common import table
 from creditloom.llm.oracle import ORACLE  # noqa: F401
 
@@ -50,6 +50,11 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs).select("doc_id", "n_removed", "text")
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
     return secrets.scan(table(spark, sf_dir, "documents")).select(
@@ -90,6 +95,7 @@ QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_quality_rules": op2_quality_rules,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op5_secret_scan": op5_secret_scan,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_source_mixing": op7_source_mixing,

@@ -109,3 +109,34 @@ def repeats(texts: dict, width: int = 100):
         rest = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
         out[d] = (len(raw), sum(gone), runs, hashlib.sha256(rest).hexdigest())
     return out
+
+
+def line_dedup(texts: dict, width: int = 8, similarity: float = 0.85, shortest: int = 20):
+    """doc_id: text without the lines that are like an earlier one, or linked with one that is."""
+    norm = {(d, i): x for d, t in texts.items() for i, raw in enumerate((t or "").split("\n")) if len(x := raw.strip(" ").lower()) >= shortest}
+    first: dict[str, tuple] = {}
+    for place in sorted(norm):
+        first.setdefault(norm[place], place)
+    sets = {p: {x[i : i + width] for i in range(len(x) - width + 1)} for x, p in first.items()}
+    root = {p: p for p in sets}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    places = sorted(sets, key=lambda p: len(sets[p]))
+    for i, a in enumerate(places):
+        for b in places[i + 1 :]:
+            x, y = sets[a], sets[b]
+            if len(x) < similarity * len(y):
+                break
+            shared = len(x & y)
+            if shared >= similarity * (len(x) + len(y) - shared):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    out = {}
+    for d, t in texts.items():
+        rows = (t or "").split("\n")
+        out[d] = None if t is None else "\n".join(r for i, r in enumerate(rows) if (d, i) not in norm or find(first[norm[d, i]]) == (d, i))
+    return out

@@ -56,25 +56,34 @@ def crossing(live: DataFrame) -> DataFrame:
     return pairs.select(*ordered(F.col("x"), F.col("y"))).distinct()
 
 
-def settled(live: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+def settled(live: DataFrame, confirm: Callable[[DataFrame], DataFrame], cross: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
     """Confirmed links ``(a, b)`` that connect all nodes which any chain of confirmed pairs within buckets connects.
 
     ``live`` has a row ``(band, node, degree, component)`` for each bucket a node is in, ``component`` being the node at
     first; ``confirm`` keeps the pairs ``(a, b)`` that are links. In each round every node of a bucket meets one node of
     it (the best connected, the least, then a hashed choice), links found are contracted to components, and only nodes
     of different components go on. Last, the nodes outside a bucket's largest component meet the nodes of its other
-    components, which leaves no pair of two components in one bucket unseen. ``None`` if there is no pair at all.
+    components, which leaves no pair of two components in one bucket unseen; ``cross`` does this where it is given, by
+    ``confirm`` of the pairs else. ``None`` if there is no link.
     """
     tried = edges = None
-    for turn in range(ROUNDS + 1):
-        pairs = met(live, turn) if turn < ROUNDS else crossing(live)
+    for turn in range(ROUNDS):
+        pairs = met(live, turn)
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             continue
         tried = pairs if tried is None else tried.union(pairs)
         found = stored(confirm(pairs))
+        if found.isEmpty():
+            continue
         edges = found if edges is None else edges.union(found)
-        if turn < ROUNDS:
-            labels = components(edges).withColumnsRenamed({"id": "node", "component": "least"})
-            live = stored(live.join(labels, "node", "left").withColumn("component", F.coalesce("least", "node")).drop("least"))
-    return edges
+        labels = components(edges).withColumnsRenamed({"id": "node", "component": "least"})
+        live = stored(live.join(labels, "node", "left").withColumn("component", F.coalesce("least", "node")).drop("least"))
+    if cross is None:
+        pairs = crossing(live)
+        found = stored(confirm(stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))))
+    else:
+        found = stored(cross(live))
+    if found.isEmpty():
+        return edges
+    return found if edges is None else edges.union(found)

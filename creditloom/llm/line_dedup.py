@@ -127,17 +127,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remov
     one document and are cut alike. A null text stays null. All other columns stay; one named ``removed_col`` is
     replaced. An empty table gives an empty result.
     """
-    removed = stored(repeated_lines(docs, id_col, text_col)).select(F.col("id").alias("_id"), F.col("hash").alias("_hash"), F.col("removed").alias("_removed"))
-    text = F.col(text_col).cast("string")
-    marked = docs.drop(removed_col).withColumn("_key", F.xxhash64(text)).withColumn("_slot", F.pmod("_key", F.lit(SLOTS)))
-    slots = occupied(removed.select(F.col("_hash").alias("hash"))).withColumnRenamed("slot", "_slot")
-    untouched = marked.join(slots, "_slot", "left_anti").withColumn(removed_col, F.lit(0).cast("long"))
-    maybe = marked.join(slots, "_slot", "left_semi")
-    joined = maybe.join(removed, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left")
+    removed = stored(repeated_lines(docs, id_col, text_col))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    id_, text = F.col("row").getField(id_col), F.col("row").getField(text_col).cast("string")
+    marked = rows.withColumn("key", F.xxhash64(text)).withColumn("slot", F.pmod("key", F.lit(SLOTS)))
+    slots = occupied(removed)
+    untouched = marked.join(slots, "slot", "left_anti").withColumn("removed", F.lit(None).cast("array<int>"))
+    maybe = marked.join(slots, "slot", "left_semi").join(removed, id_.eqNullSafe(F.col("id")) & (F.col("key") == F.col("hash")), "left")
     parts = F.split(text, "\n")
-    staying = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_removed"))
-    cut = F.when(F.col("_removed").isNull(), text).otherwise(F.array_join(F.transform(staying, lambda i: parts[i]), "\n"))
-    count = F.coalesce(F.size("_removed"), F.lit(0)).cast("long")
-    touched = joined.withColumn(removed_col, F.when(F.col("_removed").isNull(), F.lit(0).cast("long")).otherwise(count)).withColumn(text_col, cut)
-    columns = [*(c for c in docs.columns if c != removed_col), removed_col]
-    return untouched.select(columns).unionByName(touched.select(columns))
+    staying = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("removed"))
+    cut = F.when(F.col("removed").isNull(), text).otherwise(F.array_join(F.transform(staying, lambda i: parts[i]), "\n"))
+    count = F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).cast("long")
+    both = untouched.select("row", "removed").unionByName(maybe.select("row", "removed"))
+    columns = [cut.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c != removed_col]
+    return both.select(*columns, count.alias(removed_col))

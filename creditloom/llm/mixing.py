@@ -63,22 +63,23 @@ def mix(
     All columns stay; a column already named ``replica_col`` is replaced. Rows with one id, repeated or null, share their
     draw. Null texts count no characters. An empty table gives an empty one.
     """
-    rates = source_rates(docs, targets, epochs, source_col, text_col).select(F.struct("source", "draws", "cdf").alias("_rate"))
-    marked = docs.drop(replica_col).withColumn("_u", F.struct(F.lit(str(seed)).alias("seed"), F.col(id_col).cast("string").alias("id")))
-    same = F.col(source_col).eqNullSafe(F.col("_rate.source"))
+    rates = source_rates(docs, targets, epochs, source_col, text_col)
+    columns = [c for c in docs.columns if c != replica_col]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), F.col(id_col).cast("string").alias("id"), F.col(source_col).alias("of"))
+    same = F.col("of").eqNullSafe(F.col("source"))
     if rates.count() <= BROADCAST_SOURCES:
-        drawn = marked.join(F.broadcast(rates), same)
+        drawn = rows.join(F.broadcast(rates), same)
     else:
-        salted = rates.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salt = F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")
-        drawn = marked.withColumn("_salt", salt).join(salted, same & (F.col("_salt") == F.col("_slice"))).drop("_salt", "_slice")
+        salted = rates.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        drawn = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, same & (F.col("salt") == F.col("slice")))
+    key = F.lit(str(seed))
 
     def times(draw: Column) -> Column:
-        u = unit(F.col("_u.seed"), F.col("_u.id"), draw.cast("string"))
-        return F.size(F.filter("_rate.cdf", lambda c: c <= u))
-
-    first, rest = times(F.lit(1)), F.aggregate(F.sequence(F.lit(2), F.col("_rate.draws")), F.lit(0), lambda n, draw: n + times(draw))
-    count = F.when(F.col("_rate.draws") == 1, first).otherwise(first + rest)
-    copies = drawn.withColumn("_n", count).where("_n > 0").withColumn(replica_col, F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    order = unit(F.lit("order"), F.col("_u.seed"), F.col("_u.id"), F.col(replica_col).cast("string"))
-    return copies.withColumn("_order", order).repartition("_order").sortWithinPartitions("_order").drop("_order", "_n", "_u", "_rate")
+        u = unit(key, F.col("id"), draw.cast("string"))
+        return F.size(F.filter("cdf", lambda c: c <= u))
+
+    rest = F.aggregate(F.sequence(F.lit(2), F.col("draws")), F.lit(0), lambda n, draw: n + times(draw))
+    count = times(F.lit(1)) + F.when(F.col("draws") > 1, rest).otherwise(0)
+    copies = drawn.withColumn("n", count).where("n > 0").select("row", "id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    shuffled = copies.withColumn("at", unit(F.lit("order"), key, F.col("id"), F.col("copy").cast("string"))).repartition("at").sortWithinPartitions("at")
+    return shuffled.select(*(F.col("row").getField(c).alias(c) for c in columns), F.col("copy").alias(replica_col))

@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.common import map_batches, stored
@@ -32,6 +33,8 @@ BANDS, ROWS = 24, 4
 BATCH = 16
 #: Probability of dropping a pair that reaches the threshold, per comparison.
 MISS = 1e-4
+#: Nodes on each side of a block.
+BLOCK = 256
 #: Shingles hashed at a time, bounding the memory of a long text.
 CHUNK = 1 << 13
 
@@ -139,8 +142,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     sets[node] = shingle_set(text)
             x, y = sets.get(a), sets.get(b)
             x, y = shingle_set(left) if x is None else x, shingle_set(right) if y is None else y
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * shared >= SIMILARITY * (len(x) + len(y) - shared):
+            if alike(x, y):
                 kept.append(i)
         chosen = pa.array(kept, pa.int64())
         return {"a": batch.column(0).take(chosen), "b": batch.column(1).take(chosen)}
@@ -149,19 +151,119 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_batches(pairs.join(first, "a").join(second, "b").select("a", "b", "ta", "tb"), rows, "a binary, b binary")
 
 
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by their first three columns, cut into runs of equal ones; a run is a block of bounded size."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows]).combine_chunks()
+        keys = [rows.column(i).to_numpy() for i in range(3)]
+        ends = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+        for first, last in zip([0, *ends], ends, strict=False):
+            yield rows.slice(first, last - first)
+        rest = rows.slice(ends[-1] if len(ends) else 0)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def matrix(column: pa.ChunkedArray) -> np.ndarray:
+    return np.array([np.frombuffer(v, np.uint32) for v in column.to_pylist()]).reshape(-1, BANDS * ROWS)
+
+
+def block_survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each block the nodes with pairs that no batch of hash values rules out, and those pairs as lists.
+
+    A pair is looked at in the first band it shares only.
+    """
+    needed = least_matches()
+    for rows in runs(batches):
+        index, outside, in_main = rows.column("index")[0].as_py(), rows.column("outside").to_numpy(), rows.column("in_main").to_numpy()
+        nodes, owners = np.array(rows.column("node").to_pylist(), object), np.array(rows.column("component").to_pylist(), object)
+        values, sizes = matrix(rows.column("values")), rows.column("n_shingles").to_numpy()
+        left, right = np.flatnonzero(outside), np.flatnonzero(~outside)
+        found: dict[int, set[bytes]] = {}
+        for x in left:
+            near = right[(owners[right] != owners[x]) & (in_main[right] | (nodes[right] > nodes[x]))]
+            near = near[100 * np.minimum(sizes[near], sizes[x]) >= SIMILARITY * np.maximum(sizes[near], sizes[x])]
+            matches = np.zeros(len(near), int)
+            for k, least in enumerate(needed):
+                cut = slice(k * BATCH, (k + 1) * BATCH)
+                matches += (values[near, cut] == values[x, cut]).sum(axis=1)
+                near, matches = near[matches >= least], matches[matches >= least]
+            if len(near):
+                bands = (values[near] == values[x]).reshape(-1, BANDS, ROWS).all(axis=2)
+                near = near[bands.argmax(axis=1) == index]
+            if len(near):
+                found[x] = set(nodes[near])
+                for y in near:
+                    found.setdefault(y, set())
+        if found:
+            picked = pa.array(list(found), pa.int64())
+            partners = pa.array([sorted(v) for v in found.values()], pa.list_(pa.binary()))
+            block = [rows.column(c).take(picked).combine_chunks() for c in ("band", "i", "j", "node")]
+            yield pa.RecordBatch.from_arrays([*block, partners], ["band", "i", "j", "node", "partners"])
+
+
+def block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a block whose full sets reach the threshold."""
+    for rows in runs(batches):
+        sets: dict[bytes, np.ndarray] = {}
+        lists: dict[bytes, set[bytes]] = {}
+        for node, partners, text in zip(*(rows.column(c).to_pylist() for c in ("node", "partners", "text")), strict=True):
+            if node not in sets:
+                sets[node] = shingle_set(text)
+            lists.setdefault(node, set()).update(partners)
+        pairs = [sorted((x, y)) for x, ys in lists.items() for y in ys if alike(sets[x], sets[y])]
+        if pairs:
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+
+def alike(x: np.ndarray, y: np.ndarray) -> bool:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= SIMILARITY * (len(x) + len(y) - shared)
+
+
+def crossing_links(live: DataFrame, near: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between different components of a bucket, found in blocks of about ``BLOCK`` by ``BLOCK`` nodes.
+
+    The nodes outside a bucket's largest component meet all others. Blocks are compared where they are, so no row is
+    made for a pair that is not a link.
+    """
+    sizes = live.groupBy("band", "component").count()
+    main = F.max_by("component", F.struct("count", "component")).alias("main")
+    opened = sizes.groupBy("band").agg(main, F.max("count").alias("most"), F.sum("count").alias("total"), F.count("*").alias("n")).where("n > 1")
+    members = live.join(opened, "band").join(near.select("node", "values", "n_shingles"), "node")
+    members = members.withColumn("in_main", F.col("component") == F.col("main"))
+    members = members.withColumn("outs", F.ceil((F.col("total") - F.col("most")) / BLOCK).cast("int")).withColumn("ins", F.ceil(F.col("total") / BLOCK).cast("int"))
+    columns = ["band", "i", "j", "outside", "index", "in_main", "node", "component", "values", "n_shingles"]
+    place = F.xxhash64("node")
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    out = members.where("NOT in_main").withColumn("outside", F.lit(True)).withColumn("i", F.pmod(place, "outs").cast("int")).withColumn("j", every("ins"))
+    inside = members.withColumn("outside", F.lit(False)).withColumn("j", F.pmod(place, "ins").cast("int")).withColumn("i", every("outs"))
+    key = ["band", "i", "j"]
+    blocks = out.select(columns).union(inside.select(columns)).repartition(*key).sortWithinPartitions(*key)
+    left = stored(blocks.mapInArrow(block_survivors, "band long, i int, j int, node binary, partners array<binary>"))
+    again = left.join(texts, "node").select(*key, "node", "partners", "text").repartition(*key).sortWithinPartitions(*key)
+    return again.mapInArrow(block_links, "a binary, b binary").distinct()
+
+
 def link(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(node, component)`` of the nodes that are linked with another."""
-    nodes = stored(signed.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("values").alias("values"), F.first("bands").alias("bands")))
-    buckets = nodes.select("node", F.explode("bands").alias("band"))
+    first = [F.first(c).alias(c) for c in ("values", "bands", "n_shingles")]
+    nodes = stored(signed.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), *first))
+    buckets = nodes.select("node", F.posexplode("bands").alias("index", "band"))
     shared = buckets.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     live = stored(buckets.join(shared, "band"))
     degree = live.groupBy("node").agg(F.sum("size").alias("degree"))
-    near = stored(nodes.join(degree, "node").select("node", "id", "values", "degree"))
+    near = stored(nodes.join(degree, "node").select("node", "id", "values", "degree", "n_shingles"))
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     picked = source.join(near.select("id").distinct(), "id", "left_semi").union(source.where("id IS NULL"))
     texts = stored(with_node(picked).join(near.select("node"), "node", "left_semi").dropDuplicates(["node"]))
     live = stored(live.join(near.select("node", "degree"), "node").withColumn("component", F.col("node")))
-    edges = settled(live, lambda pairs: confirmed(survivors(pairs, near), texts))
+    edges = settled(live, lambda pairs: confirmed(survivors(pairs, near), texts), lambda open_: crossing_links(open_, near, texts))
     if edges is None:
         return signed.select("node", F.col("node").alias("component")).limit(0)
     return components(edges).withColumnRenamed("id", "node")
@@ -192,3 +294,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = rows.join(least, "component", "left")
     component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least"))
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns as they are: one for each id that its component keeps.
+
+    Rows of a null id have no name to be chosen by and all stay.
+    """
+    chosen = stored(near_duplicates(docs, id_col, text_col).where("kept").select(id_col).distinct())
+    named = docs.where(F.col(id_col).isNotNull()).join(chosen, id_col, "left_semi").dropDuplicates([id_col])
+    return named.select(docs.columns).union(docs.where(F.col(id_col).isNull()))

@@ -7,7 +7,7 @@ documents: at most 3 ** rules patterns leave the executors, whatever the size of
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import SPACES, map_batches, stored
+from creditloom.llm.common import SPACES, stored
 
 SYMBOLS = "#*$%&|<>"
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_letters", "n_digits"]
@@ -135,15 +135,44 @@ def fit_votes(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> VoteM
     return model
 
 
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id_col, *FEATURES)``, one row per input row; a null text gives zeros."""
+def features(docs: DataFrame, text_col: str) -> DataFrame:
+    """``(row, *FEATURES)``: each row of ``docs`` as a struct, and the features of its text; a null text gives zeros."""
+    schema = f"row {docs.schema.simpleString()}, " + ", ".join(f"{f} long" for f in FEATURES)
 
-    def rows(batch: pa.RecordBatch) -> dict[str, list]:
-        values = [text_features(t) for t in batch.column(1).to_pylist()]
-        return {id_col: batch.column(0)} | {f: [v[i] for v in values] for i, f in enumerate(FEATURES)}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = np.array([text_features(t) for t in batch.column(1).to_pylist()], np.int64).reshape(-1, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, values.T.copy())], ["row", *FEATURES])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(id_col, F.col(text_col).cast("string")), rows, f"`{id_col}` {kind}, " + ", ".join(f"{f} long" for f in FEATURES))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return rows.select("row", F.col("row").getField(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+
+
+#: Fewest words of a document, and percent of its words in repeated windows beyond which it fails whatever the votes.
+FEWEST_WORDS, MOST_REPEATED = 50, 50
+#: Posterior probability from which a document is kept.
+KEPT = 0.5
+
+
+def base_failed() -> Column:
+    return (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+
+
+def kept() -> Column:
+    return ~base_failed() & (F.col("quality") >= KEPT)
+
+
+def posteriors(voted: DataFrame, rules: int) -> DataFrame:
+    """``(votes, quality)``: the fitted probability of every pattern of votes that occurs, to be broadcast."""
+    patterns = voted.groupBy("votes").count().collect()  # 3 ** rules at most
+    table = np.array([[int(v) for v in p["votes"].split(",")] for p in patterns], int).reshape(-1, rules)
+    model = fit_votes(table, np.array([p["count"] for p in patterns], float))
+    fitted = [(p["votes"], float(q)) for p, q in zip(patterns, model.posterior(table), strict=True)]
+    return F.broadcast(voted.sparkSession.createDataFrame(fitted, "votes string, quality double"))
+
+
+def votes_of(rules: Sequence[Rule]) -> Column:
+    return F.concat_ws(",", *(r.vote().cast("string") for r in rules)).alias("votes")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: Sequence[Rule] | None = None) -> DataFrame:
@@ -151,14 +180,20 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
 
     One pass over the texts: the features are stored in the shared folder, the patterns are counted there, and the
     fitted probability of each pattern comes back through a broadcast of at most 3 ** rules rows. An empty table gives
-    an empty result. Repeated rows count as often as they occur; a null id is kept.
+    an empty result. Repeated rows count as often as they occur; a null id is kept; other columns are not read.
     """
     rules = list(rules or default_rules())
-    spark = docs.sparkSession
-    votes = F.concat_ws(",", *(r.vote().cast("string") for r in rules))
-    voted = stored(features(docs, id_col, text_col).withColumn("votes", votes))
-    patterns = voted.groupBy("votes").count().collect()
-    table = np.array([[int(v) for v in p["votes"].split(",")] for p in patterns], int).reshape(-1, len(rules))
-    model = fit_votes(table, np.array([p["count"] for p in patterns], float))
-    fitted = [(p["votes"], float(q)) for p, q in zip(patterns, model.posterior(table), strict=True)]
-    return voted.join(F.broadcast(spark.createDataFrame(fitted, "votes string, quality double")), "votes", "left")
+    found = features(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
+    voted = stored(found.select(F.col("row.id").alias("id"), *FEATURES, votes_of(rules)))
+    return voted.join(posteriors(voted, len(rules)), "votes", "left").withColumnRenamed("id", id_col)
+
+
+def keep(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] | None = None) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns as they are; cases as in ``score``, a null text goes.
+
+    The features are computed once to fit the model and again beside the rows, which moves no text between machines.
+    """
+    rules = list(rules or default_rules())
+    found = features(docs.select(F.col(text_col).alias("text")), "text").select(votes_of(rules))
+    judged = features(docs, text_col).withColumn("votes", votes_of(rules)).join(posteriors(found, len(rules)), "votes", "left")
+    return judged.where(kept()).select("row.*")

@@ -36,10 +36,9 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(table(spark, sf_dir, "documents"))
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & (F.col("quality") >= 0.5)).alias("kept"), "quality", "votes",
+        quality.base_failed().alias("base_failed"), quality.kept().alias("kept"), "quality", "votes",
     )
 
 

@@ -41,6 +41,8 @@ BEGINNINGS = (4, 5)
 SURE = 0.3
 #: Pull of the weights to zero.
 RIDGE = 0.1
+#: Words counted in a task before their counts are handed on.
+PART = 200_000
 EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»¡¿…“”"
 OUTER = EDGES.replace("@", "").replace("$", "").replace("|", "")
 DRAWN = re.compile(r"(.)\1\1")
@@ -132,8 +134,9 @@ class ToxicityModel:
     words: dict[str, float]
     bias: float
 
-    def score(self, words: set[str]) -> float:
-        return float(1 / (1 + np.exp(-self.bias - sum(self.words[w] for w in words & self.words.keys()))))
+    def score(self, words: list[str]) -> float:
+        """Of the distinct words of a text that the model knows."""
+        return float(1 / (1 + np.exp(-self.bias - sum(self.words[w] for w in words))))
 
 
 def logistic(rows: list[tuple[list[int], int]], width: int) -> tuple[np.ndarray, float]:
@@ -175,13 +178,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, str] = {}
         letters = shared()
+        counts: dict[str, list[int]] = {}
+
+        def part() -> pa.RecordBatch:
+            clean, toxic = (pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), clean, toxic], ["word", "clean", "toxic"])
+
         for batch in batches:
-            counts: dict[str, list[int]] = {}
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for word in restored(text, letters, known):
                     counts.setdefault(word, [0, 0])[toxic] += 1
-            clean, toxic = (pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), clean, toxic], ["word", "clean", "toxic"])
+                if len(counts) > PART:
+                    yield part()
+                    counts.clear()
+        yield part()
 
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
     copies = F.md5(F.col("text").cast("binary"))
@@ -217,9 +227,8 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
         known: dict[str, str] = {}
         model = shared()
         for batch in batches:
-            found = [restored(t, model.letters, known) for t in batch.column(1).to_pylist()]
-            scores = [model.score(w) for w in found]
-            marks = [sorted(w & model.words.keys()) for w in found]
+            marks = [sorted(restored(t, model.letters, known) & model.words.keys()) for t in batch.column(1).to_pylist()]
+            scores = [model.score(w) for w in marks]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(marks, pa.list_(pa.string()))], [id_col, "score", "words"])
 
     return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)

@@ -59,6 +59,19 @@ def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], dict[str, list]]
     return df.mapInArrow(run, fields)
 
 
+#: Slots of the set of ids that tells which rows a join can touch: a fixed size, at most 16 MB.
+SLOTS = 1 << 20
+
+
+def slot(key: Column | str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SLOTS)).alias("slot")
+
+
+def occupied(df: DataFrame, key: Column | str) -> DataFrame:
+    """The slots of ``key``, at most ``SLOTS`` rows, to broadcast. Rows in other slots can't meet ``df`` and stay where they are."""
+    return F.broadcast(df.select(slot(key)).distinct())
+
+
 def unit(*parts: Column | str) -> Column:
     """Uniform number in [0, 1) from the md5 of the parts, 52 bits; any engine with md5 gives the same."""
     text = F.concat_ws(":", *parts)

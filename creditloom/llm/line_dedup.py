@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import stored
+from creditloom.llm.common import occupied, slot, stored
 from creditloom.llm.components import components, settled
 
 #: Characters of a shingle.
@@ -29,8 +29,6 @@ SKETCH = 32
 BANDS, ROWS = 10, 4
 #: Characters that are cut into shingles at a time; keeps the work in proportion to the line.
 PIECE = 64
-#: Slots of the set of ids that are broadcast to leave other rows where they are: a fixed size, at most 16 MB.
-SLOTS = 1 << 20
 
 
 def shingles(line: Column) -> Column:
@@ -68,11 +66,6 @@ def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return split.select("id", "hash", "line", F.lower(F.trim("raw")).alias("norm")).where(F.length("norm") >= SHORTEST)
 
 
-def occupied(ids: DataFrame) -> DataFrame:
-    """Slots of the column ``hash``: a table of at most ``SLOTS`` rows to broadcast."""
-    return F.broadcast(ids.select(F.pmod("hash", F.lit(SLOTS)).alias("slot")).distinct())
-
-
 def similar(a: Column, b: Column) -> Column:
     shared = F.size(F.array_intersect(a, b))
     return shared >= SIMILARITY * (F.size(a) + F.size(b) - shared)
@@ -94,8 +87,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spot = F.struct("node", "place.line")
     wanted = nodes.join(near, "node").groupBy("place.id", "place.hash").agg(F.collect_list(spot).alias("wanted"))
     text = F.col(text_col).cast("string")
-    source = docs.select(F.col(id_col).alias("_id"), text.alias("text"), F.xxhash64(text).alias("_hash")).withColumn("slot", F.pmod("_hash", F.lit(SLOTS)))
-    owners = source.join(occupied(wanted), "slot", "left_semi").dropDuplicates(["_id", "_hash"])
+    source = docs.select(F.col(id_col).alias("_id"), text.alias("text"), F.xxhash64(text).alias("_hash")).withColumn("slot", slot("_hash"))
+    owners = source.join(occupied(wanted, "hash"), "slot", "left_semi").dropDuplicates(["_id", "_hash"])
     found = wanted.join(owners, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")))
     rows = F.split("text", "\n")
     taken = found.select(F.explode(F.transform("wanted", lambda w: F.struct(w["node"].alias("node"), F.lower(F.trim(rows[w["line"]])).alias("norm")))).alias("one"))
@@ -130,8 +123,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remov
     removed = stored(repeated_lines(docs, id_col, text_col))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     id_, text = F.col("row").getField(id_col), F.col("row").getField(text_col).cast("string")
-    marked = rows.withColumn("key", F.xxhash64(text)).withColumn("slot", F.pmod("key", F.lit(SLOTS)))
-    slots = occupied(removed)
+    marked = rows.withColumn("key", F.xxhash64(text)).withColumn("slot", slot("key"))
+    slots = occupied(removed, "hash")
     untouched = marked.join(slots, "slot", "left_anti").withColumn("removed", F.lit(None).cast("array<int>"))
     maybe = marked.join(slots, "slot", "left_semi").join(removed, id_.eqNullSafe(F.col("id")) & (F.col("key") == F.col("hash")), "left")
     parts = F.split(text, "\n")

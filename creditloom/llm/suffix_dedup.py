@@ -7,10 +7,12 @@ holds every such string and the parse (which phrase stands where) says where it
 ordered by their first 100 bytes and, where these agree, by first occurrence in the parse: no removal looks deeper, so
 neither array is built beyond that.
 
-1. Triggers of all texts are counted by hash. A string whose trigger occurs once occurs once.
-2. Phrases with a shared trigger are looked up in the dictionary. Where a phrase occurs again, all its strings repeat,
-   and all but the first occurrence are removed whole. This is where repetitive text shrinks to its dictionary.
-3. Distinct phrases with one trigger may share some strings: only for these the suffixes are written out and ordered.
+1. The parse is dealt by trigger and sorted. Where a phrase occurs again, all its strings repeat, and all but the first
+   occurrence are removed whole. This is where repetitive text shrinks to its dictionary. A batch of texts hands on one
+   row for a phrase with its places, so a phrase that a third of all texts hold makes a row per batch.
+2. A trigger with one phrase is done: its strings are unique. Distinct phrases with one trigger may share some strings,
+   and only their suffixes are ordered, all phrases of a trigger together. A trigger with very many phrases has its
+   suffixes written out and dealt by their hash instead.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import stored
+from creditloom.llm.common import occupied, slot, stored
 
 #: Bytes of the strings that are compared.
 WIDTH = 100
@@ -31,10 +33,14 @@ GRAM = 32
 #: Windows of which the least hash is a trigger; a string of WIDTH bytes has exactly so many.
 SPAN = WIDTH - GRAM + 1
 
-#: Bytes of a text that are parsed at a time. A phrase across the border is two; its strings meet in step 3.
-BLOCK = 1 << 20
+#: Bytes that are hashed at a time.
+PIECE = 1 << 20
+#: Distinct phrases of one trigger up to which their suffixes are ordered in one place; ``PIECE`` bytes hold them all.
+GROUP = 4096
+#: Bytes of a text that are parsed at a time. A phrase across the border is two; its strings meet in step 2.
+BLOCK = PIECE
 #: Low bits of a mixed hash that give way to the place, so that the leftmost of equal minima is taken.
-PLACE = np.uint64(21)
+PLACE_BITS = np.uint64(21)
 
 #: Odd bases of the two rolling hashes, modulo 2 ** 64.
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
@@ -47,7 +53,7 @@ def hash_tables() -> Tables:
     tables = []
     for base in BASES:
         numbers = random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        powers = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(BLOCK + WIDTH, b, np.uint64)])) for b in (base, pow(base, -1, 1 << 64))]
+        powers = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(PIECE + WIDTH, b, np.uint64)])) for b in (base, pow(base, -1, 1 << 64))]
         tables.append((numbers, *powers))
     return tables
 
@@ -82,7 +88,7 @@ def phrases(raw: np.ndarray, table: tuple) -> Iterator[tuple[np.ndarray, np.ndar
         strings = rolling(total, WIDTH, table)
         n = len(strings)
         grams = rolling(total, GRAM, table)
-        least = (grams >> PLACE << PLACE) | np.arange(len(grams), dtype=np.uint64)
+        least = (grams >> PLACE_BITS << PLACE_BITS) | np.arange(len(grams), dtype=np.uint64)
         have = 1
         while have * 2 <= SPAN:
             least = np.minimum(least[:-have], least[have:])
@@ -92,36 +98,150 @@ def phrases(raw: np.ndarray, table: tuple) -> Iterator[tuple[np.ndarray, np.ndar
         starts = np.flatnonzero(np.diff(trigger, prepend=-1))
         counts = np.diff(starts, append=n)
         phrase = mixed(strings[starts] * np.uint64(3) + strings[starts + counts - 1]) >> np.uint64(32)
-        yield grams[trigger[starts]].view(np.int64), phrase.astype(np.uint32).view(np.int32), (starts + at).astype(np.int32), counts.astype(np.int16)
+        yield (grams[trigger[starts]] >> np.uint64(16)).view(np.int64), phrase.astype(np.uint32).view(np.int32), (starts + at).astype(np.int32), counts.astype(np.int16)
 
 
-def trigger_counts(texts: DataFrame) -> DataFrame:
-    """``(trigger, times)``: how often each trigger hash occurs, in parts."""
+PLACE = pa.struct([("id", pa.int64()), ("start", pa.int32())])
+PARSE = "trigger long, phrase int, n short, id long, start int, more array<struct<id:long,start:int>>"
+
+
+def parse(texts: DataFrame) -> DataFrame:
+    """The parse by phrase: in each batch of texts a phrase's first place ``(id, start)`` and its others in ``more``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = hash_tables()[0]
         for batch in batches:
-            found = [t for text in batch.column(0).to_pylist() for t, *_ in phrases(encoded(text), table)]
-            if found:
-                trigger, times = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(trigger), pa.array(times)], ["trigger", "times"])
+            ids = batch.column(0).to_numpy()
+            found = [(i, block) for i, text in enumerate(batch.column(1).to_pylist()) for block in phrases(encoded(text), table)]
+            if not found:
+                continue
+            owner = ids[np.repeat([i for i, _ in found], [len(block[0]) for _, block in found])]
+            trigger, phrase, start, n = (np.concatenate([block[j] for _, block in found]) for j in range(4))
+            order = np.lexsort((start, owner, n, phrase, trigger))
+            trigger, phrase, start, n, owner = (x[order] for x in (trigger, phrase, start, n, owner))
+            head = np.ones(len(order), bool)
+            head[1:] = (trigger[1:] != trigger[:-1]) | (phrase[1:] != phrase[:-1]) | (n[1:] != n[:-1])
+            rest = np.flatnonzero(~head)
+            offsets = np.concatenate([[0], np.cumsum(np.diff(np.flatnonzero(head), append=len(head)) - 1)]).astype(np.int32)
+            places = pa.StructArray.from_arrays([pa.array(owner[rest]), pa.array(start[rest])], fields=list(PLACE))
+            columns = [pa.array(x[head]) for x in (trigger, phrase, n, owner, start)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(offsets), places)], ["trigger", "phrase", "n", "id", "start", "more"])
+
+    return texts.select("id", "text").mapInArrow(run, PARSE)
+
+
+def judged(parsed: DataFrame) -> DataFrame:
+    """``(again, trigger, id, start, n)`` of a parse: places of phrases that occur earlier, and with ``again`` false the
+    first places of phrases whose trigger has others.
+
+    Rows come sorted by trigger, phrase and place; the last row is all that is carried on.
+    """
 
-    return texts.select("text").mapInArrow(run, "trigger long, times long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple | None = None  # trigger, phrase, n, and its first place while no other phrase of the trigger came
+        for batch in batches:
+            trigger, phrase, n, owner, start = (batch.column(i).to_numpy() for i in range(5))
+            if not len(trigger):
+                continue
+            before = [np.concatenate([[x], column[:-1]]) for x, column in zip(last or (trigger[0] ^ 1, 0, 0), (trigger, phrase, n), strict=False)]
+            same_trigger = trigger == before[0]
+            again = same_trigger & (phrase == before[1]) & (n == before[2])
+            more = batch.column(5)
+            lengths = np.diff(more.offsets.to_numpy())
+            others = more.flatten()
+            out = [(np.ones(len(others), bool), np.repeat(trigger, lengths), others.field("id").to_numpy(), others.field("start").to_numpy(), np.repeat(n, lengths)),
+                   (np.ones(again.sum(), bool), trigger[again], owner[again], start[again], n[again])]
+            new = np.flatnonzero(~again)
+            held = last[3] if last else None
+            if len(new):
+                follows = same_trigger[new]
+                shown = follows.copy()
+                shown[:-1] |= follows[1:]  # a phrase that another of its trigger follows
+                if held is not None and follows[0]:
+                    out.append(tuple(np.array([x]) for x in (False, last[0], *held, last[2])))
+                final = new[-1]
+                pending = not shown[-1]
+                place = new[shown]
+                out.append((np.zeros(len(place), bool), trigger[place], owner[place], start[place], n[place]))
+                held = (owner[final], start[final]) if pending else None
+                last = (trigger[final], phrase[final], n[final], held)
+            kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int16())
+            columns = [pa.array(np.concatenate([part[i] for part in out]), kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["again", "trigger", "id", "start", "n"])
+
+    rows = parsed.repartition("trigger").sortWithinPartitions("trigger", "phrase", "n", "id", "start")
+    return rows.mapInArrow(run, "again boolean, trigger long, id long, start int, n short")
+
+
+def phrase_bytes(spans: DataFrame) -> DataFrame:
+    """``(trigger, id, start, data)``: the phrases of ``(id, text, spans)`` with all bytes their strings reach."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for key, text, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                raw = (text or "").encode("utf-8", "surrogatepass")
+                rows += [(s["trigger"], key, s["start"], raw[s["start"] : s["start"] + s["n"] + WIDTH - 1]) for s in found]
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["trigger", "id", "start", "data"])
+
+    return spans.select("id", "text", "spans").mapInArrow(run, "trigger long, id long, start int, data binary")
 
-def parse(texts: DataFrame) -> DataFrame:
-    """``(trigger, phrase, id, start, n)``: the parse of every text, phrases by hash."""
+
+def ordered_suffixes(rows: DataFrame) -> DataFrame:
+    """``(id, start, n)``: strings of the phrases of a trigger that begin earlier in another of them.
+
+    Rows come sorted by trigger and place, all phrases of a trigger together, at most ``GROUP``. Suffixes are ordered by
+    the hashes of their first ``WIDTH`` bytes, then by place.
+    """
+
+    def repeats(owner: np.ndarray, start: np.ndarray, data: list[bytes], tables: Tables) -> list[np.ndarray]:
+        sizes = np.array([len(d) for d in data])
+        raw = np.frombuffer(b"".join(data), np.uint8)
+        counts = sizes - WIDTH + 1
+        which = np.repeat(np.arange(len(data)), counts)
+        inner = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = np.repeat(np.cumsum(sizes) - sizes, counts) + inner
+        key, other = (rolling(sums(raw, table), WIDTH, table)[at] for table in tables)
+        order = np.lexsort((np.arange(len(at)), other, key))
+        same = (key[order][1:] == key[order][:-1]) & (other[order][1:] == other[order][:-1])
+        again = np.sort(order[1:][same])
+        begins = np.ones(len(again), bool)
+        begins[1:] = (again[1:] != again[:-1] + 1) | (which[again[1:]] != which[again[:-1]])
+        first = again[begins]
+        length = np.diff(np.flatnonzero(begins), append=len(again))
+        return [owner[which[first]], (start[which[first]] + inner[first]).astype(np.int32), length.astype(np.int16)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = hash_tables()[0]
+        tables = hash_tables()
+        rest: pa.Table | None = None
+
+        def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            """Whole triggers, as many at a time as ``PIECE`` bytes hold."""
+            trigger, owner, start = (table.column(i).to_numpy() for i in range(3))
+            data = table.column(3).to_pylist()
+            ends = [*(np.flatnonzero(trigger[1:] != trigger[:-1]) + 1), len(trigger)]
+            total = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+            first = 0
+            for i, end in enumerate(ends):
+                if end == len(trigger) or total[ends[i + 1]] - total[first] > PIECE:
+                    found = repeats(owner[first:end], start[first:end], data[first:end], tables)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["id", "start", "n"])
+                    first = end
+
         for batch in batches:
-            found = [(i, block) for i, text in enumerate(batch.column(1).to_pylist()) for block in phrases(encoded(text), table)]
-            if found:
-                owner = np.repeat([i for i, _ in found], [len(block[0]) for _, block in found])
-                trigger, phrase, start, n = (pa.array(np.concatenate([block[j] for _, block in found])) for j in range(4))
-                yield pa.RecordBatch.from_arrays([trigger, phrase, batch.column(0).take(pa.array(owner)), start, n], ["trigger", "phrase", "id", "start", "n"])
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table])
+            trigger = table.column(0).to_numpy()
+            cut = int(np.searchsorted(trigger, trigger[-1], "left")) if len(trigger) else 0
+            if cut:
+                yield from done(table.slice(0, cut))
+            rest = table.slice(cut)
+        if rest is not None and rest.num_rows:
+            yield from done(rest)
 
-    return texts.select("id", "text").mapInArrow(run, "trigger long, phrase int, id long, start int, n short")
+    dealt = rows.repartition("trigger").sortWithinPartitions("trigger", "id", "start")
+    return dealt.mapInArrow(run, "id long, start int, n short")
 
 
 def suffixes(spans: DataFrame) -> DataFrame:
@@ -134,8 +254,8 @@ def suffixes(spans: DataFrame) -> DataFrame:
             for i, (text, found) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 raw = encoded(text)
                 for first, last in merged(found):
-                    for at in range(first, last, BLOCK):
-                        piece = raw[at : min(last, at + BLOCK) + WIDTH - 1]
+                    for at in range(first, last, PIECE):
+                        piece = raw[at : min(last, at + PIECE) + WIDTH - 1]
                         key, other = (rolling(sums(piece, table), WIDTH, table) for table in tables)
                         keys.append(key.view(np.int64))
                         others.append((other >> np.uint64(32)).astype(np.uint32).view(np.int32))
@@ -180,21 +300,26 @@ def cut(texts: DataFrame) -> DataFrame:
     return texts.select("id", "text", "spans").mapInArrow(run, "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 
+def with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """``(id, text, spans)`` of the texts that have spans."""
+    grouped = spans.groupBy("id").agg(F.collect_list("span").alias("spans"))  # of one text, at most its phrases
+    return texts.withColumn("slot", slot("id")).join(occupied(spans, "id"), "slot", "left_semi").join(grouped, "id").select("id", "text", "spans")
+
+
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """``(id, start, n)``: ``n`` neighbouring string starts that occur earlier."""
-    shared = trigger_counts(texts).groupBy("trigger").agg(F.sum("times").alias("times")).where("times > 1").select("trigger")
-    candidates = stored(parse(texts).join(shared, "trigger"))
-    place = F.struct("id", "start")
-    dictionary = stored(candidates.groupBy("trigger", "phrase", "n").agg(F.min(place).alias("first")))
-    again = candidates.join(dictionary, ["trigger", "phrase", "n"]).where(place != F.col("first")).select("id", "start", "n")
-    several = dictionary.groupBy("trigger").agg(F.count("*").alias("phrases")).where("phrases > 1").select("trigger")
-    distinct = dictionary.join(several, "trigger").select("first.id", F.struct("first.start", "n").alias("span"))
-    spans = distinct.groupBy("id").agg(F.collect_list("span").alias("spans"))  # of one text, at most its phrases
-    strings = stored(suffixes(texts.join(spans, "id")))
+    found = stored(judged(parse(texts)))
+    distinct = found.where("NOT again").withColumn("span", F.struct("trigger", "start", "n"))
+    many = stored(distinct.groupBy("trigger").count().where(F.col("count") > GROUP).select("trigger"))
+    few = distinct if many.isEmpty() else distinct.join(many, "trigger", "left_anti")
+    spans = found.where("again").select("id", "start", "n").union(ordered_suffixes(phrase_bytes(with_spans(texts, few))))
+    if many.isEmpty():
+        return spans
+    strings = stored(suffixes(with_spans(texts, distinct.join(many, "trigger", "left_semi"))))
     where = F.struct("id", "at")
     earliest = strings.groupBy("key", "key2").agg(F.min(where).alias("first"), F.count("*").alias("times")).where("times > 1")
     partly = strings.join(earliest, ["key", "key2"]).where(where != F.col("first")).select("id", F.col("at").alias("start"), F.lit(1).cast("short").alias("n"))
-    return again.union(partly)
+    return spans.union(partly)
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -215,8 +340,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     whole = docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long")
     plain = whole and source.groupBy("key").agg(F.count("*").alias("n")).where("n > 1 OR key IS NULL").isEmpty()
     texts = source.select(F.col("key").cast("long").alias("id"), "text") if plain else numbered(source)
-    spans = repeated_spans(texts).groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    done = cut(texts.join(spans, "id", "left"))
+    spans = stored(repeated_spans(texts)).withColumn("span", F.struct("start", "n"))
+    other = texts.withColumn("slot", slot("id")).join(occupied(spans, "id"), "slot", "left_anti")
+    shared = texts.withColumn("slot", slot("id")).join(occupied(spans, "id"), "slot", "left_semi")
+    grouped = spans.groupBy("id").agg(F.collect_list("span").alias("spans"))
+    none = F.lit(None).cast("array<struct<start:int,n:smallint>>").alias("spans")
+    done = cut(shared.join(grouped, "id", "left").select("id", "text", "spans").union(other.select("id", "text", none)))
     if not plain:
         done = done.join(texts.select("id", "key"), "id").drop("id").withColumnRenamed("key", "id")
     return done.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "n_bytes", "spans", "kept")

@@ -91,8 +91,10 @@ def test_suffix_dedup(docs, odd):
     assert [x[2] > 0 for x in rest].count(True) <= 4  # null ids come first, later equal texts are emptied
 
 
-def test_suffix_dedup_across_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("group", [1, 4096])
+def test_suffix_dedup_across_blocks(spark, monkeypatch, group):
     monkeypatch.setattr(suffix_dedup, "BLOCK", 300)
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)
     texts = {0: prose(1, 400), 1: prose(9, 20) + prose(1, 400)[37:2000], 2: "ab" * 900}
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     plain = brute.repeats(texts)

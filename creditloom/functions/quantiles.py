@@ -17,7 +17,6 @@ from creditloom.functions.rowexpr import ColumnOrName, as_col
 
 SKETCH_ACCURACY = 10_000
 BRACKET_ACCURACY = 100_000
-MAX_BROADCAST_GROUPS = 20_000
 
 
 def q_approx(c: ColumnOrName, qs: float | Sequence[float], accuracy: int = SKETCH_ACCURACY) -> Column:
@@ -51,9 +50,8 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles per group and column: ``keys, variable, q, value``.
 
-    ``keys`` should name a column of few distinct values (a label, a status).
-    Their number is checked before the intervals are broadcast; with more
-    groups the same join shuffles instead.
+    The intervals, a row per group, column and probability, are joined back;
+    whether they are broadcast is left to the size Spark measures.
     """
     if kind not in ("disc", "cont"):
         raise ValueError(f"unknown kind: {kind}")
@@ -85,8 +83,8 @@ def exact_quantiles(
         *group, "q", "lo", "hi", first.alias("r1"), last.alias("r2"), share.alias("share")
     )
     renamed = brackets.select(*[F.col(k).alias(f"_b_{k}") for k in group], "q", "lo", "hi", "r1", "r2", "share")
-    if not keys or _few(df, keys):
-        renamed = F.broadcast(renamed)
+    if not keys:
+        renamed = F.broadcast(renamed)  # a row per column and probability
     match = [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys] + [F.col("variable") == F.col("_b_variable")]
     fields = ["q", "r1", "r2", "share"]
     # Rows outside an interval collapse into one entry below it and one above.
@@ -126,25 +124,22 @@ def entity_quantiles(
 ) -> DataFrame:
     """Exact quantile of several columns per entity, ``{output: column}``.
 
-    Entities of up to ``hot_rows`` rows use the built-in aggregate, whose
-    buffer that bounds. Larger ones, of which there can only be few, go through
+    Every entity has a row, null keys are one entity, and a column without
+    values gives null, whichever way an entity goes: up to ``hot_rows`` rows
+    through the built-in aggregate, whose buffer that bounds, beyond through
     ``exact_quantiles``, so no buffer ever holds a hot entity.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > hot_rows) & F.col(key).isNotNull())
-    hot = counts.select(key)
-    found = hot.limit(MAX_BROADCAST_GROUPS + 1).collect()
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(F.col(key).alias("_hot"))
+    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
     exact = [q_exact(c, q, kind).cast("double").alias(name) for name, c in cols.items()]
-    if not found:
-        return df.groupBy(key).agg(*exact)
-    if len(found) <= MAX_BROADCAST_GROUPS:
-        hot = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
-    cold = df.join(hot, key, "left_anti").groupBy(key).agg(*exact)
+    cold = df.join(hot, is_hot, "left_anti").groupBy(key).agg(*exact)
     columns = sorted(set(cols.values()))
-    long = exact_quantiles(df.join(hot, key, "left_semi"), columns, [q], [key], kind)
+    long = exact_quantiles(df.join(hot, is_hot, "left_semi"), columns, [q], [key], kind)
     wide = long.groupBy(key).agg(
         *[F.max(F.when(F.col("variable") == c, F.col("value"))).alias(name) for name, c in cols.items()]
     )
-    return cold.unionByName(wide)
+    found = hot.join(wide, is_hot, "left").select(F.col("_hot").alias(key), *cols)
+    return cold.unionByName(found)
 
 
 def distinct_estimate(c: ColumnOrName) -> Column:
@@ -153,11 +148,6 @@ def distinct_estimate(c: ColumnOrName) -> Column:
     return F.hll_sketch_estimate(F.hll_sketch_agg(as_col(c).cast("string"), 12))
 
 
-def _few(df: DataFrame, keys: Sequence[str]) -> bool:
-    some = df.select(*keys).distinct().limit(MAX_BROADCAST_GROUPS + 1).count()
-    return some <= MAX_BROADCAST_GROUPS
-
-
 def quantile_columns(quantiles: DataFrame, names: dict[float, str], keys: Sequence[str] = ()) -> DataFrame:
     """One row per (keys, variable) with a column for each probability."""
     return quantiles.groupBy(*keys, "variable").agg(

@@ -16,7 +16,6 @@ from creditloom.operators.cleaning import numeric_columns, string_columns
 from creditloom.operators.shaping import to_long
 from creditloom.sources.storage import materialize
 
-MAX_VALUES_PER_COLUMN = 200
 MAX_LITERAL_VALUES = 200
 MAX_BROADCAST_VALUES = 100_000
 
@@ -59,21 +58,22 @@ def apply_caps(df: DataFrame, caps: Caps, suffix: str = "_cap") -> DataFrame:
     return df.withColumns({f"{c}{suffix}": caps.capped(c, dtype=df.schema[c].dataType) for c in caps.bounds})
 
 
-def fit_values(df: DataFrame, cols: Sequence[str], limit: int = MAX_VALUES_PER_COLUMN) -> dict[str, list[str]]:
+def fit_values(df: DataFrame, cols: Sequence[str], limit: int | None = None) -> dict[str, list[str]]:
     """Non-null values of every column from one scan, sorted.
 
-    The result becomes columns, so more than ``limit`` values in a column is an
-    error; nothing is cut off.
+    The result becomes columns. A caller that can take only so many may set a
+    ``limit``, beyond which this raises; nothing is cut off. ``long_shares``
+    has no columns to make and suits columns of very many values.
     """
     if not cols:
         return {}
     distinct = to_long(df, cols, as_type="string").filter(F.col("value").isNotNull()).distinct()
-    rows = distinct.limit(limit * len(cols) + 1).collect()
+    rows = (distinct if limit is None else distinct.limit(limit * len(cols) + 1)).collect()
     values: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         values[r["variable"]].append(r["value"])
-    wide = [c for c, v in values.items() if len(v) > limit]
-    if wide or len(rows) > limit * len(cols):
+    wide = [c for c, v in values.items() if limit is not None and len(v) > limit]
+    if wide or limit is not None and len(rows) > limit * len(cols):
         raise ValueError(f"more than {limit} values, use a label index instead: {wide or cols}")
     return {c: sorted(v) for c, v in values.items()}
 
@@ -91,7 +91,7 @@ class OneHotModel:
 
 
 def fit_one_hot(df: DataFrame, cols: Sequence[str], null_indicator: bool = True,
-                limit: int = MAX_VALUES_PER_COLUMN, values: Mapping[str, Sequence[str]] | None = None) -> OneHotModel:
+                limit: int | None = None, values: Mapping[str, Sequence[str]] | None = None) -> OneHotModel:
     found = values if values is not None else fit_values(df, cols, limit)
     taken = {c for c in df.columns if c not in cols}
     nulls = {c: f"{c}_nan" for c in cols} if null_indicator else {}
@@ -122,6 +122,17 @@ def category_shares(df: DataFrame, key: str, cols: Sequence[str], values: Mappin
     return df.groupBy(key).agg(*shares)
 
 
+def long_shares(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """``category_shares`` as rows ``key, variable, value, share``: no column
+    per value, so their number does not matter. Values that an entity does not
+    have make no row; nulls count in the denominator only."""
+    rows = to_long(df, cols, [key], "string").groupBy(key, "variable", "value").agg(F.count(F.lit(1)).alias("_n"))
+    totals = rows.groupBy(F.col(key).alias("_key"), F.col("variable").alias("_variable")).agg(F.sum("_n").alias("_total"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("variable") == F.col("_variable"))
+    shares = rows.filter(F.col("value").isNotNull()).join(totals, same)
+    return shares.select(key, "variable", "value", (F.col("_n") / F.col("_total")).alias("share"))
+
+
 @dataclass(frozen=True)
 class LabelIndex:
     """Alphabetical position of each value of a column.
@@ -225,7 +236,7 @@ def fit_encoder(df: DataFrame, max_ohe: int = 12, exclude: Iterable[str] = ("sk_
     estimate = {c: row[f"d{i}"] for i, c in enumerate(cols)}
     has_null = {c: row[f"z{i}"] > 0 for i, c in enumerate(cols)}
     near = [c for c in cols if estimate[c] <= 2 * max_ohe]
-    values = fit_values(df, near, limit=max(MAX_VALUES_PER_COLUMN, 4 * max_ohe)) if near else {}
+    values = fit_values(df, near) if near else {}
     few = [c for c in near if len(values[c]) <= max_ohe]
     many = [c for c in cols if c not in few]
     hot = fit_one_hot(df, few, values=values)
@@ -270,36 +281,39 @@ def stratified_split(df: DataFrame, label: str, key: str, fraction: float = 0.8,
 
     The threshold of a class is the exact quantile of the key hash inside it;
     ranking a class in one window would put whole classes into single tasks.
-    The number of classes must be small (they become literals).
+    Rows without a key are inside, as in ``hash_split``; a null label is a class.
     """
     hashed = df.withColumn("_u", unit_hash(key, salt, method))
-    thresholds = exact_quantiles(hashed, ["_u"], [fraction], [label]).select(label, "value").limit(MAX_VALUES_PER_COLUMN + 1).collect()
-    if len(thresholds) > MAX_VALUES_PER_COLUMN:
-        raise ValueError(f"{label} has more than {MAX_VALUES_PER_COLUMN} classes")
-    inside = F.lit(False)
-    for r in thresholds:
-        inside = inside | (F.col(label).eqNullSafe(F.lit(r[label])) & (F.col("_u") <= F.lit(r["value"])))
-    return hashed.withColumn(name, inside).drop("_u")
+    found = exact_quantiles(hashed, ["_u"], [fraction], [label])
+    thresholds = found.select(F.col(label).alias("_class"), F.col("value").alias("_upto"))
+    marked = hashed.join(thresholds, F.col(label).eqNullSafe(F.col("_class")), "left")
+    return marked.withColumn(name, F.coalesce(F.col("_u") <= F.col("_upto"), F.lit(True))).drop("_u", "_class", "_upto")
 
 
-def sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Bernoulli sample without replacement."""
-    return df.sample(False, fraction, seed)
+def sample(df: DataFrame, key: str, fraction: float, seed: int = 42, method: str = "xxhash64") -> DataFrame:
+    """Rows whose hashed key lies below ``fraction``: without replacement, and
+    the same however the rows are partitioned. Null keys are left out."""
+    return df.filter(unit_hash(key, str(seed), method) < F.lit(fraction))
 
 
 def fit_class_weights(df: DataFrame, label: str = "label") -> dict[float, float]:
     """``total / (classes * count)`` per class."""
-    rows = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_VALUES_PER_COLUMN + 1).collect()
-    if len(rows) > MAX_VALUES_PER_COLUMN:
-        raise ValueError(f"{label} has more than {MAX_VALUES_PER_COLUMN} classes")
+    rows = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
     total = sum(r["n"] for r in rows)
     return {r[label]: total / (len(rows) * r["n"]) for r in rows}
 
 
 def class_weights(df: DataFrame, label: str = "label", weights: Mapping[float, float] | None = None,
                   name: str = "class_weight") -> DataFrame:
-    """Attach the class weight of each row; unknown classes weigh 1."""
-    learned = weights if weights is not None else fit_class_weights(df, label)
+    """Attach the class weight of each row; unknown classes weigh 1. Without
+    learned ``weights`` the class counts are joined, whatever their number."""
+    if weights is None:
+        counts = df.filter(F.col(label).isNotNull()).groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
+        total = counts.agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("classes")).first()
+        weight = F.lit(float(total["rows"] or 0)) / (F.lit(float(total["classes"] or 1)) * F.col("_n"))
+        joined = df.join(counts, F.col(label) == F.col("_class"), "left")
+        return joined.withColumn(name, F.coalesce(weight, F.lit(1.0))).drop("_class", "_n")
+    learned = weights
     chain = F.lit(1.0)
     for value, weight in learned.items():
         chain = F.when(F.col(label) == F.lit(value), F.lit(float(weight))).otherwise(chain)

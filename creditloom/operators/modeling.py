@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,42 +114,59 @@ def chi_square_table(df: DataFrame, cols: Sequence[str], label: str = "target")
     return per_column(df, cols, fields).withColumnRenamed("variable", "feature")
 
 
-@dataclass(frozen=True)
-class FeatureRanking:
-    binary_columns: list[str]
-    continuous_columns: list[str]
-    binary: DataFrame
-    continuous: DataFrame
-
-
-def rank_features(df: DataFrame, label: str = "target", exclude: Sequence[str] = ID_COLUMNS) -> FeatureRanking:
-    """Continuous features by absolute Pearson correlation with the label,
-    two-valued ones by chi-square test. Nulls count as zero."""
+def chi_square_tail(statistic: Column) -> tuple[Column, Column]:
+    """Probability of a larger statistic with one degree of freedom, and its
+    negative decimal logarithm.
+
+    The tail is erfc(sqrt(x / 2)), as a rational argument to a polynomial in the
+    exponent (relative error below 1.2e-7), so the logarithm stays finite where
+    the probability no longer has digits.
+    """
+    z = F.sqrt(statistic / 2)
+    t = F.lit(1.0) / (F.lit(1.0) + z / 2)
+    # Coefficients of the Chebyshev fit, lowest power first.
+    fit = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
+    power = F.lit(fit[-1])
+    for c in reversed(fit[:-1]):
+        power = power * t + F.lit(c)
+    exponent = F.ln(t) + power - z * z
+    return F.least(F.exp(exponent), F.lit(1.0)), F.greatest(-exponent / F.ln(F.lit(10.0)), F.lit(0.0))
+
+
+def rank_features(df: DataFrame, label: str = "target", exclude: Sequence[str] = ID_COLUMNS) -> DataFrame:
+    """One row per feature: ``feature, kind, strength, value, p_value, neg_log10_p``.
+
+    ``continuous`` features have their Pearson correlation with the label as
+    value and its size as strength; ``binary`` ones the chi-square statistic as
+    both, with its p-value. Nulls count as zero.
+    """
     cols = feature_columns(df, label, exclude)
     work = df.select(label, *cols).fillna(0, subset=cols)
     binary = binary_features(work, cols)
     continuous = [c for c in cols if c not in binary]
-    spark = df.sparkSession
+    parts = []
     if continuous:
-        pearson = corr_with(work, label, continuous).select(
-            F.col("variable").alias("feature"), F.col("corr_target").alias("pearson_corr"), F.col("abs_corr").alias("abs_pearson_corr")
-        ).orderBy(F.desc_nulls_last("abs_pearson_corr"), "feature")
-    else:
-        pearson = spark.createDataFrame([], "feature string, pearson_corr double, abs_pearson_corr double")
+        none = F.lit(None).cast("double")
+        pearson = corr_with(work, label, continuous)
+        parts.append(
+            pearson.select(
+                F.col("variable").alias("feature"), F.lit("continuous").alias("kind"), F.col("abs_corr").alias("strength"),
+                F.col("corr_target").alias("value"), none.alias("p_value"), none.alias("neg_log10_p"),
+            )
+        )
     if binary:
-        vectors = VectorAssembler(inputCols=binary, outputCol="features").transform(work)
-        labelled = vectors.select(F.col(label).cast("double").alias("label"), "features")
-        names = F.array(*[F.lit(c) for c in binary])
-        tests = ChiSquareTest.test(labelled, "features", "label", flatten=True)
-        chi = tests.select(
-            F.get(names, F.col("featureIndex")).alias("feature"),
-            F.col("statistic"),
-            F.col("pValue").alias("p_value"),
-            (-F.log10(F.greatest("pValue", F.lit(1e-300)))).alias("neg_log10_p"),
-        ).orderBy("p_value", F.desc("statistic"), "feature")
-    else:
-        chi = spark.createDataFrame([], "feature string, statistic double, p_value double, neg_log10_p double")
-    return FeatureRanking(binary, continuous, chi, pearson)
+        p, digits = chi_square_tail(F.col("statistic"))
+        tests = chi_square_table(work, binary, label)
+        parts.append(
+            tests.select(
+                "feature", F.lit("binary").alias("kind"), F.col("statistic").alias("strength"),
+                F.col("statistic").alias("value"), p.alias("p_value"), digits.alias("neg_log10_p"),
+            )
+        )
+    if not parts:
+        return df.sparkSession.createDataFrame([], "feature string, kind string, strength double, value double, p_value double, neg_log10_p double")
+    ranked = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return ranked.orderBy("kind", F.desc_nulls_last("strength"), "feature")
 
 
 def auc(scored: DataFrame, label: str = "label", score_col: str = "probability", bins: int = 0) -> float:

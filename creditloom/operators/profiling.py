@@ -316,8 +316,10 @@ def distribution_summary(
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram of all rows: ``bin, lower, upper, n``; empty bins
-    are kept and the maximum falls into the last one."""
-    v = F.col(column).cast("double")
+    are kept, the maximum falls into the last one and NaN into a bin of null
+    number, which is there only if there are some."""
+    number = F.col(column).cast("double")
+    v = F.when(~F.isnan(number), number)
     lo, hi = df.agg(F.min(v), F.max(v)).first()
     edges = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     if lo is None:
@@ -325,12 +327,14 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     width = (hi - lo) / bins or 1.0
     slot = F.least(F.floor((v - F.lit(lo)) / F.lit(width)) + 1, F.lit(bins)).cast("int")
     counts = df.filter(v.isNotNull()).groupBy(slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    missing = [F.lit(None).cast("double").alias(n) for n in ("lower", "upper")]
+    nans = df.agg(F.count_if(F.isnan(number)).alias("n")).filter("n > 0").select(F.lit(None).cast("int").alias("bin"), *missing, "n")
     return edges.join(counts, "bin", "left").select(
         "bin",
         (F.lit(lo) + (F.col("bin") - 1) * F.lit(width)).alias("lower"),
         (F.lit(lo) + F.col("bin") * F.lit(width)).alias("upper"),
         F.coalesce("n", F.lit(0)).alias("n"),
-    )
+    ).unionByName(nans)
 
 
 def overview(df: DataFrame, distinct: Mapping[str, str], ranges: Mapping[str, str] | None = None,

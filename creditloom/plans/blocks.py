@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from creditloom.functions.rowexpr import (
     clip, days_to_years, keep_if, map_values, positive_part, safe_ratio, status_number,
 )
-from creditloom.operators.cleaning import category, ensure_columns, require_keys
+from creditloom.operators.cleaning import category, ensure_columns, require_keys, valid_label
 from creditloom.operators.encoding import category_shares
 from creditloom.operators.entity import Metric, entity_aggregate
 from creditloom.operators.joins import attach, bridge_join, count_rows
@@ -484,7 +484,7 @@ def pos_client_profile(pos: DataFrame, labels: DataFrame, label: str = "target",
             Metric("frequent_status", "mode", "name_contract_status"),
         ],
     )
-    return profile.join(labels.select(KEY, label), KEY, "inner")
+    return profile.join(valid_label(labels, label).select(KEY, label), KEY, "inner")
 
 
 CARD_COLUMNS = {
@@ -563,4 +563,4 @@ def card_client_profile(card: DataFrame, labels: DataFrame, label: str = "target
             Metric("pct_below_minimum", "pct", where=below_minimum(), digits=percent),
         ],
     )
-    return profile.join(labels.select(KEY, label), KEY, "inner")
+    return profile.join(valid_label(labels, label).select(KEY, label), KEY, "inner")

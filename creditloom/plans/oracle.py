@@ -978,7 +978,7 @@ add(
     "application previous monthly",
     f"""SELECT CASE WHEN p AND m THEN 'both' WHEN p THEN 'only previous' WHEN m THEN 'only monthly' ELSE 'none' END AS coverage,
         {n("target = 0")} AS negatives, {n("target = 1")} AS positives, {pct("target = 1")} AS default_rate_pct
-        FROM (SELECT target, sk_id_curr IN (SELECT sk_id_curr FROM fx_previous WHERE name_contract_status = 'Unused offer') AS p,
+        FROM (SELECT target, sk_id_curr IN (SELECT sk_id_curr FROM fx_previous) AS p,
                 sk_id_curr IN (SELECT sk_id_curr FROM fx_monthly) AS m FROM fx_application) GROUP BY 1""",
 )
 add(
@@ -988,7 +988,7 @@ add(
         {avg("days_credit_enddate / 365e0")} AS avg_expected_remaining_years, {avg("-days_enddate_fact / 365e0")} AS avg_actual_end_years,
         {avg("-days_credit_update / 365e0")} AS avg_update_age_years,
         quantile_disc(-days_credit / 365e0, 0.5) AS median_credit_age_years
-        FROM fx_bureau b LEFT JOIN (SELECT sk_id_curr, target FROM fx_application WHERE code_gender = 'F') t
+        FROM fx_bureau b LEFT JOIN (SELECT sk_id_curr, target FROM fx_application) t
           ON b.sk_id_curr = t.sk_id_curr GROUP BY target""",
 )
 COMBINED = f"""
@@ -1329,6 +1329,23 @@ def chi_sql(cols: list[str]) -> str:
 
 
 add("rank_features_chi_square", "application", chi_sql(["flag_phone", "flag_email", "flag_document_3"]))
+TAIL = """(-z * z + ln(t) + (-1.26551223 + t * (1.00002368 + t * (0.37409196 + t * (0.09678418 + t * (-0.18628806 + t * (0.27886807
+    + t * (-1.13520398 + t * (1.48851587 + t * (-0.82215223 + t * 0.17087277))))))))))"""
+add(
+    "rank_features_p_values",
+    "application",
+    f"""SELECT feature, statistic, round(least(exp(e), 1e0), 6) AS p_value, round(greatest(-e / ln(10e0), 0e0), 6) AS neg_log10_p
+        FROM (SELECT *, {TAIL} AS e FROM (SELECT *, 1e0 / (1e0 + z / 2) AS t FROM (SELECT *, sqrt(statistic / 2) AS z FROM
+          ({chi_sql(["flag_phone", "flag_email", "flag_document_3"])}))))""",
+)
+add("bernoulli_sample", "application", "SELECT sk_id_curr FROM fx_application WHERE " + HASH.replace("md5(CAST", "md5('42' || CAST") + " < 0.2e0")
+add(
+    "long_shares",
+    "previous",
+    """SELECT name_contract_status, variable, value, round(n / sum(n) OVER (PARTITION BY name_contract_status, variable), 9) AS share FROM (
+         SELECT name_contract_status, 'decided' AS variable, CAST(days_decision AS VARCHAR) AS value, count(*) AS n FROM fx_previous GROUP BY ALL
+         UNION ALL SELECT name_contract_status, 'name_client_type', name_client_type, count(*) FROM fx_previous GROUP BY ALL)""",
+)
 add("chi_square_table", "application", chi_sql(["flag_phone", "flag_email", "flag_document_2", "flag_document_3"]))
 
 PRED = """

@@ -18,7 +18,6 @@ from creditloom.operators.entity import Metric
 from creditloom.plans import blocks, master, reports
 from creditloom.plans.blocks import KEY, Rounding
 from creditloom.plans.fixtures import rule_predictions, view
-from creditloom.sources import artifacts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -210,6 +209,13 @@ def category_shares(previous):
     return encoding.category_shares(previous, KEY, ["name_contract_status", "name_client_type"])
 
 
+@query("fx_previous")
+def long_shares(previous):
+    """G9 in long form, for a column of very many values."""
+    rows = previous.withColumn("decided", F.col("days_decision").cast("string"))
+    return _rounded(encoding.long_shares(rows, "name_contract_status", ["decided", "name_client_type"]), ["share"], 9)
+
+
 @query("fx_previous")
 def metric_kinds(previous):
     """Every kind of metric in one declarative aggregation."""
@@ -597,16 +603,13 @@ def overdue_by_state(bureau):
 
 @query("fx_application", "fx_previous", "fx_monthly")
 def coverage_by_label(application, previous, monthly):
-    """Clients by the histories they have. Only unused offers stand
-    for the previous applications, so that every class occurs."""
-    unused = previous.filter(F.col("name_contract_status") == "Unused offer")
-    return reports.coverage_by_label(application, {"previous": unused, "monthly": monthly})
+    """Clients by the histories they have."""
+    return reports.coverage_by_label(application, {"previous": previous, "monthly": monthly})
 
 
 @query("fx_bureau", "fx_application")
 def temporal_summary(bureau, application):
-    # half of the clients have no label here, their credits keep a null label
-    return reports.temporal_summary(bureau, application.filter(F.col("code_gender") == "F"), 6)
+    return reports.temporal_summary(bureau, application, 6)
 
 
 @query("fx_bureau", "fx_bureau_balance", "fx_application")
@@ -898,7 +901,7 @@ def class_weights(application):
 @query("fx_application")
 def bernoulli_sample(application):
     """Seeded sample of all rows."""
-    return encoding.sample(application, 0.2).select(KEY)
+    return encoding.sample(application, KEY, 0.2, method="md5").select(KEY)
 
 
 @query("fx_application")
@@ -932,20 +935,23 @@ def _labelled(application) -> DataFrame:
 def rank_features_pearson(application):
     """M5: continuous features by correlation with the label."""
     rows = application.select(KEY, "target", *CORR_COLUMNS, "flag_phone", "flag_email", "flag_document_3")
-    return _rounded(modeling.rank_features(rows).continuous, ["pearson_corr", "abs_pearson_corr"], 6)
+    ranked = modeling.rank_features(rows).filter(F.col("kind") == "continuous")
+    return _rounded(ranked.select("feature", F.col("value").alias("pearson_corr"), F.col("strength").alias("abs_pearson_corr")), ["pearson_corr", "abs_pearson_corr"], 6)
 
 
 @query("fx_application")
 def rank_features_chi_square(application):
     """M5: two-valued features by chi-square test (statistic)."""
     rows = application.select(KEY, "target", *CORR_COLUMNS, "flag_phone", "flag_email", "flag_document_3")
-    return modeling.rank_features(rows).binary.select("feature", F.round("statistic", 6).alias("statistic"))
+    ranked = modeling.rank_features(rows).filter(F.col("kind") == "binary")
+    return ranked.select("feature", F.round("value", 6).alias("statistic"))
 
 
 @query("fx_application")
 def rank_features_p_values(application):
     rows = application.select(KEY, "target", "flag_phone", "flag_email", "flag_document_3")
-    return modeling.rank_features(rows).binary
+    ranked = modeling.rank_features(rows)
+    return _rounded(ranked.select("feature", F.col("value").alias("statistic"), "p_value", "neg_log10_p"), ["statistic", "p_value", "neg_log10_p"], 6)
 
 
 @query("fx_application")
@@ -1032,23 +1038,5 @@ def positive_probabilities(application):
     return rows.select(KEY, positive_probability(rows).alias("from_array"), positive_probability(rows, "text").alias("from_text"))
 
 
-# --- artifacts --------------------------------------------------------------
-
-
-def artifact_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files, bytes and age of what lies in the data folder."""
-    return artifacts.artifact_summary(artifacts.list_artifacts(spark, sf_dir))
-
-
-def artifact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V2, V5: listed files by size."""
-    files = artifacts.list_artifacts(spark, sf_dir)
-    return artifacts.select_files(files, extensions=["parquet"], order="largest").select("key", "extension", "artifact_type")
-
-
-QUERIES["artifact_summary"] = artifact_summary
-QUERIES["artifact_files"] = artifact_files
-
-
 def _rounded(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in cols})

@@ -191,7 +191,8 @@ def label_summary(
                 for n, (c, q) in wanted.items()
             ]
         )
-        out = attach(out, wide, label)
+        wide = wide.withColumnRenamed(label, "_label")
+        out = out.join(wide, F.col(label).eqNullSafe(F.col("_label")), "left").drop("_label")
     return out
 
 

@@ -59,8 +59,10 @@ def load_tables(spark: SparkSession, names: Sequence[str], catalog: Catalog, req
     for name in names:
         try:
             out[name] = register(read_table(spark, name, catalog), name)
-        except (AnalysisException, LookupError):
-            if name in required:
+        except (AnalysisException, LookupError) as error:
+            # anything else than a table or path that is not there is a fault
+            absent = isinstance(error, LookupError) or any(sign in str(error) for sign in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"))
+            if name in required or not absent:
                 raise
             out[name] = None
     return out
@@ -196,7 +198,7 @@ def write_parquet(
 def write_report(df: DataFrame, catalog: Catalog, name: str, zone: str = "refined") -> str:
     """Single CSV file with a header; only for small aggregates."""
     path = catalog.path(zone, name)
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 

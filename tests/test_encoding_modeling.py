@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from conftest import one, values
@@ -124,14 +126,32 @@ def test_metrics_without_positives(spark):
 
 
 def test_ranking_separates_binary_and_continuous(people):
-    rank = M.rank_features(people.withColumn("mid", F.col("bin") * 0.5 + F.col("target") * 0.25))
-    assert rank.binary_columns == ["bin"] and set(rank.continuous_columns) == {"x", "mid"}
-    chi = rank.binary.first()
+    rank = {r.feature: r for r in M.rank_features(people.withColumn("mid", F.col("bin") * 0.5 + F.col("target") * 0.25)).collect()}
+    assert {f: r.kind for f, r in rank.items()} == {"bin": "binary", "x": "continuous", "mid": "continuous"}
     table = one(M.chi_square_table(people, ["bin"]))
-    assert chi.feature == "bin" and chi.statistic == pytest.approx(table.statistic) and 0 <= chi.p_value <= 1
+    assert rank["bin"].value == pytest.approx(table.statistic)
     x = people.fillna(0, ["x"]).toPandas()
-    got = {r.feature: r.pearson_corr for r in rank.continuous.collect()}
-    assert got["x"] == pytest.approx(np.corrcoef(x["x"], x["target"])[0, 1])
+    assert rank["x"].value == pytest.approx(np.corrcoef(x["x"], x["target"])[0, 1]) and rank["x"].strength == abs(rank["x"].value)
+
+
+def test_chi_square_tail(spark):
+    statistics = [0.0, 1e-6, 0.3, 3.841458820694124, 50.0, 700.0, 5000.0]
+    p, digits = M.chi_square_tail(F.col("s"))
+    rows = spark.createDataFrame([(s,) for s in statistics], "s double").select("s", p.alias("p"), digits.alias("d")).collect()
+    for r in rows:
+        assert r.p == pytest.approx(math.erfc(math.sqrt(r.s / 2)), rel=2e-7)
+    assert rows[-1].p == 0 and rows[-1].d == pytest.approx(2500 / math.log(10) + 0.5 * math.log10(math.pi * 2500), rel=1e-4)
+
+
+def test_sample_and_split_do_not_depend_on_partitions(spark):
+    rows = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") % 300).alias("c")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, 7L AS c"))
+    assert values(E.sample(rows, "k", 0.2)) == values(E.sample(rows.repartition(7), "k", 0.2))
+    marked = E.stratified_split(rows, "c", "k", 0.5, method="md5")
+    assert marked.filter("in_train IS NULL").isEmpty() and one(marked.filter("k IS NULL")).in_train
+    assert E.class_weights(rows, "c").agg(F.round(F.sum("class_weight"), 6).alias("s")).first().s == 2001.0
+    shares = E.long_shares(rows.withColumn("g", F.lit(1)), "g", ["c"])
+    assert shares.count() == 300 and one(shares.agg(F.sum("share").alias("s"))).s == pytest.approx(1.0)
+    assert len(E.fit_values(rows, ["c"])["c"]) == 300
 
 
 def test_application_features_invariants(spark, sf_dir):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.quantiles import entity_quantiles, exact_quantiles, q_exact
 from creditloom.operators import profiling as P
+from creditloom.plans import reports
 
 
 @pytest.fixture(scope="module")
@@ -105,3 +106,23 @@ def test_quick_profile_and_kpis(spark):
 def test_category_rate_ignores_nulls_and_foreign_labels(spark):
     df = spark.sql("SELECT * FROM VALUES ('a', 1), ('a', 0), (NULL, 1), ('b', 9) AS t(c, target)")
     assert values(P.category_rate(df, ["c"])) == [("c", "a", 2, 1, 50.0)]
+
+
+@pytest.mark.parametrize("hot_rows", [0, 2, 1_000_000])
+def test_entity_quantiles_keep_every_entity(spark, hot_rows):
+    rows = [(1, None), (1, None), (1, None), (2, 1.0), (2, 2.0), (2, 9.0), (3, 4.0), (None, 5.0), (None, 7.0), (None, None), (None, 6.0)]
+    df = spark.createDataFrame(rows, "k int, x double")
+    got = {r.k: r.m for r in entity_quantiles(df, "k", {"m": "x"}, 0.5, "cont", hot_rows).collect()}
+    assert got == {1: None, 2: 2.0, 3: 4.0, None: 6.0}
+
+
+def test_histogram_counts_nan_apart(spark):
+    df = spark.createDataFrame([(float("nan"),), (0.0,), (10.0,), (None,)], "x double")
+    got = {r.bin: r.n for r in P.histogram(df, "x", 2).collect()}
+    assert got == {1: 1, 2: 1, None: 1}
+
+
+def test_label_summary_keeps_the_null_label(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), (None, 5.0), (1, 2.0)], "target int, x double")
+    got = {r.target: r.m for r in reports.label_summary(df, {}, quantiles={"m": ("x", 0.5)}, exact=True).collect()}
+    assert got == {None: 3.0, 1: 2.0}

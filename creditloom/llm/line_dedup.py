@@ -1,8 +1,10 @@
 """Fuzzy line dedup: MinHash over character shingles, exact Jaccard, union-find, one line per component.
 
-Everything is a DataFrame or SQL function. Equal lines are one node from the start. A line's signature is taken from the
-least hashes of its eight-character shingles; bands of the signature propose pairs, full shingle sets confirm them, and
-of each component the line that comes first in the corpus stays.
+Everything is a DataFrame or SQL function. Equal lines are one node from the start. A line's signature is
+taken from the eight-character shingles that begin at its anchors: where a word begins, and after each digit and
+ideograph. They are hashed once, and the least hash in each bin of the hash range is kept (one-permutation MinHash).
+Bands of the signature propose pairs, the full sets of shingles at all places confirm them, and of each component the
+line that comes first in the corpus stays.
 
 A line's place is (id, hash of the text, number of the line), so rows that repeat an id, or have none, are told apart by
 their text.
@@ -22,11 +24,11 @@ WIDTH = 8
 SIMILARITY = 0.85
 #: Characters of the shortest line that is compared; shorter ones say too little and stay.
 SHORTEST = 20
-#: Least shingle hashes that a signature is taken from.
-SKETCH = 32
 #: At the threshold a pair shares no band with probability (1 - 0.85 ** 4) ** 10, below 0.001. Four rows keep unlike
 #: lines, which share a hundredth of their shingles, out of each other's buckets.
 BANDS, ROWS = 10, 4
+#: Places of a line from which ``WIDTH`` characters are taken for its signature.
+ANCHORED = rf"(?s)(?:(?<![^ ])|(?<=[0-9\u3040-\u9fff\uac00-\ud7af]))(?=(.{{{WIDTH}}}))"
 #: Characters that are cut into shingles at a time; keeps the work in proportion to the line.
 PIECE = 64
 
@@ -44,19 +46,27 @@ def shingles(line: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(longer, of_piece)))
 
 
-def least(sketch: Column, which: int) -> Column:
-    """Minimum of the sketch under hash function ``which``."""
-    return F.array_min(F.transform(sketch, lambda h: F.xxhash64(h, F.lit(which))))
+def bands(line: Column) -> Column:
+    """One hash per band over the minima of its bins.
 
+    Bin ``b`` of the hash range has its start sorted in among the hashes; how many hashes come before it is its place
+    less the starts before it. The next hash is the minimum of the bin or, where the bin is empty, of the next that is
+    not; after the last comes the first.
+    """
+    starts = [-(1 << 63) + b * ((1 << 64) // (BANDS * ROWS)) for b in range(BANDS * ROWS)]
+    marks = F.array(*map(F.lit, starts))
 
-def bands(line: Column) -> Column:
-    """One hash per band over minima of the sketch under different hash functions."""
+    def minimum(s: Column, b: int) -> Column:
+        return s["hashes"][F.pmod(F.array_position(s["merged"], F.lit(starts[b])) - F.lit(b + 1), F.size(s["hashes"])).cast("int")]
 
-    def of_sketch(sketch: Column) -> Column:
-        return F.array(*(F.xxhash64(F.lit(i), *(least(sketch, i * ROWS + k) for k in range(ROWS))) for i in range(BANDS)))
+    def of_bins(s: Column) -> Column:
+        return F.array(*(F.xxhash64(F.lit(i), *(minimum(s, i * ROWS + k) for k in range(ROWS))) for i in range(BANDS)))
 
-    sketch = F.slice(F.array_sort(shingles(line)), 1, SKETCH)
-    return F.transform(F.array(sketch), of_sketch)[0]  # the array of one evaluates the sketch once
+    # arrays of one element, so that what the inner expressions share is evaluated once
+    anchored = F.transform(F.regexp_extract_all(line, F.lit(ANCHORED), F.lit(1)), lambda piece: F.xxhash64(piece))
+    sorted_hashes = F.array(F.sort_array(F.array_distinct(anchored)))
+    merged = F.transform(sorted_hashes, lambda h: F.struct(h.alias("hashes"), F.sort_array(F.concat(h, marks)).alias("merged")))
+    return F.transform(merged, of_bins)[0]
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -248,9 +248,11 @@ PREVIOUS_COLUMNS = {
 
 
 def previous_features(previous: DataFrame, r: Rounding = DEFAULT, tie: str = "sk_id_prev") -> DataFrame:
-    """Counts by outcome, amounts and the last status. The last status is an
-    aggregate like the others (greatest decision day, ties by ``tie``), so the
-    block needs neither a window nor a second join."""
+    """Counts by outcome, amounts and the last status (greatest decision day,
+    ties by ``tie``). The status is aggregated apart: a maximum of structs makes
+    Spark sort its input, and so only the four columns it needs are sorted, and
+    the wide aggregate hashes. Both sides are dealt by client, so the join adds
+    no shuffle."""
     df = ensure_columns(previous, PREVIOUS_COLUMNS).withColumn("_status", status("name_contract_status", "UNKNOWN"))
     s = F.col("_status")
     metrics = [
@@ -269,7 +271,8 @@ def previous_features(previous: DataFrame, r: Rounding = DEFAULT, tie: str = "sk
         Metric("prev_avg_cnt_payment", "avg", "cnt_payment", digits=r.money),
     ]
     last = F.max(F.struct(F.col("days_decision"), F.col(tie), F.col("_status")))["_status"].alias("prev_last_status")
-    return df.groupBy(KEY).agg(*[m.column() for m in metrics], last)
+    latest = df.select(KEY, "days_decision", tie, "_status").groupBy(KEY).agg(last)
+    return df.groupBy(KEY).agg(*[m.column() for m in metrics]).join(latest, KEY, "left")
 
 
 def previous_summary(previous: DataFrame, digits: int | None = 2) -> DataFrame:

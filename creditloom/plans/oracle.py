@@ -883,12 +883,21 @@ add(
     "bureau_label_summary",
     "bureau application",
     f"""SELECT target, count(*) AS clients, {", ".join(f"{avg(c, 5)} AS avg_{c}" for c in (
-        "bureau_credit_count", "bureau_total_credit_sum", "bureau_total_debt_sum", "bureau_overdue_credit_count",
-        "bureau_debt_ratio_mean", "bureau_avg_credit_age_years", "bureau_oldest_update_days"))},
+        "bureau_credit_count", "bureau_total_credit_sum", "bureau_total_debt_sum", "bureau_total_overdue_sum",
+        "bureau_overdue_credit_count", "bureau_max_credit_day_overdue", "bureau_debt_ratio_mean", "bureau_debt_ratio_max",
+        "bureau_avg_credit_age_years", "bureau_oldest_update_days"))},
         CAST(quantile_disc(bureau_credit_count, 0.5) AS DOUBLE) AS med_bureau_credit_count,
         CAST(quantile_disc(bureau_credit_count, 0.9) AS DOUBLE) AS p90_bureau_credit_count
         FROM ({bureau_profile(None)}) GROUP BY target""",
 )
+add(
+    "bureau_labelled_summary",
+    "bureau application",
+    f"""SELECT target, count(*) AS clients, {avg("records")} AS avg_records, {avg("total_debt")} AS avg_total_debt,
+        {avg("active_credits")} AS avg_active_credits
+        FROM fx_application LEFT JOIN (SELECT sk_id_curr, count(*) AS records, sum(amt_credit_sum_debt) AS total_debt,
+          {n("credit_active = 'Active'")} AS active_credits FROM fx_bureau GROUP BY 1) USING (sk_id_curr) GROUP BY target""",
+)
 add(
     "balance_label_summary",
     "bureau_balance bureau application",
@@ -1329,6 +1338,14 @@ def chi_sql(cols: list[str]) -> str:
 
 
 add("rank_features_chi_square", "application", chi_sql(["flag_phone", "flag_email", "flag_document_3"]))
+add(
+    "score_auc",
+    "application",
+    """SELECT round((sum(mean_rank) FILTER (WHERE target = 1) - p * (p + 1) / 2e0) / (p * (count(*) - p)), 6) AS auc FROM (
+         SELECT target, first_rank + (ties - 1) / 2e0 AS mean_rank, CAST(sum(target) OVER () AS DOUBLE) AS p FROM (
+           SELECT target, rank() OVER (ORDER BY s) AS first_rank, count(*) OVER (PARTITION BY s) AS ties FROM (
+             SELECT target, amt_income_total / 2e5 + sk_id_curr % 3 AS s FROM fx_application))) GROUP BY p""",
+)
 TAIL = """(-z * z + ln(t) + (-1.26551223 + t * (1.00002368 + t * (0.37409196 + t * (0.09678418 + t * (-0.18628806 + t * (0.27886807
     + t * (-1.13520398 + t * (1.48851587 + t * (-0.82215223 + t * 0.17087277))))))))))"""
 add(

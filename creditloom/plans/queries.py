@@ -499,8 +499,9 @@ def card_label_summary(monthly, application):
 def bureau_label_summary(bureau, application):
     profile = blocks.bureau_client_profile(bureau, application, money=None, years=None, ratio=None)
     names = [
-        "bureau_credit_count", "bureau_total_credit_sum", "bureau_total_debt_sum", "bureau_overdue_credit_count",
-        "bureau_debt_ratio_mean", "bureau_avg_credit_age_years", "bureau_oldest_update_days",
+        "bureau_credit_count", "bureau_total_credit_sum", "bureau_total_debt_sum", "bureau_total_overdue_sum",
+        "bureau_overdue_credit_count", "bureau_max_credit_day_overdue", "bureau_debt_ratio_mean", "bureau_debt_ratio_max",
+        "bureau_avg_credit_age_years", "bureau_oldest_update_days",
     ]
     return reports.label_summary(
         profile,
@@ -511,6 +512,21 @@ def bureau_label_summary(bureau, application):
     )
 
 
+@query("fx_bureau", "fx_application")
+def bureau_labelled_summary(bureau, application):
+    """Averages over all labelled clients, those without credits included."""
+    per_client = entity.entity_aggregate(
+        bureau,
+        KEY,
+        [
+            Metric("records", "count"),
+            Metric("total_debt", "sum", "amt_credit_sum_debt"),
+            Metric("active_credits", "count", where=F.col("credit_active") == "Active"),
+        ],
+    )
+    return reports.labelled_summary(application, per_client, {f"avg_{n}": n for n in ("records", "total_debt", "active_credits")}, 6)
+
+
 @query("fx_bureau_balance", "fx_bureau", "fx_application")
 def balance_label_summary(balance, bureau, application):
     profile = blocks.balance_client_profile(balance, bureau, application, digits=None)
@@ -931,6 +947,13 @@ def _labelled(application) -> DataFrame:
     return base.select(KEY, "target", F.col("target").cast("double").alias("label"), *numeric)
 
 
+@query("fx_application")
+def score_auc(application):
+    """M6: area under the ROC curve of a score with ties, by the evaluator."""
+    scored = application.select(F.col("target").cast("double").alias("label"), (F.col("amt_income_total") / 2e5 + F.col("sk_id_curr") % 3).alias("probability"))
+    return application.sparkSession.createDataFrame([(round(modeling.auc(scored), 6),)], "auc double")
+
+
 @query("fx_application")
 def rank_features_pearson(application):
     """M5: continuous features by correlation with the label."""

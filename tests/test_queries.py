@@ -8,17 +8,11 @@ from oracle_compare import connect, difference
 
 import __spark_entry__ as driver
 from creditloom.plans.fixtures import view
+from creditloom.plans.oracle import ORACLE
 from creditloom.operators import profiling
 from creditloom.plans import reports
 
-CHECKED = [
-    "client_master", "master_validation", "analytic_master", "entity_block_bureau", "entity_block_balance",
-    "entity_block_previous_last", "entity_block_previous_numeric", "entity_block_installments", "entity_block_behaviour",
-    "entity_block_pos_profile", "entity_block_card", "category_shares", "metric_kinds", "exact_quantiles_global", "null_profile",
-    "iqr_outliers", "histogram", "rule_violations", "category_rate", "corr_ranking", "last_status_by_label", "temporal_summary",
-    "combined_frame", "clean_table", "median_impute", "application_features", "model_features", "one_hot", "label_index_table",
-    "encode_mixed", "stratified_split", "rank_features_chi_square", "confusion_report",
-]
+CHECKED = sorted(ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +30,12 @@ def test_registry_is_consistent():
     assert set(oracle) <= set(queries) and set(CHECKED) <= set(oracle)
 
 
+def test_the_wide_aggregate_of_previous_hashes(spark, sf_dir):
+    text = plan(driver.queries()["entity_block_previous_last"](spark, sf_dir))
+    sorted_aggregates = [line for line in text.splitlines() if "SortAggregate" in line]
+    assert "HashAggregate" in text and not any("prev_avg_amt_credit" in line or "avg(" in line for line in sorted_aggregates)
+
+
 def test_entry_is_lazy_and_unique_per_client(spark):
     df = driver.entry(spark)
     assert df.select("sk_id_curr").distinct().count() == df.count() == 150

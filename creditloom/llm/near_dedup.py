@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import map_batches, stored
+from creditloom.llm.common import map_batches, occupied, slot, stored
 from creditloom.llm.components import components, settled
 
 WIDTH = 5
@@ -260,7 +260,7 @@ def link(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Data
     degree = live.groupBy("node").agg(F.sum("size").alias("degree"))
     near = stored(nodes.join(degree, "node").select("node", "id", "values", "degree", "n_shingles"))
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    picked = source.join(near.select("id").distinct(), "id", "left_semi").union(source.where("id IS NULL"))
+    picked = source.withColumn("slot", slot("id")).join(occupied(near, "id"), "slot", "left_semi")
     texts = stored(with_node(picked).join(near.select("node"), "node", "left_semi").dropDuplicates(["node"]))
     live = stored(live.join(near.select("node", "degree"), "node").withColumn("component", F.col("node")))
     edges = settled(live, lambda pairs: confirmed(survivors(pairs, near), texts), lambda open_: crossing_links(open_, near, texts))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -85,12 +84,13 @@ FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json", ".jsonl": "jso
 
 
 def preview_file(spark: SparkSession, path: str, n: int = 500) -> DataFrame:
-    """First rows of a csv, parquet, json or json-lines file."""
+    """First rows of a csv, parquet, json or json-lines file. Columns of a csv
+    file are text, as finding their types would read all of it."""
     ext = path[path.rfind("."):].lower() if "." in path.rsplit("/", 1)[-1] else ""
     if ext not in FORMATS:
         raise ValueError(f"unsupported format for preview: {ext or path}")
     if ext == ".csv":
-        return read_csv(spark, path).limit(n)
+        return spark.read.options(header=True, nullValue="").csv(path).limit(n)
     reader = spark.read.format(FORMATS[ext])
     if ext == ".json":
         reader = reader.option("multiLine", True)
@@ -204,14 +204,11 @@ def write_report(df: DataFrame, catalog: Catalog, name: str, zone: str = "refine
 
 def materialize(df: DataFrame) -> DataFrame:
     """Store a frame once and cut its lineage, so that re-run tasks see the
-    same rows. Uses the checkpoint folder of the session; a local session
-    without one gets a fresh temporary folder, a cluster must name one."""
-    context = df.sparkSession.sparkContext
+    same rows. Uses the checkpoint folder of the session, or one below the
+    warehouse, which driver and executors share as well."""
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir")
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            shared = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(shared)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return df.checkpoint()

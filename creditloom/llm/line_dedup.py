@@ -51,7 +51,8 @@ def bands(line: Column) -> Column:
 
     Bin ``b`` of the hash range has its start sorted in among the hashes; how many hashes come before it is its place
     less the starts before it. The next hash is the minimum of the bin or, where the bin is empty, of the next that is
-    not; after the last comes the first.
+    not; after the last comes the first. The bins of a band lie far apart, so that they differ even where a short line
+    leaves most bins empty.
     """
     starts = [-(1 << 63) + b * ((1 << 64) // (BANDS * ROWS)) for b in range(BANDS * ROWS)]
     marks = F.array(*map(F.lit, starts))
@@ -60,7 +61,7 @@ def bands(line: Column) -> Column:
         return s["hashes"][F.pmod(F.array_position(s["merged"], F.lit(starts[b])) - F.lit(b + 1), F.size(s["hashes"])).cast("int")]
 
     def of_bins(s: Column) -> Column:
-        return F.array(*(F.xxhash64(F.lit(i), *(minimum(s, i * ROWS + k) for k in range(ROWS))) for i in range(BANDS)))
+        return F.array(*(F.xxhash64(F.lit(i), *(minimum(s, k * BANDS + i) for k in range(ROWS))) for i in range(BANDS)))
 
     # arrays of one element, so that what the inner expressions share is evaluated once
     anchored = F.transform(F.regexp_extract_all(line, F.lit(ANCHORED), F.lit(1)), lambda piece: F.xxhash64(piece))

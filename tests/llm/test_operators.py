@@ -246,3 +246,34 @@ def test_disguised_words(spark):
     assert max(score[i] for i in range(3)) < 0.3 and min(score[i] for i in range(3, 7)) >= 0.3
     assert np.isfinite(list(score.values())).all()
     assert toxicity.score(asked.limit(0), toxicity.fit(asked.limit(0), labels.limit(0), "doc_id", "text", "toxic")).count() == 0
+
+
+def spelled(random, letters, n):
+    return "".join(random.choice(letters) for _ in range(n))
+
+
+@pytest.mark.parametrize("kind", ["number", "date", "first word", "tabs", "no spaces", "ideographs"])
+def test_line_bands_miss_few_similar_lines(spark, kind):
+    """Lines whose full sets reach the threshold share a band, whatever it is that differs."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    r = random.Random(kind)
+    word = lambda: spelled(r, "abcdefghijklmnopqrstuvwxyz", r.randint(2, 9))
+    number = lambda n: spelled(r, "0123456789", n)
+    rows = []
+    for _ in range(3000):
+        blank = "\t" if kind == "tabs" else "" if kind in ("no spaces", "ideographs") else " "
+        words = list(spelled(r, [chr(c) for c in range(0x4E00, 0x4F00)], r.randint(100, 160))) if kind == "ideographs" else [word() for _ in range(r.randint(22, 48))]
+        date = f"{number(2)}:{number(2)}:{number(2)} {number(4)}-{number(2)}"
+        at = 0 if kind == "first word" else r.randint(0, len(words))
+        changed = [{"number": number(10), "date": (date, date[::-1])[i], "ideographs": chr(0x5000 + i)}.get(kind, word()) for i in range(2)]
+        x, y = (blank.join([*words[:at], c, *words[at:]]) for c in changed)
+        sets = [{t[i : i + 8] for i in range(len(t) - 7)} for t in (x, y)]
+        if 0.85 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.95:
+            rows.append((x, y))
+    assert len(rows) > 200
+    pairs = spark.createDataFrame(rows, "x string, y string").repartition(4)
+    missed = pairs.where(~F.arrays_overlap(line_dedup.bands(F.col("x")), line_dedup.bands(F.col("y")))).count()
+    assert missed <= max(1, 0.003 * len(rows))

@@ -77,16 +77,22 @@ def rolling(total: np.ndarray, width: int, table: tuple) -> np.ndarray:
     return mixed((total[width:] - total[:-width]) * table[2][: len(total) - width])
 
 
-def phrases(raw: np.ndarray, table: tuple) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(hash at the trigger, hash of the phrase, first string start, number of string starts) of the phrases of a text, by block.
+def identity(total: np.ndarray, first: np.ndarray, last: np.ndarray, table: tuple) -> np.ndarray:
+    """One of the two 64-bit hashes of phrases from the strings at ``first`` and ``last``."""
+    a, b = (mixed((total[at + WIDTH] - total[at]) * table[2][at]) for at in (first, last))
+    return mixed(a * np.uint64(3) + b).view(np.int64)
+
+
+def phrases(raw: np.ndarray, tables: Tables) -> Iterator[tuple[np.ndarray, ...]]:
+    """(hash at the trigger, two hashes of the phrase, first string start, number of string starts) of the phrases of a text, by block.
 
     The strings that begin in one phrase are those with the same trigger. Their first and last cover all bytes that any
-    of them reaches, so the two hashes are the phrase's.
+    of them reaches, so their hashes are the phrase's. What is removed as a repeat has 128 bits in common.
     """
+    table = tables[0]
     for at in range(0, len(raw) - WIDTH + 1, BLOCK):
         total = sums(raw[at : at + BLOCK + WIDTH - 1], table)
-        strings = rolling(total, WIDTH, table)
-        n = len(strings)
+        n = len(total) - WIDTH
         grams = rolling(total, GRAM, table)
         least = (grams >> PLACE_BITS << PLACE_BITS) | np.arange(len(grams), dtype=np.uint64)
         have = 1
@@ -97,35 +103,36 @@ def phrases(raw: np.ndarray, table: tuple) -> Iterator[tuple[np.ndarray, np.ndar
         trigger = (least & np.uint64((1 << 21) - 1)).astype(np.int64)
         starts = np.flatnonzero(np.diff(trigger, prepend=-1))
         counts = np.diff(starts, append=n)
-        phrase = mixed(strings[starts] * np.uint64(3) + strings[starts + counts - 1]) >> np.uint64(32)
-        yield (grams[trigger[starts]] >> np.uint64(16)).view(np.int64), phrase.astype(np.uint32).view(np.int32), (starts + at).astype(np.int32), counts.astype(np.int16)
+        totals = (total, sums(raw[at : at + BLOCK + WIDTH - 1], tables[1]))
+        phrase, other = (identity(t, starts, starts + counts - 1, tables[i]) for i, t in enumerate(totals))
+        yield (grams[trigger[starts]] >> np.uint64(16)).view(np.int64), phrase, other, (starts + at).astype(np.int32), counts.astype(np.int16)
 
 
 PLACE = pa.struct([("id", pa.int64()), ("start", pa.int32())])
-PARSE = "trigger long, phrase int, n short, id long, start int, more array<struct<id:long,start:int>>"
+PARSE = "trigger long, phrase long, other long, n short, id long, start int, more array<struct<id:long,start:int>>"
 
 
 def parse(texts: DataFrame) -> DataFrame:
     """The parse by phrase: in each batch of texts a phrase's first place ``(id, start)`` and its others in ``more``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = hash_tables()[0]
+        tables = hash_tables()
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            found = [(i, block) for i, text in enumerate(batch.column(1).to_pylist()) for block in phrases(encoded(text), table)]
+            found = [(i, block) for i, text in enumerate(batch.column(1).to_pylist()) for block in phrases(encoded(text), tables)]
             if not found:
                 continue
             owner = ids[np.repeat([i for i, _ in found], [len(block[0]) for _, block in found])]
-            trigger, phrase, start, n = (np.concatenate([block[j] for _, block in found]) for j in range(4))
-            order = np.lexsort((start, owner, n, phrase, trigger))
-            trigger, phrase, start, n, owner = (x[order] for x in (trigger, phrase, start, n, owner))
+            trigger, phrase, other, start, n = (np.concatenate([block[j] for _, block in found]) for j in range(5))
+            order = np.lexsort((start, owner, n, other, phrase, trigger))
+            trigger, phrase, other, start, n, owner = (x[order] for x in (trigger, phrase, other, start, n, owner))
             head = np.ones(len(order), bool)
-            head[1:] = (trigger[1:] != trigger[:-1]) | (phrase[1:] != phrase[:-1]) | (n[1:] != n[:-1])
+            head[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in (trigger, phrase, other, n)])
             rest = np.flatnonzero(~head)
             offsets = np.concatenate([[0], np.cumsum(np.diff(np.flatnonzero(head), append=len(head)) - 1)]).astype(np.int32)
             places = pa.StructArray.from_arrays([pa.array(owner[rest]), pa.array(start[rest])], fields=list(PLACE))
-            columns = [pa.array(x[head]) for x in (trigger, phrase, n, owner, start)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(offsets), places)], ["trigger", "phrase", "n", "id", "start", "more"])
+            columns = [pa.array(x[head]) for x in (trigger, phrase, other, n, owner, start)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(offsets), places)], ["trigger", "phrase", "other", "n", "id", "start", "more"])
 
     return texts.select("id", "text").mapInArrow(run, PARSE)
 
@@ -138,38 +145,38 @@ def judged(parsed: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple | None = None  # trigger, phrase, n, and its first place while no other phrase of the trigger came
+        last: tuple | None = None  # trigger, phrase, other, n, and its first place while no other phrase of the trigger came
         for batch in batches:
-            trigger, phrase, n, owner, start = (batch.column(i).to_numpy() for i in range(5))
+            trigger, phrase, other, n, owner, start = (batch.column(i).to_numpy() for i in range(6))
             if not len(trigger):
                 continue
-            before = [np.concatenate([[x], column[:-1]]) for x, column in zip(last or (trigger[0] ^ 1, 0, 0), (trigger, phrase, n), strict=False)]
+            before = [np.concatenate([[x], column[:-1]]) for x, column in zip(last or (trigger[0] ^ 1, 0, 0, 0), (trigger, phrase, other, n), strict=False)]
             same_trigger = trigger == before[0]
-            again = same_trigger & (phrase == before[1]) & (n == before[2])
-            more = batch.column(5)
+            again = same_trigger & (phrase == before[1]) & (other == before[2]) & (n == before[3])
+            more = batch.column(6)
             lengths = np.diff(more.offsets.to_numpy())
             others = more.flatten()
             out = [(np.ones(len(others), bool), np.repeat(trigger, lengths), others.field("id").to_numpy(), others.field("start").to_numpy(), np.repeat(n, lengths)),
                    (np.ones(again.sum(), bool), trigger[again], owner[again], start[again], n[again])]
             new = np.flatnonzero(~again)
-            held = last[3] if last else None
+            held = last[4] if last else None
             if len(new):
                 follows = same_trigger[new]
                 shown = follows.copy()
                 shown[:-1] |= follows[1:]  # a phrase that another of its trigger follows
                 if held is not None and follows[0]:
-                    out.append(tuple(np.array([x]) for x in (False, last[0], *held, last[2])))
+                    out.append(tuple(np.array([x]) for x in (False, last[0], *held, last[3])))
                 final = new[-1]
                 pending = not shown[-1]
                 place = new[shown]
                 out.append((np.zeros(len(place), bool), trigger[place], owner[place], start[place], n[place]))
                 held = (owner[final], start[final]) if pending else None
-                last = (trigger[final], phrase[final], n[final], held)
+                last = (trigger[final], phrase[final], other[final], n[final], held)
             kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int16())
             columns = [pa.array(np.concatenate([part[i] for part in out]), kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, ["again", "trigger", "id", "start", "n"])
 
-    rows = parsed.repartition("trigger").sortWithinPartitions("trigger", "phrase", "n", "id", "start")
+    rows = parsed.repartition("trigger").sortWithinPartitions("trigger", "phrase", "other", "n", "id", "start")
     return rows.mapInArrow(run, "again boolean, trigger long, id long, start int, n short")
 
 

@@ -277,3 +277,26 @@ def test_line_bands_miss_few_similar_lines(spark, kind):
     pairs = spark.createDataFrame(rows, "x string, y string").repartition(4)
     missed = pairs.where(~F.arrays_overlap(line_dedup.bands(F.col("x")), line_dedup.bands(F.col("y")))).count()
     assert missed <= max(1, 0.003 * len(rows))
+
+
+@pytest.mark.parametrize("column", [1, 2])
+def test_phrases_that_share_half_of_their_hash_are_no_repeats(column):
+    """Of two phrases one hash, and of the other the upper half, may agree: they stay two."""
+    import pyarrow as pa
+
+    names = ["trigger", "phrase", "other", "n", "id", "start", "more"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int64(), pa.int32(), pa.list_(suffix_dedup.PLACE)]
+    rows = [[5, 1 << 40, 1 << 40, 7, i, 0, []] for i in range(2)]
+    rows[1][column] += 1
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    class Frame:
+        def repartition(self, *_):
+            return self
+
+        sortWithinPartitions = repartition
+
+        def mapInArrow(self, run, _):
+            return [r for b in run(iter([batch])) for r in b.to_pylist()]
+
+    assert sorted((r["again"], r["id"]) for r in suffix_dedup.judged(Frame())) == [(False, 0), (False, 1)]

@@ -27,12 +27,12 @@ READINGS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g
 DROPPED = "._-*~^'`"
 #: Log probabilities of the channel.
 SUBSTITUTED, SEPARATED, REPEATED = -1.0, -0.3, -0.3
-#: Longest token that is decoded; longer ones are no words.
-LONGEST = 40
+#: Log probability of a word break between letters that stand apart; that of a separator, as the letters decide.
+BROKEN = SEPARATED
+#: Longest token that ``known`` keeps.
+LONGEST_KNOWN = 40
 #: Labelled documents used at most, chosen by a hash of their id.
 MAX_LABELLED = 50_000
-#: Words of the model at most, the surest first.
-MAX_WORDS = 5_000
 #: Labelled documents in which a word must occur.
 LEAST_DOCUMENTS = 5
 #: Letters of the word beginnings that count as well, marked by a star.
@@ -46,6 +46,8 @@ PART = 200_000
 EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»¡¿…“”"
 OUTER = EDGES.replace("@", "").replace("$", "").replace("|", "")
 DRAWN = re.compile(r"(.)\1\1")
+#: Characters that stand apart: each but the last has a separator after it.
+SPREAD = re.compile(r"(?s)(?:[^ ._*~^'`-][ ._*~^'`-]){3,}[^ ._*~^'`-]")
 SPACED = re.compile(r"(?<!\S)(?:\S[ ]){3,}\S(?!\S)")
 CODES = np.zeros(256, np.int64)
 CODES[ord("a") : ord("z") + 1] = CODES[ord("A") : ord("Z") + 1] = np.arange(1, 27)
@@ -89,25 +91,41 @@ def code(char: str) -> int:
     return ord(char) - 96 if "a" <= char <= "z" else 27 if ord(char) > 127 else 0
 
 
-def decode(token: str, model: np.ndarray) -> str:
-    """Viterbi over the readings of a token; a state is the last two letters."""
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+def decode(token: str, model: np.ndarray) -> list[str]:
+    """Words of the likeliest reading of a token, and all of them as one, by Viterbi; a state is the last two letters.
+
+    Where characters stand apart, a dropped separator may also end a word. Readings are linked backwards, so that the
+    work goes with the length of the token.
+    """
+    apart = SPREAD.fullmatch(token) is not None
+    best: dict[tuple[int, int], tuple[float, str, tuple | None]] = {(0, 0): (0.0, "", None)}
     for char in token:
-        step: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, word) in best.items():
-            ways = [(c, p) for c, p in readings(char)]
-            ways += [("", REPEATED)] if word and any(c == word[-1] for c, _ in ways) else []
+        step: dict[tuple[int, int], tuple[float, str, tuple | None]] = {}
+        ways = readings(char)
+        for (a, b), (score, last, before) in best.items():
             for letter, price in ways:
                 c = code(letter) if letter else None
                 state = (a, b) if c is None else (b, c)
                 value = score + price + (0.0 if c is None else float(model[a, b, c]))
                 if state not in step or value > step[state][0]:
-                    step[state] = (value, word + letter)
+                    step[state] = (value, letter or last, (letter, before) if letter else before)
+            if last and last != " " and any(c == last for c, _ in ways) and ((a, b) not in step or score + REPEATED > step[a, b][0]):
+                step[a, b] = (score + REPEATED, last, before)
+            if apart and last and last != " " and any(not c for c, _ in ways):
+                value = score + BROKEN + float(model[a, b, 0])
+                if (b, 0) not in step or value > step[b, 0][0]:
+                    step[b, 0] = (value, " ", (" ", before))
         best = step
-    return max((score + float(model[a, b, 0]), word) for (a, b), (score, word) in best.items())[1]
+    link = max(((score + (float(model[a, b, 0]) if last != " " else 0.0), last, back) for (a, b), (score, last, back) in best.items()), key=lambda x: x[:2])[2]
+    letters = []
+    while link:
+        letters.append(link[0])
+        link = link[1]
+    words = "".join(reversed(letters)).split(" ")
+    return words if len(words) == 1 else [*words, "".join(words)]
 
 
-def restored(text: str | None, model: np.ndarray, known: dict[str, str]) -> set[str]:
+def restored(text: str | None, model: np.ndarray, known: dict[str, list[str]]) -> set[str]:
     """Distinct words of a text in lower case, disguised ones decoded, and their beginnings; ``known`` keeps decoded tokens."""
     low = (text or "").lower()
     words = set()
@@ -119,12 +137,14 @@ def restored(text: str | None, model: np.ndarray, known: dict[str, str]) -> set[
         disguised = token.strip(OUTER) if any(map(str.isalpha, token)) else ""
         if bare:
             words.add(bare)
-        if 0 < len(disguised) <= LONGEST:
+        if len(disguised) > LONGEST_KNOWN:
+            words.update(decode(disguised, model))
+        elif disguised:
             if disguised not in known:
                 if len(known) > 200_000:
                     known.clear()
                 known[disguised] = decode(disguised, model)
-            words.add(known[disguised])
+            words.update(known[disguised])
     return words | {w[:n] + "*" for w in words for n in BEGINNINGS if len(w) > n}
 
 
@@ -176,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     shared = shipped(spark, letters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, str] = {}
+        known: dict[str, list[str]] = {}
         letters = shared()
         counts: dict[str, list[int]] = {}
 
@@ -200,11 +220,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     n, p, z = F.col("clean") + F.col("toxic"), F.col("toxic") / (F.col("clean") + F.col("toxic")), 3.0
     low = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
     candidates = counted.withColumn("low", low).where(f"low >= {SURE} AND clean + toxic >= {LEAST_DOCUMENTS}")
-    chosen = [r["word"] for r in candidates.orderBy(F.desc("low"), "word").limit(MAX_WORDS).collect()]
+    chosen = [r["word"] for r in candidates.orderBy(F.desc("low"), "word").collect()]
     places = shipped(spark, {w: i for i, w in enumerate(chosen)})
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, str] = {}
+        known: dict[str, list[str]] = {}
         letters, place = shared(), places()
         for batch in batches:
             found = [sorted(place[w] for w in restored(t, letters, known) & place.keys()) for t in batch.column(0).to_pylist()]
@@ -224,7 +244,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, score double, words array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, str] = {}
+        known: dict[str, list[str]] = {}
         model = shared()
         for batch in batches:
             marks = [sorted(restored(t, model.letters, known) & model.words.keys()) for t in batch.column(1).to_pylist()]

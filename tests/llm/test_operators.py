@@ -300,3 +300,20 @@ def test_phrases_that_share_half_of_their_hash_are_no_repeats(column):
             return [r for b in run(iter([batch])) for r in b.to_pylist()]
 
     assert sorted((r["again"], r["id"]) for r in suffix_dedup.judged(Frame())) == [(False, 0), (False, 1)]
+
+
+def test_long_disguises_are_decoded():
+    import numpy as np
+
+    sentence = "you are a scoundrel and a rascal"
+    text = (" ".join([sentence, prose(1, 20)]) + " ") * 50
+    codes = toxicity.CODES[np.frombuffer(f"  {text}  ".encode(), np.uint8)]
+    counts = np.zeros((toxicity.SYMBOLS,) * 3)
+    np.add.at(counts, (codes[:-2], codes[1:-1], codes[2:]), 1)
+    model = toxicity.letter_model(counts)
+    letters = sentence.replace(" ", "")
+    for hidden in (" ".join(letters), "-".join(letters), ".".join(letters * 3)):
+        assert {"scoundrel", "rascal"} <= toxicity.restored(hidden, model, {})
+    assert "scoundrel" in toxicity.restored("sc" + "o" * 90 + "undrel", model, {})
+    assert "scoundrel" in toxicity.restored("s c o u n d r e l", model, {})
+    toxicity.restored("1a" * 20_000, model, {})

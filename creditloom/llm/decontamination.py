@@ -29,7 +29,9 @@ COVERAGE = 0.5
 #: Characters of benchmark text in one block.
 BLOCK_CHARS = 8_000_000
 
-TOKEN = re.compile(r"\w+")
+#: Scripts written without blanks, of which every character is a token: Thai to Tibetan, Burmese, Khmer, kana, Han.
+UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+TOKEN = re.compile(f"[{UNSPACED}]|[^\\W{UNSPACED}]+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,12 +58,16 @@ def rolling(ids: np.ndarray, width: int) -> np.ndarray:
 
 @dataclass
 class Block:
-    """Items of one block: tokens as numbers, and the seeds with the items that hold them."""
+    """Items of one block: tokens as numbers, and the seeds with the items that hold them.
+
+    Items shorter than a seed are found by all their tokens: ``short`` has them by these.
+    """
 
     items: list[tuple[object, np.ndarray]] = field(default_factory=list)
     vocabulary: dict[str, int] = field(default_factory=dict)
     seeds: np.ndarray | None = None
     owners: np.ndarray | None = None
+    short: dict[tuple[int, ...], list[object]] = field(default_factory=dict)
 
 
 def block_of(rows: list[tuple[object, str | None]]) -> Block:
@@ -69,6 +75,9 @@ def block_of(rows: list[tuple[object, str | None]]) -> Block:
     hashes, owners = [], []
     for key, text in rows:
         ids = np.array([block.vocabulary.setdefault(t, len(block.vocabulary)) for t in tokens(text)], np.int64)
+        if 0 < len(ids) < SHORTEST:
+            block.short.setdefault(tuple(ids.tolist()), []).append(key)
+            continue
         seeds = np.unique(rolling(ids, SHORTEST))
         hashes.append(seeds)
         owners.append(np.full(len(seeds), len(block.items)))
@@ -127,13 +136,16 @@ def hits(text: str | None, block: Block, coverage: float) -> list[tuple[object,
     """(item, its tokens, tiles, tokens covered) of the items that reach ``coverage`` in this text."""
     ids = np.fromiter(map(block.vocabulary.get, words := tokens(text), repeat(-1)), np.int64, len(words))
     known = ids >= 0
+    out = []
+    for width in sorted({len(s) for s in block.short}):
+        held = set(zip(*(ids[i : len(ids) - width + 1 + i].tolist() for i in range(width)), strict=True)) if len(ids) >= width else set()
+        out += [(key, width, 1, width) for s in sorted(held & block.short.keys()) for key in block.short[s]]
     if known.sum() < SHORTEST:
-        return []
+        return out
     codes = rolling(ids, SHORTEST)
     low = np.searchsorted(block.seeds, codes, "left")
     high = np.searchsorted(block.seeds, codes, "right")
     at = np.flatnonzero(high > low)
-    out = []
     for i in sorted({int(o) for p in at for o in block.owners[low[p] : high[p]]}):
         key, item = block.items[i]
         shared = np.isin(rolling(item, SHORTEST), codes[at])
@@ -149,7 +161,7 @@ def hits(text: str | None, block: Block, coverage: float) -> list[tuple[object,
 
 
 def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Block]:
-    """The benchmark in blocks of about ``BLOCK_CHARS`` characters; texts without a seed match nothing and are left out."""
+    """The benchmark in blocks of about ``BLOCK_CHARS`` characters; null texts match nothing and are left out."""
     texts = benchmark.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     count = 1 + (texts.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARS
     for i in range(count):
@@ -164,7 +176,8 @@ def find(
     """``(id_col, item_col, item_tokens, n_tiles, covered, coverage)`` for each document and item it contains.
 
     Repeated documents or items give repeated rows; null ids are kept; null or empty texts contain nothing and are
-    contained nowhere, as are items of fewer than four tokens. Other columns are not read.
+    contained nowhere. An item of fewer than four tokens is contained where all of them follow one another, whatever
+    ``coverage``. Other columns are not read.
     """
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
     source = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))

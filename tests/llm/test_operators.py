@@ -317,3 +317,16 @@ def test_long_disguises_are_decoded():
     assert "scoundrel" in toxicity.restored("sc" + "o" * 90 + "undrel", model, {})
     assert "scoundrel" in toxicity.restored("s c o u n d r e l", model, {})
     toxicity.restored("1a" * 20_000, model, {})
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    items = [(1, "What is photosynthesis?"), (2, "2 + 2 = ?"), (3, "水は何度で沸騰しますか。答えを選んでください。"), (4, "Thai ภาษาไทยง่ายไหม"), (5, "...")]
+    texts = [
+        prose(1, 20) + " what is Photosynthesis " + prose(2, 9), "ask: 2 + 2 =", "前の文。水は何度で沸騰しますか。次の文を選んでください。", "what is the photosynthesis", "2",
+        "คำว่าภาษาไทยง่ายไหมครับ",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.coverage == 1) for r in decontamination.find(frame, benchmark).collect())
+    assert got == [(0, 1, True), (1, 2, True), (2, 3, False), (5, 4, False)]
+    assert sorted(r.doc_id for r in decontamination.clean(frame, benchmark).collect()) == [3, 4]

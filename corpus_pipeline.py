@@ -27,7 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; ``n_chars`` is that of the new text. Documents that lose all their lines go."""
-    done = line_dedup.dedup(docs, removed_col="_removed")
+    done = line_dedup.dedup(docs, removed_col="_removed", shortest=1)
     emptied = (F.col("_removed") > 0) & (F.trim("text") == "")
     changed = F.when(F.col("_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return done.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", changed).select(docs.columns)

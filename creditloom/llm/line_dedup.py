@@ -23,7 +23,7 @@ from creditloom.llm.components import components, settled
 WIDTH = 8
 #: Jaccard similarity of the shingle sets of two lines that are linked.
 SIMILARITY = 0.85
-#: Characters of the shortest line that is compared; shorter ones say too little and stay.
+#: Characters of the shortest line that is compared by its shingles; shorter ones say too little and have only copies.
 SHORTEST = 20
 #: At the threshold a pair shares no band with probability (1 - 0.85 ** 4) ** 12, about 1e-4; with bins instead of
 #: permutations fewer than 1 in 1,000 pairs, of any length. Four rows keep unlike lines, which share a hundredth of their
@@ -83,11 +83,11 @@ def bands(line: Column) -> Column:
     return F.transform(F.transform(minimal, filled), of_bins)[0]
 
 
-def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, hash, line, norm)``: the lines long enough to be compared, in lower case, trimmed; ``line`` from 0."""
+def lines(docs: DataFrame, id_col: str, text_col: str, shortest: int = SHORTEST) -> DataFrame:
+    """``(id, hash, line, norm)``: the lines of ``shortest`` characters or more, in lower case, trimmed; ``line`` from 0."""
     text = F.col(text_col).cast("string")
     split = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), F.posexplode(F.split(text, "\n")).alias("line", "raw"))
-    return split.select("id", "hash", "line", F.lower(F.trim("raw")).alias("norm")).where(F.length("norm") >= SHORTEST)
+    return split.select("id", "hash", "line", F.lower(F.trim("raw")).alias("norm")).where(F.length("norm") >= shortest)
 
 
 def similar(a: Column, b: Column) -> Column:
@@ -95,11 +95,11 @@ def similar(a: Column, b: Column) -> Column:
     return shared >= SIMILARITY * (F.size(a) + F.size(b) - shared)
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = SHORTEST) -> DataFrame:
     """``(id, hash, removed)``: for each document the numbers of its lines that go."""
     place = F.struct("id", "hash", "line")
-    all_lines = lines(docs, id_col, text_col)
-    signed = all_lines.select(F.unhex(F.md5(F.col("norm").cast("binary"))).alias("digest"), place.alias("place"), bands(F.col("norm")).alias("bands"))
+    all_lines = lines(docs, id_col, text_col, shortest)
+    signed = all_lines.select(F.unhex(F.md5(F.col("norm").cast("binary"))).alias("digest"), place.alias("place"), F.when(F.length("norm") >= SHORTEST, bands(F.col("norm"))).alias("bands"))
     grouped = signed.groupBy("digest").agg(F.min("place").alias("place"), F.first("bands").alias("bands"))
     nodes = stored(grouped.withColumn("node", F.monotonically_increasing_id()))  # numbers hold once they are written
     buckets = nodes.select("node", F.explode("bands").alias("band"))
@@ -136,15 +136,16 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return gone.groupBy("id", "hash").agg(F.collect_set("line").alias("removed"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed_col: str = "n_removed") -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed_col: str = "n_removed", shortest: int = SHORTEST) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text_col``, and their number in ``removed_col``.
 
-    Lines are compared in lower case without outer blanks; those of fewer than ``SHORTEST`` characters stay. Of each
+    Lines are compared in lower case without outer blanks; those of fewer than ``SHORTEST`` characters
+    are repeats of equal ones only, and stay below ``shortest``; with 1, just blank lines stay, which part paragraphs. Of each
     component of lines the first stays, by id (null first), hash of the text and number. Rows equal in id and text are
     one document and are cut alike. A null text stays null. All other columns stay; one named ``removed_col`` is
     replaced. An empty table gives an empty result.
     """
-    removed = stored(repeated_lines(docs, id_col, text_col))
+    removed = stored(repeated_lines(docs, id_col, text_col, shortest))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     id_, text = F.col("row").getField(id_col), F.col("row").getField(text_col).cast("string")
     marked = rows.withColumn("key", F.xxhash64(text)).withColumn("slot", slot("key"))

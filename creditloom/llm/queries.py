@@ -51,7 +51,7 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup(docs).select("doc_id", "n_removed", "text")
+    return line_dedup.dedup(docs, shortest=1).select("doc_id", "n_removed", "text")
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

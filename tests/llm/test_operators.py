@@ -330,3 +330,10 @@ def test_short_items_and_scripts_without_blanks(spark):
     got = sorted((r.doc_id, r.item_id, r.coverage == 1) for r in decontamination.find(frame, benchmark).collect())
     assert got == [(0, 1, True), (1, 2, True), (2, 3, False), (5, 4, False)]
     assert sorted(r.doc_id for r in decontamination.clean(frame, benchmark).collect()) == [3, 4]
+
+
+def test_copies_of_short_lines_go(spark):
+    texts = {0: "Read more\n\nall rights reserved\nread more!", 1: "一句短话。\n\n READ MORE \nAll rights reserved", 2: "一句短话。\nread mode"}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {i: r.text for i, r in by_id(line_dedup.dedup(frame, shortest=1)).items()}
+    assert got == {0: texts[0], 1: "一句短话。\n", 2: "read mode"}

@@ -47,4 +47,54 @@ WITH RECURSIVE sizes AS (
 SELECT doc_id, text, lang, source, n_chars, unnest(range(1, n::BIGINT + 1))::INT AS replica FROM drawn WHERE n > 0
 """
 
-ORACLE = {"op1_url_filters": URL_FILTERS, "op7_source_mixing": SOURCE_MIXING}
+HARD_NEGATIVES = r"""
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT p.anchor_id, p.other AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY s.score DESC, s.other) AS rank,
+       s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score
+QUALIFY rank <= 10
+"""
+
+LEXICAL_SEARCH = r"""
+WITH texts AS (
+    SELECT 'd' AS kind, row_number() OVER () AS row, doc_id AS id, text FROM documents
+    UNION ALL SELECT 'q', row_number() OVER (), item_id, text FROM benchmark
+), words AS (
+    SELECT kind, row, id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM texts
+), counts AS (
+    SELECT row, id, term, count(*) AS tf FROM words WHERE kind = 'd' GROUP BY ALL
+), sizes AS (
+    SELECT row, sum(tf)::BIGINT AS n FROM counts GROUP BY row
+), total AS (
+    SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM sizes
+), weights AS (
+    SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM counts, total GROUP BY term, docs
+), scores AS (
+    SELECT q.row AS item, q.id AS item_id, c.row, c.id AS doc_id,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length))))::BIGINT AS score
+    FROM (SELECT DISTINCT row, id, term FROM words WHERE kind = 'q') q JOIN counts c USING (term) JOIN weights USING (term)
+    JOIN sizes ON sizes.row = c.row, total
+    GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id, row) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50
+"""
+
+ORACLE = {
+    "op1_url_filters": URL_FILTERS,
+    "op7_source_mixing": SOURCE_MIXING,
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op13_lexical_search": LEXICAL_SEARCH,
+}

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontamination, line_dedup, mixing, near_dedup, pii, quality, secrets, suffix_dedup, toxicity, url_filters
+from creditloom.llm import (
+    decontamination, hard_negatives, lexical, licenses, line_dedup, mixing, near_dedup, pii, quality, secrets, suffix_dedup,
+    toxicity, url_filters,
+)
 from creditloom.llm.common import table
 from creditloom.llm.oracle import ORACLE  # noqa: F401
 
@@ -90,6 +93,29 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.filter("spans", lambda s: s["base"])
+
+    def labels(spans: Column | str) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+
+    starts = F.transform(base, lambda s: s["start"])
+    share = F.coalesce(F.try_divide("covered", "n_words"), F.lit(0.0))
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), labels(base).alias("base_labels"), labels("spans").alias("labels"), share.alias("score"),
+    )
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_quality_rules": op2_quality_rules,
@@ -101,4 +127,7 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_toxicity": op9_toxicity,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_license_scan": op12_license_scan,
+    "op13_lexical_search": op13_lexical_search,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -140,3 +141,68 @@ def line_dedup(texts: dict, width: int = 8, similarity: float = 0.85, shortest:
         rows = (t or "").split("\n")
         out[d] = None if t is None else "\n".join(r for i, r in enumerate(rows) if (d, i) not in norm or find(first[norm[d, i]]) == (d, i))
     return out
+
+
+TERM = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def term_list(text):
+    return TERM.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def hard_negatives(rows, positives=5, negatives=10, low=30, high=90, scale=256):
+    """``rows`` are (id, label, vector, whether an anchor); the answer as sorted tuples in the order of the columns."""
+    fine = [(i, r[0], r[1], [math.floor(scale * x) for x in r[2]], r[3]) for i, r in enumerate(rows) if r[1] is not None and r[2] is not None and all(x is not None and math.isfinite(x) for x in r[2])]
+    rank = lambda s: (-s[0], s[1] is None, s[1] or 0)
+    out = []
+    for i, anchor, label, v, is_anchor in fine:
+        if not is_anchor:
+            continue
+        scores = [(sum(a * b for a, b in zip(v, w, strict=False)), other, same == label) for j, other, same, w, _ in fine if j != i]
+        for p, pid, _ in sorted((s for s in scores if s[2]), key=rank)[:positives]:
+            window = sorted((s for s in scores if not s[2] and low * p <= 100 * s[0] <= high * p), key=rank)[:negatives]
+            out += [(anchor, pid, n, nid, p, s) for n, (s, nid, _) in enumerate(window, 1)]
+    return sorted(out, key=str)
+
+
+def phrase_places(text, phrases):
+    words = term_list(text)
+    places = [(label, i) for label, phrase in phrases for said in [phrase.split()] for i in range(len(words)) if words[i : i + len(said)] == said]
+    return len(words), places
+
+
+def template_expression(template):
+    """The template as one regular expression over words that are each followed by a blank."""
+    out = []
+    for piece in re.split(r"(\[\[|\]\]|\{\{.*?\}\})", template, flags=re.S):
+        if piece == "[[":
+            out.append("(?:")
+        elif piece == "]]":
+            out.append(")?")
+        elif piece.startswith("{{") and ".." in piece:
+            least, most = piece[2:-2].split("..")
+            out.append(f"(?:[^ ]+ ){{{int(least)},{int(most)}}}")
+        elif piece.startswith("{{"):
+            out.append("(?:" + "|".join("".join(re.escape(w) + " " for w in term_list(x)) for x in piece[2:-2].split("|")) + ")")
+        else:
+            out += [re.escape(w) + " " for w in term_list(piece)]
+    return re.compile("(?<![^ ])" + "".join(out))
+
+
+def lexical(docs, items, k=50):
+    """(item place, rank, doc id, score) over lists of (id, text)."""
+    bags = [(d, Counter(term_list(t))) for d, t in docs]
+    n_docs, length = sum(1 for _, b in bags if b), sum(sum(b.values()) for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    out = []
+    for place, (_, text) in enumerate(items):
+        scores = []
+        for d, bag in bags:
+            if not bag:
+                continue
+            m = 50 + (50 * sum(bag.values()) * n_docs) // length
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((1000000000 * bag[t]) // (1000 * bag[t] + 20 * m)) for t in set(term_list(text)) if bag[t])
+            if s > 0:
+                scores.append((-s, d is None, d or 0, d))
+        out += [(place, n, d, -s) for n, (s, _, _, d) in enumerate(sorted(scores, key=lambda x: x[:3])[:k], 1)]
+    return out

@@ -21,7 +21,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_operators_are_registered():
     names = set(driver.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {name.split("_")[0] + "_" for name in names} and "pipeline" in names
+    assert {f"op{n}_" for n in range(1, 14)} <= {name.split("_")[0] + "_" for name in names} and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", ["op1_url_filters", "op4_line_dedup", "op7_source_mixing", "op8_personal_data"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -12,11 +13,13 @@ from pyspark.sql import types as T
 from creditloom.functions.naming import value_columns
 from creditloom.functions.quantiles import SKETCH_ACCURACY, distinct_estimate, exact_quantiles
 from creditloom.functions.rowexpr import flag
-from creditloom.operators.cleaning import numeric_columns, string_columns
+from creditloom.operators.cleaning import fit_median, numeric_columns, string_columns
 from creditloom.operators.shaping import to_long
-from creditloom.sources.storage import materialize
+from creditloom.shared import materialize
 
 MAX_LITERAL_VALUES = 200
+#: Values of one column that may become columns.
+MAX_VALUE_COLUMNS = 5_000
 MAX_BROADCAST_VALUES = 100_000
 
 
@@ -58,23 +61,23 @@ def apply_caps(df: DataFrame, caps: Caps, suffix: str = "_cap") -> DataFrame:
     return df.withColumns({f"{c}{suffix}": caps.capped(c, dtype=df.schema[c].dataType) for c in caps.bounds})
 
 
-def fit_values(df: DataFrame, cols: Sequence[str], limit: int | None = None) -> dict[str, list[str]]:
+def fit_values(df: DataFrame, cols: Sequence[str], limit: int = MAX_VALUE_COLUMNS) -> dict[str, list[str]]:
     """Non-null values of every column from one scan, sorted.
 
-    The result becomes columns. A caller that can take only so many may set a
-    ``limit``, beyond which this raises; nothing is cut off. ``long_shares``
-    has no columns to make and suits columns of very many values.
+    The result becomes columns and is held by the driver, so a column of more
+    than ``limit`` values raises; nothing is cut off. ``frequent_values`` finds
+    those of such a column that are worth a column, ``long_shares`` needs none.
     """
     if not cols:
         return {}
     distinct = to_long(df, cols, as_type="string").filter(F.col("value").isNotNull()).distinct()
-    rows = (distinct if limit is None else distinct.limit(limit * len(cols) + 1)).collect()
+    rows = distinct.limit(limit * len(cols) + 1).collect()
     values: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         values[r["variable"]].append(r["value"])
-    wide = [c for c, v in values.items() if limit is not None and len(v) > limit]
-    if wide or limit is not None and len(rows) > limit * len(cols):
-        raise ValueError(f"more than {limit} values, use a label index instead: {wide or cols}")
+    wide = [c for c, v in values.items() if len(v) > limit]
+    if wide or len(rows) > limit * len(cols):
+        raise ValueError(f"more than {limit} values, use frequent values or a label index instead: {wide or cols}")
     return {c: sorted(v) for c, v in values.items()}
 
 
@@ -91,7 +94,7 @@ class OneHotModel:
 
 
 def fit_one_hot(df: DataFrame, cols: Sequence[str], null_indicator: bool = True,
-                limit: int | None = None, values: Mapping[str, Sequence[str]] | None = None) -> OneHotModel:
+                limit: int = MAX_VALUE_COLUMNS, values: Mapping[str, Sequence[str]] | None = None) -> OneHotModel:
     found = values if values is not None else fit_values(df, cols, limit)
     taken = {c for c in df.columns if c not in cols}
     nulls = {c: f"{c}_nan" for c in cols} if null_indicator else {}
@@ -133,6 +136,55 @@ def long_shares(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     return shares.select(key, "variable", "value", (F.col("_n") / F.col("_total")).alias("share"))
 
 
+#: Items that a heavy-hitter sketch tracks, as a multiple of those that can reach the share.
+TRACKED = 64
+
+
+def frequent_values(df: DataFrame, cols: Sequence[str], share: float = 0.01) -> dict[str, dict[str, int]]:
+    """Values that at least ``share`` of all rows have, with their exact counts.
+
+    Two passes whatever the number of values: one heavy-hitter sketch per column
+    proposes at most ``4 / share`` candidates, whose rows are then counted. The
+    sketch errs by less than a tenth of ``share``, so no value that reaches it
+    is missed, and the count removes those that don't. The driver holds at most
+    ``4 / share`` rows per column.
+    """
+    if not 0 < share <= 1:
+        raise ValueError(f"not a share: {share}")
+    if not cols:
+        return {}
+    most = math.ceil(4 / share)
+    tracked = min(math.ceil(TRACKED / share), 1_000_000)
+    if tracked < 40 / share:
+        raise ValueError(f"too small a share for the sketch: {share}")
+    tops = [F.expr(f"approx_top_k(CAST(`{c}` AS STRING), {most}, {tracked})").alias(f"t{i}") for i, c in enumerate(cols)]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *tops).first()
+    found = [(c, x["item"]) for i, c in enumerate(cols) for x in row[f"t{i}"] or [] if x["item"] is not None]
+    if not found:
+        return {c: {} for c in cols}
+    wanted = df.sparkSession.createDataFrame(found, "variable string, value string")
+    counts = to_long(df, cols, as_type="string").join(F.broadcast(wanted), ["variable", "value"]).groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
+    out: dict[str, dict[str, int]] = {c: {} for c in cols}
+    for r in sorted(counts.collect(), key=lambda r: r["value"]):
+        if r["n"] >= share * row["rows"]:
+            out[r["variable"]][r["value"]] = r["n"]
+    return out
+
+
+def split_shares(df: DataFrame, key: str, cols: Sequence[str], share: float = 0.01) -> tuple[DataFrame, DataFrame]:
+    """``category_shares`` of columns of any number of values, in two frames: a
+    column per frequent value, and rows ``key, variable, value, share`` of all
+    others. Together they hold every share, whatever the number of values."""
+    frequent = frequent_values(df, cols, share)
+    wide = category_shares(df, key, cols, {c: list(v) for c, v in frequent.items()})
+    held = [(c, v) for c, values in frequent.items() for v in values]
+    rest = long_shares(df, key, cols)
+    if held:
+        table = F.broadcast(df.sparkSession.createDataFrame(held, "variable string, value string"))
+        rest = rest.join(table, ["variable", "value"], "left_anti")
+    return wide, rest.select(key, "variable", "value", "share")
+
+
 @dataclass(frozen=True)
 class LabelIndex:
     """Alphabetical position of each value of a column.
@@ -323,26 +375,26 @@ def class_weights(df: DataFrame, label: str = "label", weights: Mapping[float, f
 def ml_pipeline(df: DataFrame, label: str = "target", ids: Sequence[str] = ("sk_id_curr", "sk_id_prev", "sk_id_bureau")):
     """Fit index + one-hot + median imputation + assembly.
 
-    Returns the fitted pipeline and the prepared frame it applies to. Numeric
-    columns without any value are left out, they have no median. With no
-    feature left a constant one is used.
+    Returns the fitted pipeline and the prepared frame it applies to. One
+    aggregate learns all medians and finds the numeric columns without any
+    value, which are left out. With no feature left a constant one is used.
     """
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 
     skip = {*ids, label}
     cats = string_columns(df, skip)
     nums = numeric_columns(df, skip)
-    if nums:
-        seen = df.agg(*[F.count(F.col(c)).alias(c) for c in nums]).first()
-        nums = [c for c in nums if seen[c]]
     prepared = df.fillna("Unknown", subset=cats) if cats else df
-    prepared = prepared.withColumns({c: F.col(c).cast("double") for c in nums}) if nums else prepared
+    if nums:
+        prepared = prepared.withColumns({c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in nums})
+        medians = fit_median(prepared, nums).values
+        nums = [c for c in nums if c in medians]
     stages, features = [], []
     if nums:
-        filled = [f"{c}_imp" for c in nums]
-        stages.append(Imputer(strategy="median", inputCols=nums, outputCols=filled))
-        features += filled
+        filled = ", ".join(f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {medians[c]!r}D) AS `{c}_imp`" for c in nums)
+        stages.append(SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"))
+        features += [f"{c}_imp" for c in nums]
     if cats:
         indexed, hot = [f"{c}_idx" for c in cats], [f"{c}_ohe" for c in cats]
         stages.append(StringIndexer(inputCols=cats, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"))
@@ -359,3 +411,33 @@ def ml_ready(df: DataFrame, label: str = "target", key: str = "sk_id_curr", **op
     """Key, label and feature vector."""
     model, prepared = ml_pipeline(df, label, **options)
     return model.transform(prepared).select(key, F.col(label).cast("double").alias("label"), "features")
+
+
+def slot_names(df: DataFrame, vector: str = "features") -> dict[int, str]:
+    """Name of each entry of an assembled vector, from the column's metadata."""
+    attrs = df.schema[vector].metadata.get("ml_attr", {}).get("attrs", {})
+    return {a["idx"]: a.get("name", str(a["idx"])) for group in attrs.values() for a in group}
+
+
+def vector_entries(df: DataFrame, ids: Sequence[str], vector: str = "features", keep_zeros: bool = False) -> DataFrame:
+    """``ids, slot, name, value``: one row per entry of a vector that is not 0.
+
+    Sparse vectors give up their stored entries only, so a wide one-hot block
+    costs a row per indicator that is set. ``keep_zeros`` gives every entry.
+    """
+    parts = F.unwrap_udt(vector)
+    dense = F.transform(parts["values"], lambda x, i: F.struct(i.alias("slot"), x.alias("value")))
+    stored = F.zip_with(parts["indices"], parts["values"], lambda i, x: F.struct(i.alias("slot"), x.alias("value")))
+    if keep_zeros:
+        from pyspark.ml.functions import vector_to_array
+
+        entries = F.transform(vector_to_array(vector), lambda x, i: F.struct(i.alias("slot"), x.alias("value")))
+    else:
+        entries = F.filter(F.when(parts["type"] == 0, stored).otherwise(dense), lambda e: e["value"] != 0)
+    rows = df.select(*ids, F.inline(entries))
+    names = slot_names(df, vector)
+    if not names:
+        return rows.select(*ids, "slot", F.col("slot").cast("string").alias("name"), "value")
+    # one literal array of names by slot: as long as the vector is wide
+    named = F.array(*[F.lit(names.get(i, str(i))) for i in range(max(names) + 1)])
+    return rows.select(*ids, "slot", F.coalesce(F.get(named, F.col("slot")), F.col("slot").cast("string")).alias("name"), "value")

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditloom.functions.rowexpr import map_values
 from creditloom.operators.cleaning import apply_fill, fit_median, numeric_columns
 from creditloom.operators.entity import corr_with
 from creditloom.operators.profiling import per_column
+from creditloom.shared import shared_folder
 
 ID_COLUMNS = ("sk_id_curr", "sk_id_prev", "sk_id_bureau")
 
@@ -51,9 +55,26 @@ class ForestParams:
 BASELINE = ForestParams(trees=20, depth=3, subset="auto", subsampling=1.0)
 
 
+#: Levels of the trees between two checkpoints of the rows' node numbers.
+CHECKPOINT_LEVELS = 4
+#: Partitions of the training rows, a fixed number, so that samples don't depend on the cluster.
+TRAINING_PARTS = 32
+
+
 def fit_forest(
-    train: DataFrame, params: ForestParams = ForestParams(), label: str = "label", weight: str | None = None
+    train: DataFrame, params: ForestParams = ForestParams(), label: str = "label", weight: str | None = None,
+    key: str | None = None, parts: int = TRAINING_PARTS, memory_mb: int = 512,
 ) -> RandomForestClassificationModel:
+    """Train on ``features``. Deep forests keep the node each row has reached
+    instead of walking every tree again for each level, and write these numbers
+    to the shared folder every few levels, so a lost executor costs at most
+    those. Bootstrap samples hang on the partition and order of a row: with
+    ``key`` rows are dealt and sorted by it, and training repeats exactly on any
+    cluster. ``memory_mb`` bounds the statistics of the nodes split in one pass.
+    """
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{shared_folder(train.sparkSession)}/_checkpoints")
     forest = RandomForestClassifier(
         labelCol=label,
         featuresCol="features",
@@ -62,8 +83,18 @@ def fit_forest(
         featureSubsetStrategy=params.subset,
         subsamplingRate=params.subsampling,
         seed=params.seed,
+        cacheNodeIds=True,
+        checkpointInterval=CHECKPOINT_LEVELS,
+        maxMemoryInMB=memory_mb,
     )
-    return (forest.setWeightCol(weight) if weight else forest).fit(train)
+    if weight:
+        forest = forest.setWeightCol(weight)
+    if key is not None:
+        kept = [key, label, "features", *([weight] if weight else [])]
+        train = train.select(*kept).repartition(parts, key).sortWithinPartitions(key)
+    # a copy has no training summary: that one holds the session, which does not
+    # travel to the executors once a frame of it has been observed
+    return forest.fit(train).copy()
 
 
 def score(model: RandomForestClassificationModel, df: DataFrame, keep: Sequence[str] = ("sk_id_curr", "target", "label")) -> DataFrame:
@@ -169,11 +200,56 @@ def rank_features(df: DataFrame, label: str = "target", exclude: Sequence[str] =
     return ranked.orderBy("kind", F.desc_nulls_last("strength"), "feature")
 
 
-def auc(scored: DataFrame, label: str = "label", score_col: str = "probability", bins: int = 0) -> float:
-    """Area under the ROC curve; ``bins=0`` uses every distinct score."""
-    return BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol=score_col, metricName="areaUnderROC", numBins=bins
-    ).evaluate(scored)
+AUC_BUCKETS = 256
+
+
+def auc_table(scored: DataFrame, label: str = "label", score_col: str = "probability", by: Sequence[str] = (),
+              buckets: int = AUC_BUCKETS) -> DataFrame:
+    """``by, positives, negatives, auc``: area under the ROC curve as the rank
+    sum of the positives, ties at their middle rank; lazy, exact.
+
+    Rows are counted per distinct score, the scores of a group are cut into
+    buckets of about equal size, and running counts are taken inside a bucket.
+    A bucket leaves its two totals and its share of the rank sum, which add up
+    over the buckets in order: no task sorts all scores, and as everything comes
+    from one assignment of scores to buckets, their limits need not be exact.
+    A group with one class only has a null area, rows without label or score
+    take no part, and without ``by`` there is one row whatever the input.
+    """
+    keys = list(by)
+    y, s = F.col(label).cast("double"), F.col(score_col).cast("double")
+    rows = scored.select(*keys, y.alias("_y"), s.alias("_s")).filter(F.col("_y").isin(0.0, 1.0) & F.col("_s").isNotNull())
+    counts = rows.groupBy(*keys, "_s").agg(F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg"))
+    probs = [i / buckets for i in range(1, buckets)] or [0.5]
+    edges = counts.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.percentile_approx("_s", probs, 20 * buckets).alias("_edges"))
+    if keys:
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+        cut = counts.join(edges, same)
+    else:
+        cut = counts.withColumn("_edges", edges.select("_edges").scalar())
+    bucket = F.size(F.filter("_edges", lambda e: e < F.col("_s")))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = cut.select(*keys, "_s", "_pos", "_neg", bucket.alias("_bucket")).withColumn("_upto", F.sum("_neg").over(inside))
+    won = F.col("_pos") * (F.col("_upto") - F.col("_neg") / 2.0)
+    parts = ranked.groupBy(*keys, "_bucket").agg(F.sum("_pos").alias("pos"), F.sum("_neg").alias("neg"), F.sum(won).alias("won"))
+    ordered = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_bucket", "pos", "neg", "won"))).alias("_parts"))
+    start = F.struct(F.lit(0).cast("long").alias("pos"), F.lit(0).cast("long").alias("neg"), F.lit(0.0).alias("won"))
+
+    def add(total: Column, part: Column) -> Column:
+        return F.struct(
+            (total["pos"] + part["pos"]).alias("pos"),
+            (total["neg"] + part["neg"]).alias("neg"),
+            (total["won"] + part["won"] + part["pos"] * total["neg"].cast("double")).alias("won"),
+        )
+
+    total = ordered.select(*keys, F.aggregate("_parts", start, add).alias("_t"))
+    pairs = F.col("_t.pos").cast("double") * F.col("_t.neg")
+    return total.select(*keys, F.col("_t.pos").alias("positives"), F.col("_t.neg").alias("negatives"), F.try_divide(F.col("_t.won"), pairs).alias("auc"))
+
+
+def auc(scored: DataFrame, label: str = "label", score_col: str = "probability") -> float | None:
+    """The value of ``auc_table`` without groups."""
+    return auc_table(scored, label, score_col).first()["auc"]
 
 
 def confusion(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -229,7 +305,8 @@ METRIC_MEANINGS = {
 def metrics(pred: DataFrame, model: str = "RandomForestClassifier", label: str = "label", prediction: str = "prediction",
             score_col: str | None = None) -> DataFrame:
     """Accuracy, precision, recall and F1 from one conditional aggregate, and
-    AUC when a score column is given: ``model, metric, value, meaning``."""
+    AUC when a score column (a number or a probability vector) is given:
+    ``model, metric, value, meaning``; lazy."""
     n = _counts(label, prediction)
     values: Mapping[str, Column] = {
         "accuracy": F.try_divide(n["TP"] + n["TN"], n["TP"] + n["TN"] + n["FP"] + n["FN"]),
@@ -239,7 +316,11 @@ def metrics(pred: DataFrame, model: str = "RandomForestClassifier", label: str =
     }
     parts = {k: v.cast("double") for k, v in values.items()}
     if score_col:
-        parts["auc"] = F.lit(float(auc(pred, label, score_col)))
+        # a score may be a probability vector; the area needs the one number
+        plain = isinstance(pred.schema[score_col].dataType, T.NumericType)
+        p = F.col(score_col) if plain else F.get(vector_to_array(score_col), F.lit(1))
+        scores = pred.select(F.col(label).alias("_label"), p.alias("_score"))
+        parts["auc"] = auc_table(scores, "_label", "_score").select("auc").scalar()
     rows = [
         F.struct(F.lit(model).alias("model"), F.lit(k).alias("metric"), v.alias("value"), F.lit(METRIC_MEANINGS[k]).alias("meaning"))
         for k, v in parts.items()

@@ -20,6 +20,7 @@ from creditloom.operators.encoding import apply_one_hot, fit_caps, fit_one_hot
 from creditloom.operators.joins import assemble_master, attach
 from creditloom.plans import blocks
 from creditloom.plans.blocks import DEFAULT, KEY, Rounding
+from creditloom.sources.blockstore import BlockStore
 
 APPLICATION_COLUMNS = {
     "sk_id_curr": "bigint", "target": "int", "days_birth": "int", "days_employed": "int", "amt_credit": "double",
@@ -129,6 +130,35 @@ def client_master(
     return assemble_master(base, aggregates, KEY, expected_features(base) if missing else None)
 
 
+BASE = "application"
+
+
+def store_blocks(
+    store: BlockStore, application: DataFrame | None, tables: Mapping[str, DataFrame | None], r: Rounding = DEFAULT,
+    method: str = "approx", accuracy: int = SKETCH_ACCURACY,
+) -> list[str]:
+    """Write the cleaned application and the blocks whose tables are given, and
+    only those: the way to load a store and to refresh one block. The balance
+    block needs ``bureau`` for its bridge, so a new bureau table refreshes both
+    where both are given. Names of what was written."""
+    written = []
+    if application is not None:
+        store.write(BASE, application_base(application, method, accuracy=accuracy))
+        written.append(BASE)
+    for name, block in satellite_blocks(tables, r).items():
+        if block is not None:
+            store.write(name, block)
+            written.append(name)
+    return written
+
+
+def stored_master(store: BlockStore) -> DataFrame:
+    """The client master from stored blocks; a block never written gives typed
+    null columns."""
+    expected = expected_features(store.read(BASE))
+    return store.assemble(BASE, list(expected), expected)
+
+
 def analytic_master(application: DataFrame, tables: Mapping[str, DataFrame], digits: int | None = 2,
                     total: int | None = 2) -> DataFrame:
     """First version of the master: base with five short aggregates."""

@@ -1415,3 +1415,6 @@ add(
     """SELECT sk_id_curr, round(coalesce(ext_source_2, 0), 3) AS from_array, round(coalesce(ext_source_2, 0), 3) AS from_text
        FROM fx_application""",
 )
+
+
+from creditloom.plans import lake_oracle  # noqa: E402, F401  adds its statements

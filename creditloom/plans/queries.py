@@ -941,19 +941,6 @@ def bridge_join(balance, bureau):
 # --- models -----------------------------------------------------------------
 
 
-def _labelled(application) -> DataFrame:
-    base = master.application_features(application, master.FeatureConfig(one_hot=True))
-    numeric = modeling.feature_columns(base)
-    return base.select(KEY, "target", F.col("target").cast("double").alias("label"), *numeric)
-
-
-@query("fx_application")
-def score_auc(application):
-    """M6: area under the ROC curve of a score with ties, by the evaluator."""
-    scored = application.select(F.col("target").cast("double").alias("label"), (F.col("amt_income_total") / 2e5 + F.col("sk_id_curr") % 3).alias("probability"))
-    return application.sparkSession.createDataFrame([(round(modeling.auc(scored), 6),)], "auc double")
-
-
 @query("fx_application")
 def rank_features_pearson(application):
     """M5: continuous features by correlation with the label."""
@@ -992,36 +979,6 @@ def ml_ready(application):
     return out.select(KEY, "label", F.size(vector_to_array("features")).alias("n_features"))
 
 
-def _forest(application, params: modeling.ForestParams):
-    rows = _labelled(application)
-    cols = modeling.feature_columns(rows)
-    train, test = encoding.hash_split(rows, KEY)
-    weights = encoding.fit_class_weights(train)
-    fit_on = encoding.class_weights(modeling.assemble(train, cols, "zero"), "label", weights)
-    model = modeling.fit_forest(fit_on, params, weight="class_weight")
-    return model, cols, modeling.score(model, modeling.assemble(test, cols, "zero"))
-
-
-@query("fx_application")
-def forest_metrics(application):
-    """M2, M3, M6, M7: weighted forest, evaluated on the held-out split."""
-    _, _, scored = _forest(application, modeling.BASELINE)
-    return modeling.metrics(scored, score_col="probability")
-
-
-@query("fx_application")
-def forest_confusion(application):
-    _, _, scored = _forest(application, modeling.BASELINE)
-    return modeling.confusion_report(scored)
-
-
-@query("fx_application")
-def importance(application):
-    """M4: feature importance."""
-    model, cols, _ = _forest(application, modeling.BASELINE)
-    return modeling.importance(model, cols, application)
-
-
 @query("fx_application")
 def rule_metrics(application):
     """M7 on a rule-based prediction."""
@@ -1063,3 +1020,6 @@ def positive_probabilities(application):
 
 def _rounded(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
+
+
+from creditloom.plans import lake_queries  # noqa: E402, F401  registers its queries

@@ -117,6 +117,22 @@ def partition_summary(files: DataFrame, column: str) -> DataFrame:
     )
 
 
+def artifact_rows(spark: SparkSession, files: DataFrame, name: str, column: str | None = None) -> DataFrame:
+    """``artifact, column, files, rows``: rows of an artifact's Parquet files per
+    value of a partition folder, counted by the file a row comes from; columns
+    are not read. Empty where the artifact has no files."""
+    listed = artifact_files(files, name).select("path", "artifact", (partition(column) if column else F.lit(None).cast("string")).alias(column or "partition"))
+    df = read_artifact(spark, files, name)
+    if df is None:
+        return listed.groupBy("artifact", column or "partition").agg(F.count("path").alias("files"), F.lit(0).cast("long").alias("rows"))
+    counted = df.groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count(F.lit(1)).alias("n"))
+    plain = F.regexp_replace(F.col("path"), r"^[a-z0-9]+:/*", "/")
+    same = plain == F.regexp_replace(F.url_decode("_path"), r"^[a-z0-9]+:/*", "/")
+    return listed.join(counted, same, "left").groupBy("artifact", column or "partition").agg(
+        F.count("path").alias("files"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows")
+    )
+
+
 ORDERS = {
     "newest": lambda: [F.desc("last_modified"), F.col("key")],
     "largest": lambda: [F.desc("size_bytes"), F.col("key")],

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.operators.cleaning import normalize_columns
+from creditloom.shared import delete_path, materialize, shared_folder  # noqa: F401
 
 ZONES = ("raw", "trusted", "refined")
 
@@ -200,15 +201,3 @@ def write_report(df: DataFrame, catalog: Catalog, name: str, zone: str = "refine
     path = catalog.path(zone, name)
     df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
     return path
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Store a frame once and cut its lineage, so that re-run tasks see the
-    same rows. Uses the checkpoint folder of the session, or one below the
-    warehouse, which driver and executors share as well."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
-    return df.checkpoint()

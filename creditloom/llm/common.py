@@ -12,6 +12,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditloom.shared import delete_path, shared_folder
+
 #: The six ASCII characters that end a word.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -20,21 +22,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``, or one below the warehouse where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+#: Setting under which Spark removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Cuts the lineage: a lost executor costs the files it was writing, and later steps read the table instead of
-    running its plan again.
+    running its plan again. That plan's shuffle files are not needed any more and go at once.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete stored tables that no later step reads; what was made from them has to be stored by now."""
+    for table in tables:
+        delete_path(table.sparkSession, table._stored_at)
 
 
 def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:

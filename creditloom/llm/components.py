@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import stored
+from creditloom.llm.common import release, stored
 
-#: Rounds in which every node of a bucket meets one other.
+#: Rounds in which every node of a bucket meets one other; at most three differ.
 ROUNDS = 3
 
 
@@ -24,13 +24,16 @@ def components(edges: DataFrame) -> DataFrame:
     both = stored(ends.union(ends.select("b", "a")).distinct())
     labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("a")).alias("component")))
     while True:
-        seen = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("least"))
-        hooked = stored(labels.join(seen, "id").select("id", F.least("component", "least").alias("component"), F.col("component").alias("was")))
+        old = labels.select("id", "component")
+        seen = both.join(old.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("least"))
+        hooked = stored(old.join(seen, "id").select("id", F.least("component", "least").alias("component"), F.col("component").alias("was")))
         target = hooked.select(F.col("id").alias("component"), F.col("component").alias("next"))
+        release(labels)
         labels = stored(hooked.join(target, "component").select("id", F.least("component", "next").alias("component"), "was"))
+        release(hooked)
         if labels.where("component <> was").isEmpty():
+            release(both)
             return labels.select("id", "component")
-        labels = labels.drop("was")
 
 
 def ordered(a: Column, b: Column) -> list[Column]:
@@ -45,29 +48,17 @@ def met(live: DataFrame, turn: int) -> DataFrame:
     return other.select(*ordered(F.col("node"), F.col("other.node"))).distinct()
 
 
-def crossing(live: DataFrame) -> DataFrame:
-    """Every pair of a bucket between two components, the largest of which is not paired with itself."""
-    sizes = live.groupBy("band", "component").count()
-    main = sizes.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("n")).where("n > 1")
-    open_groups = live.join(main, "band")
-    outside = open_groups.where("component <> main").select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
-    inside = open_groups.select("band", F.col("node").alias("y"), F.col("component").alias("cy"), (F.col("component") == F.col("main")).alias("in_main"))
-    pairs = outside.join(inside, "band").where("cx <> cy AND (in_main OR x < y)")
-    return pairs.select(*ordered(F.col("x"), F.col("y"))).distinct()
-
-
-def settled(live: DataFrame, confirm: Callable[[DataFrame], DataFrame], cross: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
+def settled(live: DataFrame, confirm: Callable[[DataFrame], DataFrame], cross: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS) -> DataFrame | None:
     """Confirmed links ``(a, b)`` that connect all nodes which any chain of confirmed pairs within buckets connects.
 
     ``live`` has a row ``(band, node, degree, component)`` for each bucket a node is in, ``component`` being the node at
     first; ``confirm`` keeps the pairs ``(a, b)`` that are links. In each round every node of a bucket meets one node of
     it (the best connected, the least, then a hashed choice), links found are contracted to components, and only nodes
-    of different components go on. Last, the nodes outside a bucket's largest component meet the nodes of its other
-    components, which leaves no pair of two components in one bucket unseen; ``cross`` does this where it is given, by
-    ``confirm`` of the pairs else. ``None`` if there is no link.
+    of different components go on. Last, ``cross`` lets the nodes outside a bucket's largest component meet the nodes of
+    its other components, which leaves no pair of two components in one bucket unseen. ``None`` if there is no link.
     """
-    tried = edges = None
-    for turn in range(ROUNDS):
+    tried = edges = own = None
+    for turn in range(rounds):
         pairs = met(live, turn)
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
@@ -78,12 +69,13 @@ def settled(live: DataFrame, confirm: Callable[[DataFrame], DataFrame], cross: C
             continue
         edges = found if edges is None else edges.union(found)
         labels = components(edges).withColumnsRenamed({"id": "node", "component": "least"})
-        live = stored(live.join(labels, "node", "left").withColumn("component", F.coalesce("least", "node")).drop("least"))
-    if cross is None:
-        pairs = crossing(live)
-        found = stored(confirm(stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))))
-    else:
-        found = stored(cross(live))
+        joined = stored(live.join(labels, "node", "left").withColumn("component", F.coalesce("least", "node")).drop("least"))
+        if own is not None:
+            release(own)
+        live = own = joined
+    found = stored(cross(live))
+    if own is not None:
+        release(own)
     if found.isEmpty():
         return edges
     return found if edges is None else edges.union(found)

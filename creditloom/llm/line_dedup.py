@@ -1,9 +1,13 @@
 """Fuzzy line dedup: MinHash over character shingles, exact Jaccard, union-find, one line per component.
 
-Everything is a DataFrame or SQL function. Equal lines are one node from the start. The eight-character shingles at all
-places of a line are hashed once, and the least hash in each bin of the hash range is kept (one-permutation MinHash); an
-empty bin takes that of another, and which ones it asks is drawn for each bin on its own. Bands of the signature propose
-pairs, the full sets of shingles confirm them, and of each component the line that comes first in the corpus stays.
+Everything is a DataFrame or SQL function. Equal lines are one node from the start. The eight-character shingles of a
+line are hashed once and sorted; a band is the four least hashes from one of ten starting points on, going round at
+the end (minima under ten rotations of the hash order). Bands propose pairs, the full sets of shingles confirm them,
+and of each component the line that comes first in the corpus stays.
+
+A line with many places where one of a few frequent characters stands takes the shingles that begin there, about one in
+five, which is a sample by content and so the same in both of two lines; others take all. In between a line has the
+bands of both, so that two similar lines always have bands of one kind.
 
 A line's place is (id, hash of the text, number of the line), so rows that repeat an id, or have none, are told apart by
 their text.
@@ -11,31 +15,30 @@ their text.
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import occupied, slot, stored
+from creditloom.llm.common import occupied, release, slot, stored
 from creditloom.llm.components import components, settled
 
 #: Characters of a shingle.
 WIDTH = 8
 #: Jaccard similarity of the shingle sets of two lines that are linked.
 SIMILARITY = 0.85
-#: Characters of the shortest line that is compared by its shingles; shorter ones say too little and have only copies.
-SHORTEST = 20
-#: At the threshold a pair shares no band with probability (1 - 0.85 ** 4) ** 12, about 1e-4; with bins instead of
-#: permutations fewer than 1 in 1,000 pairs, of any length. Four rows keep unlike lines, which share a hundredth of their
+#: At the threshold a band differs with probability 1 - 0.85 ** 4; measured, fewer than 2 in 1,000 pairs of similarity 0.85
+#: to 0.92 share none, of any length and kind of change. Four hashes keep unlike lines, which share a hundredth of their
 #: shingles, out of each other's buckets.
-BANDS, ROWS = 12, 4
-BINS = BANDS * ROWS
-#: Bins that an empty one asks in turn; if all are empty as well, it takes the least hash of the line.
-ASKED = 24
-_random = random.Random(20240229)
-ORDERS = f"array({', '.join(f'array{(own, *_random.sample([b for b in range(BINS) if b != own], ASKED))}' for own in range(BINS))})"
-#: All places of a line from which ``WIDTH`` characters can be taken.
-PLACES = rf"(?s)(?=(.{{{WIDTH}}}))"
+BANDS, ROWS = 10, 4
+#: All places of a line from which ``WIDTH`` characters can be taken, and those at one of the sampled characters.
+PLACES, SAMPLED = (rf"(?s)(?=({c}.{{{WIDTH - 1}}}))" for c in (".", "[aei3]"))
+#: A line of ``LEAST`` sampled places has bands of the sample, one of fewer than ``FEW`` has bands of all places.
+LEAST, FEW = 20, 28
+#: Starting points of the bands: even numbers, the hashes are odd.
+STARTS = [(b * ((1 << 64) // BANDS) & ~1) - (1 << 63) for b in range(BANDS)]
+#: Characters on each side of a block of lines that are compared with one another.
+BLOCK_CHARS = 1 << 17
+#: Rounds in which lines meet one other before blocks are compared.
+ROUNDS = 2
 #: Characters that are cut into shingles at a time; keeps the work in proportion to the line.
 PIECE = 64
 
@@ -53,37 +56,38 @@ def shingles(line: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(longer, of_piece)))
 
 
-def bands(line: Column) -> Column:
-    """One hash per band over the minima of its bins.
-
-    Hashes are made odd and the starts of the bins even, and both are sorted together: the hash that follows a start is
-    the minimum of the bin, and a bin is empty where another start follows.
-    """
-    starts = [(b * ((1 << 64) // BINS) & ~1) - (1 << 63) for b in range(BINS)]
-    marks = F.array(*map(F.lit, starts))
-
-    def is_odd(x: Column) -> Column:
-        return x.bitwiseAND(F.lit(1)) == 1
+def hashes(line: Column, places: str) -> Column:
+    return F.transform(F.regexp_extract_all(line, F.lit(places), F.lit(1)), lambda piece: F.xxhash64(piece).bitwiseOR(F.lit(1)))
 
-    def minima(merged: Column) -> Column:
-        following = F.slice(merged, 2, F.size(merged))
-        after_start = F.array_compact(F.zip_with(merged, following, lambda x, y: F.when(~is_odd(x), F.coalesce(y, F.lit(0)))))
-        return F.transform(after_start, lambda x: F.when(is_odd(x), x))
 
-    def filled(s: Column) -> Column:
-        return F.transform(F.expr(ORDERS), lambda bins: F.coalesce(*(s["minima"][bins[i]] for i in range(ASKED + 1)), s["least"]))
+def rotations(own: Column, merged: Column, kind: Column) -> Column:
+    """One hash per band over the ``ROWS`` least of the sorted hashes ``own`` from its starting point on.
 
-    def of_bins(s: Column) -> Column:  # the bins of a band lie far apart
-        return F.array(*(F.xxhash64(F.lit(i), *(s[k * BANDS + i] for k in range(ROWS))) for i in range(BANDS)))
+    Hashes are odd and starting points even, and ``merged`` has both sorted: the place of a starting point, less those
+    before it, says how many hashes lie below.
+    """
+    twice = F.concat(own, own)
+    return F.array(*(F.xxhash64(kind, F.lit(i), F.slice(twice, (F.array_position(merged, F.lit(start)) - i).cast("int"), ROWS)) for i, start in enumerate(STARTS)))
 
-    # arrays of one element, so that what the inner expressions share is evaluated once
-    hashes = F.transform(F.regexp_extract_all(line, F.lit(PLACES), F.lit(1)), lambda piece: F.xxhash64(piece).bitwiseOR(F.lit(1)))
-    merged = F.transform(F.array(hashes), lambda h: F.struct(F.array_min(h).alias("least"), F.sort_array(F.concat(h, marks)).alias("merged")))
-    minimal = F.transform(merged, lambda s: F.struct(s["least"].alias("least"), minima(s["merged"]).alias("minima")))
-    return F.transform(F.transform(minimal, filled), of_bins)[0]
 
+def signed(rows: DataFrame, line: str) -> DataFrame:
+    """``rows`` with ``kind`` (0 of the sample, 1 of all places) and ``bands`` for each kind that the line has; null for one
+    of fewer than ``WIDTH`` characters. ``first_kind`` marks one row of each line.
 
-def lines(docs: DataFrame, id_col: str, text_col: str, shortest: int = SHORTEST) -> DataFrame:
+    The steps are columns one after another, which Spark compiles; inside a lambda it would interpret them.
+    """
+    sampled = rows.withColumn("_sample", hashes(F.col(line), SAMPLED))
+    few = F.size("_sample")
+    part = F.when(few >= LEAST, F.struct(F.lit(0).alias("kind"), F.col("_sample").alias("hashes")))
+    whole = F.when(few < FEW, F.struct(F.lit(1).alias("kind"), hashes(F.col(line), PLACES).alias("hashes")))
+    kinds = sampled.withColumn("_less", few < LEAST).withColumn("_one", F.explode(F.array_compact(F.array(part, whole)))).drop("_sample", line)
+    own = kinds.select("*", F.col("_one.kind").alias("kind"), F.sort_array(F.array_distinct("_one.hashes")).alias("_own")).drop("_one")
+    merged = own.withColumn("_merged", F.sort_array(F.concat("_own", F.array(*map(F.lit, STARTS)))))
+    found = F.when(F.size("_own") > 0, rotations(F.col("_own"), F.col("_merged"), F.col("kind")))
+    return merged.withColumn("bands", found).withColumn("first_kind", (F.col("kind") == 0) | F.col("_less")).drop("_own", "_merged", "_less")
+
+
+def lines(docs: DataFrame, id_col: str, text_col: str, shortest: int) -> DataFrame:
     """``(id, hash, line, norm)``: the lines of ``shortest`` characters or more, in lower case, trimmed; ``line`` from 0."""
     text = F.col(text_col).cast("string")
     split = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), F.posexplode(F.split(text, "\n")).alias("line", "raw"))
@@ -91,56 +95,121 @@ def lines(docs: DataFrame, id_col: str, text_col: str, shortest: int = SHORTEST)
 
 
 def similar(a: Column, b: Column) -> Column:
+    """Whether two sets are linked; sizes that can't be are told first."""
     shared = F.size(F.array_intersect(a, b))
-    return shared >= SIMILARITY * (F.size(a) + F.size(b) - shared)
+    near = F.least(F.size(a), F.size(b)) >= SIMILARITY * F.greatest(F.size(a), F.size(b))
+    return near & (shared >= SIMILARITY * (F.size(a) + F.size(b) - shared))
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = SHORTEST) -> DataFrame:
+def block_links(live: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between different components of a bucket, found in blocks of about ``BLOCK_CHARS`` by ``BLOCK_CHARS``.
+
+    The lines outside a bucket's largest component meet all others. The lines of a block are gathered in one row with
+    their sets and compared there, so no row is made for a pair that is no link; a pair is looked at in the least band
+    that it shares.
+    """
+    sizes = live.groupBy("band", "component").agg(F.count("*").alias("count"), F.sum("chars").alias("chars"))
+    main = F.max_by(F.struct("component", "count", "chars"), F.struct("count", "component")).alias("main")
+    opened = sizes.groupBy("band").agg(main, F.sum("count").alias("total"), F.sum("chars").alias("total_chars"), F.count("*").alias("n")).where("n > 1")
+
+    def parts(count: str, chars: str) -> Column:
+        return F.greatest(F.least(F.expr(count), F.ceil(F.expr(chars) / BLOCK_CHARS)), F.lit(1)).cast("int")
+
+    groups = opened.select(
+        "band", F.col("main.component").alias("main"), parts("total - main.count", "total_chars - main.chars").alias("outs"), parts("total", "total_chars").alias("ins")
+    )
+    members = live.select("band", "node", "component").join(groups, "band").join(texts, "node").withColumn("in_main", F.col("component") == F.col("main"))
+    place, columns = F.xxhash64("node"), ["band", "i", "j", "outside", "in_main", "node", "component", "bands", "norm"]
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    out = members.where("NOT in_main").withColumn("outside", F.lit(True)).withColumn("i", F.pmod(place, "outs").cast("int")).withColumn("j", every("ins"))
+    inside = members.withColumn("outside", F.lit(False)).withColumn("j", F.pmod(place, "ins").cast("int")).withColumn("i", every("outs"))
+    both = out.select(columns).union(inside.select(columns))
+    gathered = both.groupBy("band", "i", "j").agg(F.collect_list(F.struct(*columns[3:])).alias("members"))
+
+    def side(outside: bool) -> Column:
+        chosen = F.filter("members", lambda m: m["outside"] == F.lit(outside))
+        fields = ["node", "component", "bands", "in_main"]
+        return F.transform(chosen, lambda m: F.struct(*(m[f].alias(f) for f in fields), shingles(m["norm"]).alias("set")))
+
+    def partners(x: Column, y: Column, band: Column) -> Column:
+        open_ = (x["component"] != y["component"]) & (y["in_main"] | (x["node"] < y["node"]))
+        return open_ & (F.array_min(F.array_intersect(x["bands"], y["bands"])) == band) & similar(x["set"], y["set"])
+
+    def found(s: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                s["left"],
+                lambda x: F.transform(
+                    F.filter(s["right"], lambda y: partners(x, y, s["band"])),
+                    lambda y: F.struct(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")),
+                ),
+            )
+        )
+
+    # an array of one element, so that the sets of a block are made once
+    sides = F.array(F.struct(F.col("band").alias("band"), side(True).alias("left"), side(False).alias("right")))
+    pairs = gathered.select(F.explode(F.flatten(F.transform(sides, found))).alias("pair"))
+    return pairs.select("pair.a", "pair.b").distinct()
+
+
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = 1) -> DataFrame:
     """``(id, hash, removed)``: for each document the numbers of its lines that go."""
     place = F.struct("id", "hash", "line")
     all_lines = lines(docs, id_col, text_col, shortest)
-    signed = all_lines.select(F.unhex(F.md5(F.col("norm").cast("binary"))).alias("digest"), place.alias("place"), F.when(F.length("norm") >= SHORTEST, bands(F.col("norm"))).alias("bands"))
-    grouped = signed.groupBy("digest").agg(F.min("place").alias("place"), F.first("bands").alias("bands"))
-    nodes = stored(grouped.withColumn("node", F.monotonically_increasing_id()))  # numbers hold once they are written
-    buckets = nodes.select("node", F.explode("bands").alias("band"))
+    named = all_lines.withColumn("digest", F.unhex(F.md5(F.col("norm").cast("binary"))))
+    rows = signed(named.select("digest", place.alias("place"), F.length("norm").alias("chars"), "norm"), "norm")
+    of = [F.first(F.when(F.col("kind") == k, F.col("bands")), ignorenulls=True).alias(f"bands{k}") for k in (0, 1)]
+    grouped = rows.groupBy("digest").agg(F.min("place").alias("place"), *of, F.first("chars").alias("chars"), F.count_if("first_kind").alias("count"))
+    both = F.concat(*(F.coalesce(f"bands{k}", F.array().cast("array<bigint>")) for k in (0, 1)))
+    nodes = stored(grouped.select("digest", "place", both.alias("bands"), "chars", "count", F.monotonically_increasing_id().alias("node")))  # numbers hold once written
+    # one exchange for both the sizes and the rows
+    buckets = nodes.select("node", "chars", F.explode("bands").alias("band")).repartition("band")
     shared = buckets.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    live = stored(buckets.join(shared, "band"))
-    near = stored(live.groupBy("node").agg(F.sum("size").alias("degree")))
-    live = stored(live.join(near, "node").withColumn("component", F.col("node")))
+    sized = stored(buckets.join(shared, "band"))
+    near = stored(sized.groupBy("node").agg(F.sum("size").alias("degree")))
+    live = stored(sized.select("band", "node", "chars").join(near, "node").withColumn("component", F.col("node")))
+    release(sized)
 
-    spot = F.struct("node", "place.line")
+    spot = F.struct("node", "place.line", "bands")
     wanted = nodes.join(near, "node").groupBy("place.id", "place.hash").agg(F.collect_list(spot).alias("wanted"))
     text = F.col(text_col).cast("string")
     source = docs.select(F.col(id_col).alias("_id"), text.alias("text"), F.xxhash64(text).alias("_hash")).withColumn("slot", slot("_hash"))
     owners = source.join(occupied(wanted, "hash"), "slot", "left_semi").dropDuplicates(["_id", "_hash"])
     found = wanted.join(owners, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")))
-    rows = F.split("text", "\n")
-    taken = found.select(F.explode(F.transform("wanted", lambda w: F.struct(w["node"].alias("node"), F.lower(F.trim(rows[w["line"]])).alias("norm")))).alias("one"))
-    texts = stored(taken.select("one.*"))
+    cut = F.split("text", "\n")
+    one = F.transform("wanted", lambda w: F.struct(w["node"].alias("node"), w["bands"].alias("bands"), F.lower(F.trim(cut[w["line"]])).alias("norm")))
+    texts = stored(found.select(F.explode(one).alias("one")).select("one.*"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
         first, second = texts.select(F.col("node").alias("a"), F.col("norm").alias("x")), texts.select(F.col("node").alias("b"), F.col("norm").alias("y"))
         sets = pairs.join(first, "a").join(second, "b").select("a", "b", shingles(F.col("x")).alias("x"), shingles(F.col("y")).alias("y"))
         return sets.where(similar(F.col("x"), F.col("y"))).select("a", "b")
 
-    edges = settled(live, confirm)
-    kept = nodes.select("digest", "node", "place")
+    edges = settled(live, confirm, lambda open_: block_links(open_, texts), ROUNDS)
+    release(near, texts)
+    kept = nodes.select("digest", "node", "place", "count")
     if edges is not None:
         kept = kept.join(components(edges).withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
         first = kept.groupBy("component").agg(F.min("place").alias("keep"))
-        kept = kept.join(first, "component").select("digest", "keep")
+        kept = kept.join(first, "component")
     else:
-        kept = kept.select("digest", F.col("place").alias("keep"))
-    every = all_lines.select(F.unhex(F.md5(F.col("norm").cast("binary"))).alias("digest"), place.alias("place"))
-    gone = every.join(kept, "digest").where("place <> keep").select("place.*")
+        kept = kept.withColumn("keep", F.col("place"))
+    # only lines that occur again, or are like an earlier one, can go
+    going = stored(kept.where("count > 1 OR place <> keep").select("digest", "keep"))
+    release(nodes)
+    every = named.select("digest", place.alias("place")).withColumn("slot", slot("digest")).join(occupied(going, "digest"), "slot", "left_semi")
+    gone = every.join(going, "digest").where("place <> keep").select("place.*")
     return gone.groupBy("id", "hash").agg(F.collect_set("line").alias("removed"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed_col: str = "n_removed", shortest: int = SHORTEST) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed_col: str = "n_removed", shortest: int = 1) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text_col``, and their number in ``removed_col``.
 
-    Lines are compared in lower case without outer blanks; those of fewer than ``SHORTEST`` characters
-    are repeats of equal ones only, and stay below ``shortest``; with 1, just blank lines stay, which part paragraphs. Of each
+    Lines are compared in lower case without outer blanks. Those of fewer than ``WIDTH`` characters have no shingles and
+    are repeats of equal ones only; those below ``shortest`` stay, with 1 just blank lines, which part paragraphs. Of each
     component of lines the first stays, by id (null first), hash of the text and number. Rows equal in id and text are
     one document and are cut alike. A null text stays null. All other columns stay; one named ``removed_col`` is
     replaced. An empty table gives an empty result.

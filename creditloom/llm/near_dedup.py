@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import map_batches, occupied, slot, stored
+from creditloom.llm.common import SPACES, map_batches, occupied, slot, stored
 from creditloom.llm.components import components, settled
 
 WIDTH = 5
@@ -79,10 +79,11 @@ def band_keys(values: np.ndarray) -> list[int]:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, n_shingles, node, values, bands)``; ``node`` is a 128-bit digest of the set, null for an empty one."""
+    """``(id, hash, n_shingles, node, values, bands)``: ``hash`` is that of the text, ``node`` a 128-bit digest of the set,
+    null for an empty one."""
 
     def rows(batch: pa.RecordBatch) -> dict[str, list]:
-        out: dict[str, list] = {"id": batch.column(0), "n_shingles": [], "node": [], "values": [], "bands": []}
+        out: dict[str, list] = {"id": batch.column(0), "hash": batch.column(2), "n_shingles": [], "node": [], "values": [], "bands": []}
         for text in batch.column(1).to_pylist():
             found = shingle_set(text)
             values = signature(found) if len(found) else None
@@ -93,8 +94,9 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return out
 
     kind = docs.schema[id_col].dataType.simpleString()
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(source, rows, f"id {kind}, n_shingles long, node binary, values binary, bands array<long>")
+    text = F.col(text_col).cast("string")
+    source = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
+    return map_batches(source, rows, f"id {kind}, hash long, n_shingles long, node binary, values binary, bands array<long>")
 
 
 def least_matches(threshold: float = SIMILARITY / 100, miss: float = MISS) -> list[int]:
@@ -279,6 +281,14 @@ def with_node(texts: DataFrame) -> DataFrame:
     return map_batches(texts.select("text"), rows, "node binary, text string")
 
 
+def joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, hash, n_shingles, node, component)`` of every row; no component for an empty set."""
+    signed = stored(signatures(docs, id_col, text_col))
+    linked = stored(link(signed, docs, id_col, text_col))
+    rows = signed.select("id", "hash", "n_shingles", "node").join(linked, "node", "left")
+    return rows.withColumn("component", F.coalesce("component", "node"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)``, one row per input row.
 
@@ -287,9 +297,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id keep their own sets and share the id. A null id is never the least; a component of null ids has a null
     ``component_id`` and its rows are kept. Other columns are not read. An empty table gives an empty result.
     """
-    signed = stored(signatures(docs, id_col, text_col))
-    linked = stored(link(signed, docs, id_col, text_col))
-    rows = signed.select("id", "n_shingles", "node").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = joined(docs, id_col, text_col)
     least = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
     out = rows.join(least, "component", "left")
     component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least"))
@@ -297,10 +305,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns as they are: one for each id that its component keeps.
+    """The rows of ``docs`` that are kept, all columns as they are: one of each component, that of least id.
 
-    Rows of a null id have no name to be chosen by and all stay.
+    A row is known by its id and the hash of its text, so unlike texts under one id all stay, and rows that repeat both
+    are one. Texts without words are linked with nothing, and rows of a null id have no name to be chosen by: all of
+    these stay. An empty table gives an empty result.
     """
-    chosen = stored(near_duplicates(docs, id_col, text_col).where("kept").select(id_col).distinct())
-    named = docs.where(F.col(id_col).isNotNull()).join(chosen, id_col, "left_semi").dropDuplicates([id_col])
-    return named.select(docs.columns).union(docs.where(F.col(id_col).isNull()))
+    named = joined(docs, id_col, text_col).where("component IS NOT NULL AND id IS NOT NULL")
+    first = named.groupBy("component").agg(F.min(F.struct("id", "node", "hash")).alias("row"))
+    chosen = stored(first.select("row.id", "row.hash"))
+    text = F.col(text_col).cast("string")
+    open_ = F.col(id_col).isNull() | ~F.coalesce(text.rlike(f"[^{SPACES}]"), F.lit(False))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), open_.alias("open"))
+    one = rows.where("NOT open").join(chosen, ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])
+    return one.select("row.*").union(rows.where("open").select("row.*"))

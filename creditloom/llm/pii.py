@@ -86,9 +86,12 @@ SPANS = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
 
 def kind_spans(kind: Kind, text: Column) -> Column:
-    """Spans of one kind whose test holds, in order."""
+    """Spans of one kind whose test holds, in order.
+
+    The matches are taken in about as many chunks as a chunk has matches. A chunk begins where the lengths of those
+    before it end, and only within a chunk does a list grow entry by entry.
+    """
     found, gaps = F.regexp_extract_all(text, F.lit(kind.form), F.lit(0)), F.split(text, kind.form)
-    both = F.arrays_zip(found.alias("m"), gaps.alias("g"))
     none = F.array().cast(SPANS)
 
     def add(state: Column, x: Column) -> Column:
@@ -100,8 +103,25 @@ def kind_spans(kind: Kind, text: Column) -> Column:
         keep = kind.holds(x["m"]) if kind.base else kind.holds(x["m"]) & (score >= REPORTED)
         return F.struct(end.alias("at"), F.when(keep, F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
 
-    state = F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans"))
-    spans = F.aggregate(F.filter(both, lambda x: x["m"].isNotNull()), state, add, lambda s: s["spans"])
+    def chunked(both: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(both).cast("double"))).cast("int")
+        starts = F.when(size > 0, F.sequence(F.lit(1), F.size(both), size)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: chunk(F.slice(both, i, size)))
+
+    def chunk(pieces: Column) -> Column:
+        length = F.aggregate(pieces, F.lit(0).cast("long"), lambda n, x: n + F.length(x["g"]) + F.length(x["m"]))
+        return F.struct(pieces.alias("pieces"), length.alias("length"))
+
+    def spans_of(chunks: Column) -> Column:
+        def of(c: Column, i: Column) -> Column:
+            before = F.aggregate(F.slice(chunks, F.lit(1), i), F.lit(0).cast("long"), lambda n, x: n + x["length"])
+            return F.aggregate(c["pieces"], F.struct(before.alias("at"), none.alias("spans")), add, lambda s: s["spans"])
+
+        return F.flatten(F.transform(chunks, of))
+
+    # arrays of one element, so that what the inner expressions share is evaluated once
+    both = F.array(F.filter(F.arrays_zip(found.alias("m"), gaps.alias("g")), lambda x: x["m"].isNotNull()))
+    spans = F.transform(F.transform(both, chunked), spans_of)[0]
     return F.when(kind.may(text), spans).otherwise(none)
 
 

@@ -31,6 +31,7 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 GITHUB = re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 NPM = re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]*")
+JWT_RUN = re.compile(r"[A-Za-z0-9_-]+")
 PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----")
 KEYWORDS = {
     "assign": ["password", "passwd", "secret", "token", "apikey", "api_key"], "access": ["akia"],
@@ -103,6 +104,8 @@ def find_secrets(text: str | None, automaton: ahocorasick.Automaton) -> list[tup
                 past = m.end()  # a match that fails its test still takes its characters
                 if holds(m):
                     spans.append((kind, start, past, kind in BASE_KINDS))
+            elif start >= past and kind == "jwt":
+                past = JWT_RUN.match(text, start).end()  # no later place of the run can match: it ends in the same way
     order = {kind: i for i, kind in enumerate(BASE_KINDS + ADDED_KINDS)}
     return sorted(spans, key=lambda s: (s[1], order[s[0]]))
 

@@ -1,11 +1,12 @@
-"""Removal of repeated byte strings by prefix-free parsing, cut at the depth that matters.
+"""Removal of repeated byte strings by prefix-free parsing, with hashes of strings in place of the suffix orders.
 
 A rolling hash over windows of 32 bytes sets triggers: the places of its minima, which depend on nothing but the bytes
 around them and of which every 100-byte string holds one. Triggers cut a text into phrases. A phrase is kept with the
 bytes that 100-byte strings beginning in it reach into the phrases that follow, so the dictionary of distinct phrases
-holds every such string and the parse (which phrase stands where) says where it occurs. Suffixes of the dictionary are
-ordered by their first 100 bytes and, where these agree, by first occurrence in the parse: no removal looks deeper, so
-neither array is built beyond that.
+holds every such string and the parse (which phrase stands where) says where it occurs. What is asked of the suffix
+arrays of dictionary and parse is only which of their 100-byte prefixes are equal and where each stands first. For that
+the suffixes are brought together by two rolling hashes of these prefixes instead of being sorted by their bytes, and by
+first occurrence in the parse where they agree; the arrays themselves are not built.
 
 1. The parse is dealt by trigger and sorted. Where a phrase occurs again, all its strings repeat, and all but the first
    occurrence are removed whole. This is where repetitive text shrinks to its dictionary. A batch of texts hands on one

@@ -112,7 +112,7 @@ def repeats(texts: dict, width: int = 100):
     return out
 
 
-def line_dedup(texts: dict, width: int = 8, similarity: float = 0.85, shortest: int = 20):
+def line_dedup(texts: dict, width: int = 8, similarity: float = 0.85, shortest: int = 1):
     """doc_id: text without the lines that are like an earlier one, or linked with one that is."""
     norm = {(d, i): x for d, t in texts.items() for i, raw in enumerate((t or "").split("\n")) if len(x := raw.strip(" ").lower()) >= shortest}
     first: dict[str, tuple] = {}
@@ -132,6 +132,8 @@ def line_dedup(texts: dict, width: int = 8, similarity: float = 0.85, shortest:
             x, y = sets[a], sets[b]
             if len(x) < similarity * len(y):
                 break
+            if not x:
+                continue  # without shingles only equal lines are repeats, and those are one place already
             shared = len(x & y)
             if shared >= similarity * (len(x) + len(y) - shared):
                 low, high = sorted((find(a), find(b)))

@@ -26,25 +26,41 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated lines; ``n_chars`` is that of the new text. Documents that lose all their lines go."""
-    done = line_dedup.dedup(docs, removed_col="_removed", shortest=1)
-    emptied = (F.col("_removed") > 0) & (F.trim("text") == "")
-    changed = F.when(F.col("_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return done.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", changed).select(docs.columns)
+    """Documents without repeated lines; ``n_chars``, where there is one, is that of the new text.
+
+    Documents that lose all their lines go. A null text stays as it is, as does one without repeated lines; rows equal
+    in id and text are cut alike. An empty table stays empty.
+    """
+    removed = "_removed"
+    while removed in docs.columns:
+        removed += "_"
+    done = line_dedup.dedup(docs, removed_col=removed)
+    emptied = (F.col(removed) > 0) & (F.trim("text") == "")
+    out = done.where(~F.coalesce(emptied, F.lit(False)))
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col(removed) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", changed)
+    return out.select(*(f"`{c}`" for c in docs.columns))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one of least id, once if rows repeat it."""
+    """One document of each group of near duplicates: the one of least id, once if rows repeat it.
+
+    Null texts and those without words are like nothing and stay, as do rows without an id. An empty table stays empty.
+    """
     return near_dedup.keep(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item; null and empty texts contain none. Repeated rows are judged alike."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in equal shares of characters, each document as often as drawn, shuffled."""
+    """Sources in equal shares of characters, each document as often as drawn, shuffled.
+
+    A null source is a source; rows that repeat an id are drawn alike; an empty table stays empty.
+    """
     return mixing.mix(docs)
 
 

@@ -57,6 +57,10 @@ def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:
     return lambda: pickle.loads(sent.value)
 
 
+#: Rows that a task turns into Python objects at a time.
+SLICE = 2048
+
+
 def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], dict[str, list]], schema: str) -> DataFrame:
     """``rows`` applied to each Arrow batch of ``df``; it returns columns as lists, in the order of ``schema``."""
     fields = df.sparkSession.createDataFrame([], schema).schema
@@ -67,8 +71,9 @@ def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], dict[str, list]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = rows(batch)
-            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+            for at in range(0, batch.num_rows, SLICE):  # texts can be long: only so many are objects at a time
+                out = rows(batch.slice(at, SLICE))
+                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, fields)
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import SPACES, map_batches, occupied, slot, stored
+from creditloom.llm.common import map_batches, occupied, slot, stored
 from creditloom.llm.components import components, settled
 
 WIDTH = 5
@@ -311,11 +311,17 @@ def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     are one. Texts without words are linked with nothing, and rows of a null id have no name to be chosen by: all of
     these stay. An empty table gives an empty result.
     """
-    named = joined(docs, id_col, text_col).where("component IS NOT NULL AND id IS NOT NULL")
-    first = named.groupBy("component").agg(F.min(F.struct("id", "node", "hash")).alias("row"))
-    chosen = stored(first.select("row.id", "row.hash"))
+    rows = joined(docs, id_col, text_col).where("component IS NOT NULL AND id IS NOT NULL")
+    named = rows.groupBy("component", "id", "hash").agg(F.min("node").alias("node"), F.count("*").alias("count"))
+    first = named.groupBy("component").agg(F.min(F.struct("id", "node", "hash")).alias("first"))
+    gone = ((F.col("id") != F.col("first.id")) | (F.col("hash") != F.col("first.hash"))).alias("gone")
+    touched = stored(named.join(first, "component").select("id", "hash", gone, "count").where("gone OR count > 1").select("id", "hash", "gone"))
+
     text = F.col(text_col).cast("string")
-    open_ = F.col(id_col).isNull() | ~F.coalesce(text.rlike(f"[^{SPACES}]"), F.lit(False))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), open_.alias("open"))
-    one = rows.where("NOT open").join(chosen, ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])
-    return one.select("row.*").union(rows.where("open").select("row.*"))
+    columns = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    marked = docs.select(columns, F.col(id_col).alias("_id"), F.xxhash64(text).alias("_hash")).withColumn("slot", slot("_hash"))
+    slots = occupied(touched, "hash")
+    untouched = marked.join(slots, "slot", "left_anti")
+    maybe = marked.join(slots, "slot", "left_semi").join(touched, (F.col("_id") == F.col("id")) & (F.col("_hash") == F.col("hash")), "left")
+    repeated = maybe.where("NOT gone").dropDuplicates(["_id", "_hash"])
+    return untouched.select("row.*").union(maybe.where("gone IS NULL").select("row.*")).union(repeated.select("row.*"))

@@ -1,8 +1,8 @@
 """Fuzzy line dedup: MinHash over character shingles, exact Jaccard, union-find, one line per component.
 
 Everything is a DataFrame or SQL function. Equal lines are one node from the start. The eight-character shingles of a
-line are hashed once and sorted; a band is the four least hashes from one of ten starting points on, going round at
-the end (minima under ten rotations of the hash order). Bands propose pairs, the full sets of shingles confirm them,
+line are hashed once and sorted; a band is the five least hashes from one of twelve starting points on, going round at
+the end (minima under twelve rotations of the hash order). Bands propose pairs, the full sets of shingles confirm them,
 and of each component the line that comes first in the corpus stays.
 
 A line with many places where one of a few frequent characters stands takes the shingles that begin there, about one in
@@ -25,14 +25,14 @@ from creditloom.llm.components import components, settled
 WIDTH = 8
 #: Jaccard similarity of the shingle sets of two lines that are linked.
 SIMILARITY = 0.85
-#: At the threshold a band differs with probability 1 - 0.85 ** 4; measured, fewer than 2 in 1,000 pairs of similarity 0.85
-#: to 0.92 share none, of any length and kind of change. Four hashes keep unlike lines, which share a hundredth of their
+#: At the threshold a band differs with probability 1 - 0.85 ** 5; measured, fewer than 1 in 1,000 pairs of similarity 0.85
+#: to 0.92 share none, of any length and kind of change. Five hashes keep unlike lines, which share a hundredth of their
 #: shingles, out of each other's buckets.
-BANDS, ROWS = 10, 4
+BANDS, ROWS = 12, 5
 #: All places of a line from which ``WIDTH`` characters can be taken, and those at one of the sampled characters.
 PLACES, SAMPLED = (rf"(?s)(?=({c}.{{{WIDTH - 1}}}))" for c in (".", "[aei3]"))
 #: A line of ``LEAST`` sampled places has bands of the sample, one of fewer than ``FEW`` has bands of all places.
-LEAST, FEW = 20, 28
+LEAST, FEW = 28, 38
 #: Starting points of the bands: even numbers, the hashes are odd.
 STARTS = [(b * ((1 << 64) // BANDS) & ~1) - (1 << 63) for b in range(BANDS)]
 #: Characters on each side of a block of lines that are compared with one another.
@@ -177,11 +177,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = nodes.join(near, "node").groupBy("place.id", "place.hash").agg(F.collect_list(spot).alias("wanted"))
     text = F.col(text_col).cast("string")
     source = docs.select(F.col(id_col).alias("_id"), text.alias("text"), F.xxhash64(text).alias("_hash")).withColumn("slot", slot("_hash"))
-    owners = source.join(occupied(wanted, "hash"), "slot", "left_semi").dropDuplicates(["_id", "_hash"])
+    owners = source.join(occupied(wanted, "hash"), "slot", "left_semi")
     found = wanted.join(owners, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")))
     cut = F.split("text", "\n")
     one = F.transform("wanted", lambda w: F.struct(w["node"].alias("node"), w["bands"].alias("bands"), F.lower(F.trim(cut[w["line"]])).alias("norm")))
-    texts = stored(found.select(F.explode(one).alias("one")).select("one.*"))
+    texts = stored(found.select(F.explode(one).alias("one")).select("one.*").dropDuplicates(["node"]))  # rows that repeat id and text
 
     def confirm(pairs: DataFrame) -> DataFrame:
         first, second = texts.select(F.col("node").alias("a"), F.col("norm").alias("x")), texts.select(F.col("node").alias("b"), F.col("norm").alias("y"))

@@ -164,17 +164,19 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of = [F.first(F.when(F.col("kind") == k, F.col("bands")), ignorenulls=True).alias(f"bands{k}") for k in (0, 1)]
     grouped = rows.groupBy("digest").agg(F.min("place").alias("place"), *of, F.first("chars").alias("chars"), F.count_if("first_kind").alias("count"))
     both = F.concat(*(F.coalesce(f"bands{k}", F.array().cast("array<bigint>")) for k in (0, 1)))
-    nodes = stored(grouped.select("digest", "place", both.alias("bands"), "chars", "count", F.monotonically_increasing_id().alias("node")))  # numbers hold once written
+    banded = stored(grouped.select("digest", "place", both.alias("bands"), "chars", "count", F.monotonically_increasing_id().alias("node")))  # numbers hold once written
+    nodes = stored(banded.select("digest", "place", "count", "node"))  # bands are large and are needed of few lines from here on
     # one exchange for both the sizes and the rows
-    buckets = nodes.select("node", "chars", F.explode("bands").alias("band")).repartition("band")
+    buckets = banded.select("node", "chars", F.explode("bands").alias("band")).repartition("band")
     shared = buckets.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     sized = stored(buckets.join(shared, "band"))
     near = stored(sized.groupBy("node").agg(F.sum("size").alias("degree")))
     live = stored(sized.select("band", "node", "chars").join(near, "node").withColumn("component", F.col("node")))
-    release(sized)
+    compared = stored(banded.join(near, "node").select("node", "place", "bands"))
+    release(sized, banded)
 
     spot = F.struct("node", "place.line", "bands")
-    wanted = nodes.join(near, "node").groupBy("place.id", "place.hash").agg(F.collect_list(spot).alias("wanted"))
+    wanted = compared.groupBy("place.id", "place.hash").agg(F.collect_list(spot).alias("wanted"))
     text = F.col(text_col).cast("string")
     source = docs.select(F.col(id_col).alias("_id"), text.alias("text"), F.xxhash64(text).alias("_hash")).withColumn("slot", slot("_hash"))
     owners = source.join(occupied(wanted, "hash"), "slot", "left_semi")
@@ -188,6 +190,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         sets = pairs.join(first, "a").join(second, "b").select("a", "b", shingles(F.col("x")).alias("x"), shingles(F.col("y")).alias("y"))
         return sets.where(similar(F.col("x"), F.col("y"))).select("a", "b")
 
+    release(compared)
+
     edges = settled(live, confirm, lambda open_: block_links(open_, texts), ROUNDS)
     release(near, texts)
     kept = nodes.select("digest", "node", "place", "count")

@@ -165,15 +165,17 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     grouped = rows.groupBy("digest").agg(F.min("place").alias("place"), *of, F.first("chars").alias("chars"), F.count_if("first_kind").alias("count"))
     both = F.concat(*(F.coalesce(f"bands{k}", F.array().cast("array<bigint>")) for k in (0, 1)))
     banded = stored(grouped.select("digest", "place", both.alias("bands"), "chars", "count", F.monotonically_increasing_id().alias("node")))  # numbers hold once written
-    nodes = stored(banded.select("digest", "place", "count", "node"))  # bands are large and are needed of few lines from here on
     # one exchange for both the sizes and the rows
-    buckets = banded.select("node", "chars", F.explode("bands").alias("band")).repartition("band")
+    buckets = banded.select("node", F.explode("bands").alias("band")).repartition("band")
     shared = buckets.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     sized = stored(buckets.join(shared, "band"))
-    near = stored(sized.groupBy("node").agg(F.sum("size").alias("degree")))
-    live = stored(sized.select("band", "node", "chars").join(near, "node").withColumn("component", F.col("node")))
-    compared = stored(banded.join(near, "node").select("node", "place", "bands"))
-    release(sized, banded)
+    near = stored(sized.groupBy("node").agg(F.sum("size").alias("degree")).join(banded.select("node", "chars"), "node"))
+    live = stored(sized.select("band", "node").join(near, "node").withColumn("component", F.col("node")))
+    release(sized)
+    # bands are large and are needed of few lines from here on
+    nodes = stored(banded.select("digest", "place", "count", "node"))
+    compared = stored(banded.join(near.select("node"), "node").select("node", "place", "bands"))
+    release(banded)
 
     spot = F.struct("node", "place.line", "bands")
     wanted = compared.groupBy("place.id", "place.hash").agg(F.collect_list(spot).alias("wanted"))

@@ -1,19 +1,20 @@
-"""Removal of repeated byte strings by prefix-free parsing, with hashes of strings in place of the suffix orders.
+"""Removal of repeated byte strings by prefix-free parsing: suffixes in the order of dictionary and parse.
 
 A rolling hash over windows of 32 bytes sets triggers: the places of its minima, which depend on nothing but the bytes
 around them and of which every 100-byte string holds one. Triggers cut a text into phrases. A phrase is kept with the
 bytes that 100-byte strings beginning in it reach into the phrases that follow, so the dictionary of distinct phrases
-holds every such string and the parse (which phrase stands where) says where it occurs. What is asked of the suffix
-arrays of dictionary and parse is only which of their 100-byte prefixes are equal and where each stands first. For that
-the suffixes are brought together by two rolling hashes of these prefixes instead of being sorted by their bytes, and by
-first occurrence in the parse where they agree; the arrays themselves are not built.
+holds every such string and the parse (which phrase stands where) says where it occurs. The suffix array of the
+dictionary is cut at 100 bytes, as longer matches are not asked for: suffixes are sorted by their bytes by prefix
+doubling, and those that agree in all 100 come in the order of the parse, so the first of them is the first of the corpus.
+Equal strings have equal triggers. So each trigger's part of the dictionary is sorted by itself, and parts in parallel.
 
 1. The parse is dealt by trigger and sorted. Where a phrase occurs again, all its strings repeat, and all but the first
    occurrence are removed whole. This is where repetitive text shrinks to its dictionary. A batch of texts hands on one
    row for a phrase with its places, so a phrase that a third of all texts hold makes a row per batch.
 2. A trigger with one phrase is done: its strings are unique. Distinct phrases with one trigger may share some strings,
-   and only their suffixes are ordered, all phrases of a trigger together. A trigger with very many phrases has its
-   suffixes written out and dealt by their hash instead.
+   and only their suffixes are sorted, all phrases of a trigger together. A trigger with very many phrases has its
+   suffixes written out and dealt by two hashes of their 100 bytes instead, the least place of each found by an
+   aggregate, so that no task sorts them all.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ SPAN = WIDTH - GRAM + 1
 
 #: Bytes that are hashed at a time.
 PIECE = 1 << 20
-#: Distinct phrases of one trigger up to which their suffixes are ordered in one place; ``PIECE`` bytes hold them all.
+#: Distinct phrases of one trigger up to which their suffixes are sorted in one place; ``PIECE`` bytes hold them all.
 GROUP = 4096
 #: Bytes of a text that are parsed at a time. A phrase across the border is two; its strings meet in step 2.
 BLOCK = PIECE
@@ -196,24 +197,40 @@ def phrase_bytes(spans: DataFrame) -> DataFrame:
     return spans.select("id", "text", "spans").mapInArrow(run, "trigger long, id long, start int, data binary")
 
 
+def ranks(raw: np.ndarray) -> np.ndarray:
+    """Rank by bytes of the string of ``WIDTH`` bytes at each place where one begins; equal strings have one rank.
+
+    Prefix doubling: ranks of eight bytes from big-endian words, then of two shorter strings side by side.
+    """
+    count = len(raw) - WIDTH + 1
+    words = np.zeros(len(raw) - 7, np.uint64)
+    for i in range(8):
+        words = words << np.uint64(8) | raw[i : len(raw) - 7 + i]
+    rank, have = np.unique(words, return_inverse=True)[1], 8
+    while have < WIDTH and rank.max() + 1 < len(rank):  # all different: longer strings keep this order
+        step = min(have, WIDTH - have)
+        rank = np.unique(rank[:-step] * len(rank) + rank[step:], return_inverse=True)[1]
+        have += step
+    return rank[:count]
+
+
 def ordered_suffixes(rows: DataFrame) -> DataFrame:
     """``(id, start, n)``: strings of the phrases of a trigger that begin earlier in another of them.
 
-    Rows come sorted by trigger and place, all phrases of a trigger together, at most ``GROUP``. Suffixes are ordered by
-    the hashes of their first ``WIDTH`` bytes, then by place.
+    Rows come sorted by trigger and place, all phrases of a trigger together, at most ``GROUP``. Their suffixes are
+    sorted by the first ``WIDTH`` bytes, then by place in the parse.
     """
 
-    def repeats(owner: np.ndarray, start: np.ndarray, data: list[bytes], tables: Tables) -> list[np.ndarray]:
+    def repeats(owner: np.ndarray, start: np.ndarray, data: list[bytes]) -> list[np.ndarray]:
         sizes = np.array([len(d) for d in data])
         raw = np.frombuffer(b"".join(data), np.uint8)
         counts = sizes - WIDTH + 1
         which = np.repeat(np.arange(len(data)), counts)
         inner = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
         at = np.repeat(np.cumsum(sizes) - sizes, counts) + inner
-        key, other = (rolling(sums(raw, table), WIDTH, table)[at] for table in tables)
-        order = np.lexsort((np.arange(len(at)), other, key))
-        same = (key[order][1:] == key[order][:-1]) & (other[order][1:] == other[order][:-1])
-        again = np.sort(order[1:][same])
+        rank = ranks(raw)[at]
+        array = np.argsort(rank, kind="stable")
+        again = np.sort(array[1:][rank[array[1:]] == rank[array[:-1]]])
         begins = np.ones(len(again), bool)
         begins[1:] = (again[1:] != again[:-1] + 1) | (which[again[1:]] != which[again[:-1]])
         first = again[begins]
@@ -221,7 +238,6 @@ def ordered_suffixes(rows: DataFrame) -> DataFrame:
         return [owner[which[first]], (start[which[first]] + inner[first]).astype(np.int32), length.astype(np.int16)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = hash_tables()
         rest: pa.Table | None = None
 
         def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -233,7 +249,7 @@ def ordered_suffixes(rows: DataFrame) -> DataFrame:
             first = 0
             for i, end in enumerate(ends):
                 if end == len(trigger) or total[ends[i + 1]] - total[first] > PIECE:
-                    found = repeats(owner[first:end], start[first:end], data[first:end], tables)
+                    found = repeats(owner[first:end], start[first:end], data[first:end])
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["id", "start", "n"])
                     first = end
 

@@ -91,6 +91,14 @@ def test_suffix_dedup(docs, odd):
     assert [x[2] > 0 for x in rest].count(True) <= 4  # null ids come first, later equal texts are emptied
 
 
+@pytest.mark.parametrize("raw", [b"a" * 100, b"a" * 300, b"abcabd" * 60, bytes(i * i % 251 for i in range(700)), bytes(i * i * i // 7 % 2 for i in range(900))])
+def test_suffix_order(raw):
+    strings = [raw[i : i + suffix_dedup.WIDTH] for i in range(len(raw) - suffix_dedup.WIDTH + 1)]
+    rank = suffix_dedup.ranks(suffix_dedup.np.frombuffer(raw, "u1")).tolist()
+    assert sorted(range(len(strings)), key=lambda i: (rank[i], i)) == sorted(range(len(strings)), key=lambda i: (strings[i], i))
+    assert len(set(rank)) == len(set(strings))
+
+
 @pytest.mark.parametrize("group", [1, 4096])
 def test_suffix_dedup_across_blocks(spark, monkeypatch, group):
     monkeypatch.setattr(suffix_dedup, "BLOCK", 300)

@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from heapq import heapify, heappop, heappush
 from itertools import repeat
 
 import numpy as np
@@ -58,33 +59,52 @@ def rolling(ids: np.ndarray, width: int) -> np.ndarray:
 
 @dataclass
 class Block:
-    """Items of one block: tokens as numbers, and the seeds with the items that hold them.
+    """Items of one block, their tokens as numbers, one item after the other; ``seeds`` in order with the places they begin at.
 
-    Items shorter than a seed are found by all their tokens: ``short`` has them by these.
+    ``owner`` has the item of each token and ``lengths`` the tokens of each item. Items shorter than a seed are found by
+    all their tokens: ``short`` has them by these.
     """
 
     items: list[tuple[object, np.ndarray]] = field(default_factory=list)
     vocabulary: dict[str, int] = field(default_factory=dict)
     seeds: np.ndarray | None = None
-    owners: np.ndarray | None = None
+    places: np.ndarray | None = None
+    owner: np.ndarray | None = None
+    lengths: np.ndarray | None = None
     short: dict[tuple[int, ...], list[object]] = field(default_factory=dict)
 
+    def reach(self, codes: np.ndarray) -> np.ndarray:
+        """For each item how many of its tokens lie under a seed of ``codes``; no tile goes beyond them.
+
+        All items at once, so a seed that very many of them hold costs its places and nothing more.
+        """
+        low, high = np.searchsorted(self.seeds, codes, "left"), np.searchsorted(self.seeds, codes, "right")
+        shared = np.flatnonzero(high > low)
+        under = np.zeros(len(self.owner) if len(shared) else 0, bool)
+        for at in shared:
+            begins = self.places[low[at] : high[at]]
+            for shift in range(SHORTEST):
+                under[begins + shift] = True
+        return np.bincount(self.owner[np.flatnonzero(under)], minlength=len(self.items))
+
 
 def block_of(rows: list[tuple[object, str | None]]) -> Block:
     block = Block()
-    hashes, owners = [], []
+    hashes, places, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
     for key, text in rows:
         ids = np.array([block.vocabulary.setdefault(t, len(block.vocabulary)) for t in tokens(text)], np.int64)
         if 0 < len(ids) < SHORTEST:
             block.short.setdefault(tuple(ids.tolist()), []).append(key)
-            continue
-        seeds = np.unique(rolling(ids, SHORTEST))
-        hashes.append(seeds)
-        owners.append(np.full(len(seeds), len(block.items)))
-        block.items.append((key, ids))
-    seeds, owner = np.concatenate([np.empty(0, np.uint64), *hashes]), np.concatenate([np.empty(0, np.int64), *owners])
+        elif len(ids):
+            hashes.append(rolling(ids, SHORTEST))
+            places.append(np.arange(at, at + len(hashes[-1])))
+            block.items.append((key, ids))
+            at += len(ids)
+    seeds, place = np.concatenate(hashes), np.concatenate(places)
     order = np.argsort(seeds, kind="stable")
-    block.seeds, block.owners = seeds[order], owner[order]
+    block.seeds, block.places = seeds[order], place[order]
+    block.lengths = np.array([len(ids) for _, ids in block.items], np.int64)
+    block.owner = np.repeat(np.arange(len(block.items)), block.lengths)
     return block
 
 
@@ -96,11 +116,11 @@ def matches(item: np.ndarray, text: np.ndarray, free_item: np.ndarray, free_text
             where.setdefault(h, []).append(p)
     if not where:
         return []
-    found = []
-    for t in np.flatnonzero(np.isin(rolling(text, width), np.fromiter(where, np.uint64, len(where)))).tolist():
+    found, codes = [], rolling(text, width)
+    for t in np.flatnonzero(np.isin(codes, np.fromiter(where, np.uint64, len(where)))).tolist():
         if not free_text[t : t + width].all():
             continue
-        for p in where[int(rolling(text[t : t + width], width)[0])]:
+        for p in where[int(codes[t])]:
             if p and t and free_item[p - 1] and free_text[t - 1] and item[p - 1] == text[t - 1]:
                 continue  # part of a longer run that began before
             n = 0
@@ -112,21 +132,26 @@ def matches(item: np.ndarray, text: np.ndarray, free_item: np.ndarray, free_text
 
 
 def tiles(item: np.ndarray, text: np.ndarray, shortest: int = SHORTEST) -> list[tuple[int, int, int]]:
-    """Greedy tiling: (length, place in item, place in text), longest first, earlier places first among equals."""
+    """Greedy tiling: (length, place in item, place in text), longest first, earlier places first among equals.
+
+    What longer tiles leave of a match is a match again and takes its turn by its own length.
+    """
     free_item, free_text = np.ones(len(item), bool), np.ones(len(text), bool)
     marked, width = [], max(shortest, len(item) // 2)
     while True:
-        found = matches(item, text, free_item, free_text, width)
-        while found:
-            found.sort(key=lambda m: (-m[0], m[1], m[2]))
-            hidden = []
-            for n, p, t in found:
-                if free_item[p : p + n].all() and free_text[t : t + n].all():
-                    free_item[p : p + n] = free_text[t : t + n] = False
-                    marked.append((n, p, t))
-                else:
-                    hidden.append((n, p, t))
-            found = matches(item, text, free_item, free_text, width) if hidden else []  # what is left of them
+        queue = [(-n, p, t) for n, p, t in matches(item, text, free_item, free_text, width)]
+        heapify(queue)
+        while queue:
+            n, p, t = heappop(queue)
+            free = free_item[p : p - n] & free_text[t : t - n]
+            if free.all():
+                free_item[p : p - n] = free_text[t : t - n] = False
+                marked.append((-n, p, t))
+                continue
+            borders = np.flatnonzero(np.diff(free, prepend=False, append=False)).tolist()
+            for a, b in zip(borders[::2], borders[1::2], strict=True):
+                if b - a >= width:
+                    heappush(queue, (a - b, p + a, t + a))
         if width == shortest:
             return marked
         width = max(shortest, width // 2)
@@ -142,21 +167,13 @@ def hits(text: str | None, block: Block, coverage: float) -> list[tuple[object,
         out += [(key, width, 1, width) for s in sorted(held & block.short.keys()) for key in block.short[s]]
     if known.sum() < SHORTEST:
         return out
-    codes = rolling(ids, SHORTEST)
-    low = np.searchsorted(block.seeds, codes, "left")
-    high = np.searchsorted(block.seeds, codes, "right")
-    at = np.flatnonzero(high > low)
-    for i in sorted({int(o) for p in at for o in block.owners[low[p] : high[p]]}):
+    reach = block.reach(np.unique(rolling(ids, SHORTEST)))
+    for i in np.flatnonzero((reach > 0) & (reach >= coverage * block.lengths)).tolist():
         key, item = block.items[i]
-        shared = np.isin(rolling(item, SHORTEST), codes[at])
-        reach = np.zeros(len(item), bool)  # no tile goes beyond the seeds
-        for shift in range(SHORTEST):
-            reach[shift : shift + len(shared)] |= shared
-        if reach.sum() >= coverage * len(item):
-            found = tiles(item, ids)
-            covered = sum(n for n, _, _ in found)
-            if covered >= coverage * len(item):
-                out.append((key, len(item), len(found), covered))
+        found = tiles(item, ids)
+        covered = sum(n for n, _, _ in found)
+        if covered >= coverage * len(item):
+            out.append((key, len(item), len(found), covered))
     return out
 
 

@@ -208,3 +208,38 @@ def lexical(docs, items, k=50):
                 scores.append((-s, d is None, d or 0, d))
         out += [(place, n, d, -s) for n, (s, _, _, d) in enumerate(sorted(scores, key=lambda x: x[:3])[:k], 1)]
     return out
+
+
+def tiling(item, text, shortest=4):
+    """Tiles one after another: the longest common run of free tokens, the earliest in the item, then in the text."""
+    free_item, free_text, tiles = [True] * len(item), [True] * len(text), []
+    while True:
+        best = (-shortest + 1, 0, 0)
+        for p in range(len(item)):
+            for t in range(len(text)):
+                n = 0
+                while p + n < len(item) and t + n < len(text) and item[p + n] == text[t + n] and free_item[p + n] and free_text[t + n]:
+                    n += 1
+                best = min(best, (-n, p, t))
+        n, p, t = -best[0], best[1], best[2]
+        if n < shortest:
+            return tiles
+        tiles.append((n, p, t))
+        free_item[p : p + n] = free_text[t : t + n] = [False] * n
+
+
+def contained(texts, items, coverage=0.5, shortest=4):
+    """``{(doc, item): (tokens, tiles, covered)}``; texts of scripts with blanks only, items of ``shortest`` tokens or more."""
+    out = {}
+    words = {i: re.findall(r"\w+", t.lower()) for i, t in items.items()}
+    for d, text in texts.items():
+        tokens = re.findall(r"\w+", (text or "").lower())
+        grams = set(zip(*(tokens[i:] for i in range(shortest)), strict=False))
+        for i, item in words.items():
+            if grams.isdisjoint(zip(*(item[k:] for k in range(shortest)), strict=False)):
+                continue
+            found = tiling(item, tokens, shortest)
+            covered = sum(n for n, _, _ in found)
+            if covered >= coverage * len(item):
+                out[d, i] = (len(item), len(found), covered)
+    return out

@@ -232,6 +232,23 @@ def test_tiling_finds_reordered_parts(spark):
     assert decontamination.find(frame, tests.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_tiling_equals_the_plain_version(seed):
+    import numpy as np
+
+    random = np.random.default_rng(seed)
+    item, text = random.integers(0, 2 + seed % 4, 5 + seed), random.integers(0, 2 + seed % 4, 60)
+    assert sorted(decontamination.tiles(item, text)) == sorted(brute.tiling(item.tolist(), text.tolist()))
+
+
+def test_many_items_with_one_seed():
+    common = "which of the following is true"
+    block = decontamination.block_of([(i, f"{common} {prose(i, 12)} n{i}") for i in range(20_000)])
+    for _ in range(100):
+        assert decontamination.hits(common, block, 0.5) == []
+    assert [h[0] for h in decontamination.hits(f"{prose(5, 12)} n5 {common} n7", block, 1.0)] == [5]
+
+
 def test_tiling_is_greedy():
     import numpy as np
 

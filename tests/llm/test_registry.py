@@ -43,6 +43,13 @@ def test_contract_columns_equal_the_plain_versions(spark):
     assert {r.doc_id: r.base_sha256 for r in queries.op5_secret_scan(spark, SF_DIR).collect()} == hidden
 
 
+def test_decontamination_equals_the_plain_version(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()}
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()}
+    got = {(r.doc_id, r.item_id): (r.item_tokens, r.n_tiles, r.covered) for r in queries.op10_benchmark_decontamination(spark, SF_DIR).collect()}
+    assert got and got == brute.contained(texts, items)
+
+
 def test_pipeline_stages(spark):
     """Every stage against the plain version of its decision, on what the one before kept."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")

@@ -184,6 +184,27 @@ class FillModel:
     values: dict[str, float] = field(default_factory=dict)
 
 
+#: Columns whose sketches one task merges, and rows that each row is cut into at most.
+TOGETHER, MOST_PLACES = 4, 100
+
+
+def median_rows(df: DataFrame, cols: Sequence[str], accuracy: int) -> DataFrame:
+    """``place, m0, m1, ...``: medians of the columns ``place``, ``place + places``, ...
+
+    One aggregate without a key would merge the sketches of all columns and all
+    partitions in one task, whose time goes with columns times partitions.
+    """
+    width = max(TOGETHER, -(-len(cols) // MOST_PLACES))
+    places = -(-len(cols) // width)
+    none = F.lit(None).cast("double")
+    cells = F.array(*[
+        F.struct(*[(F.col(cols[i]).cast("double") if i < len(cols) else none).alias(f"v{w}") for w, i in enumerate(range(p, places * width, places))])
+        for p in range(places)
+    ])
+    long = df.select(F.posexplode(cells).alias("place", "cell"))
+    return long.groupBy("place").agg(*[F.percentile_approx(F.col(f"cell.v{w}"), 0.5, accuracy).alias(f"m{w}") for w in range(width)])
+
+
 def fit_median(df: DataFrame, cols: Sequence[str] | None = None, method: str = "approx", accuracy: int = 10_000) -> FillModel:
     """Median of every column in one pass. Fit on the training split only and
     apply anywhere. A column without values is left out."""
@@ -193,8 +214,13 @@ def fit_median(df: DataFrame, cols: Sequence[str] | None = None, method: str = "
     if method == "exact":
         rows = exact_quantiles(df, cols, [0.5]).collect()
         return FillModel({r["variable"]: r["value"] for r in rows})
-    row = df.agg(*[F.percentile_approx(F.col(c), 0.5, accuracy).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    return FillModel({c: float(row[f"m{i}"]) for i, c in enumerate(cols) if row[f"m{i}"] is not None})
+    if len(cols) > 2 * TOGETHER:
+        found = {r["place"]: r[1:] for r in median_rows(df, cols, accuracy).collect()}
+        medians = [m for of_width in zip(*(found[p] for p in sorted(found)), strict=True) for m in of_width]
+    else:
+        medians = df.agg(*[F.percentile_approx(F.col(c), 0.5, accuracy).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    # without any row there are no places
+    return FillModel({c: float(m) for c, m in zip(cols, medians, strict=False) if m is not None})
 
 
 def apply_fill(df: DataFrame, model: FillModel, flags: bool = False, flag_prefix: str = "flag_missing_") -> DataFrame:
@@ -206,10 +232,16 @@ def apply_fill(df: DataFrame, model: FillModel, flags: bool = False, flag_prefix
     return df.withColumns(new) if new else df
 
 
-def constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
+def constant_columns(df: DataFrame, cols: Sequence[str] | None = None, first: int = 0) -> list[str]:
     """Columns with a single value, null counting as a value. Compares min with
-    max, so no distinct sets are built."""
+    max, so no distinct sets are built. Where rows are cheap to begin with,
+    ``first`` of them settle most columns: two values anywhere are two values;
+    the others are compared over all rows."""
     cols = list(cols or df.columns)
+    if first:
+        cols = constant_columns(df.limit(first), cols)
+        if not cols:
+            return []
     parts = []
     for i, c in enumerate(cols):
         parts += [

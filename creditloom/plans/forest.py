@@ -50,10 +50,9 @@ def train(features: DataFrame, folder: str, params: modeling.ForestParams = mode
     path = f"{folder.rstrip('/')}/forest-{uuid.uuid4().hex}"
     cols = modeling.feature_columns(features)
     rows = features.select(KEY, "target", F.col("target").cast("double").alias("label"), *[F.col(c).cast("double").alias(c) for c in cols])
-    fit_rows, test = encoding.hash_split(rows, KEY, fraction, method="md5")
-    # each side is read several times below; the features behind it are not made again
-    fit_rows.write.parquet(f"{path}/train")
-    fit_rows = spark.read.parquet(f"{path}/train")
+    # both sides are read below, one several times; the features behind them are made once
+    rows.write.parquet(f"{path}/rows")
+    fit_rows, test = encoding.hash_split(spark.read.parquet(f"{path}/rows"), KEY, fraction, method="md5")
     medians = fit_median(fit_rows, cols)
     weights = encoding.fit_class_weights(fit_rows)
 

@@ -313,7 +313,7 @@ def application_features(df: DataFrame, config: FeatureConfig = FeatureConfig())
         categories = [c for c in CATEGORIES if c in cols]
         out = apply_one_hot(out, fit_one_hot(lower, categories))
     if config.drop_constant:
-        out = out.drop(*[c for c in constant_columns(out) if c not in config.keep])
+        out = out.drop(*[c for c in constant_columns(out, first=1000) if c not in config.keep])
     return out
 
 

@@ -83,6 +83,24 @@ def test_median_of_all_null_column_is_left_out(spark):
     assert C.fit_median(df, method="exact").values == {"y": 1.0}
 
 
+def test_medians_of_many_columns_are_not_merged_in_one_task(spark):
+    cols = [f"c{i}" for i in range(23)]
+    df = spark.range(101).select(*[F.when(F.col("id") % (i + 1) == 0, F.col("id").cast("int") * (1 if i % 2 else 10)).alias(c) for i, c in enumerate(cols)])
+    df = df.withColumn("c7", F.lit(None).cast("double"))
+    known = {c: r.value for c in cols for r in [df.agg(F.percentile_approx(c, 0.5, 10_000).alias("value")).first()] if r.value is not None}
+    model = C.fit_median(df.repartition(3), cols)
+    assert model.values == known and list(model.values) == [c for c in cols if c != "c7"]
+    assert C.fit_median(df.limit(0), cols).values == {}
+    text = C.median_rows(df, cols, 10_000)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(place" in text and "SinglePartition" not in text
+
+
+@pytest.mark.parametrize("first", [1, 2, 3, 100])
+def test_constant_columns_among_the_first_rows_only(spark, first):
+    df = spark.createDataFrame([(1, 1, None, None, 5), (1, 1, None, None, 5), (1, 2, 3, None, 5)], "same int, late int, half int, none int, k int").coalesce(1)
+    assert C.constant_columns(df, first=first) == ["same", "none", "k"]
+
+
 def test_constant_columns_count_null_as_value(spark):
     df = spark.sql("SELECT * FROM VALUES (1, 7, NULL, 'a'), (2, 7, 3, 'a') AS t(k, same, half, s)").withColumn("none", F.lit(None).cast("int"))
     assert C.constant_columns(df) == ["same", "s", "none"]

@@ -228,6 +228,20 @@ def test_forest_separates_and_repeats(spark, learned):
     assert values(again.nodes.select(*columns)) == values(f.nodes.select(*columns))
 
 
+def test_forest_makes_its_features_once(spark, learned, tmp_path):
+    rows, params, f, _ = learned
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    again = forest.train(rows.mapInArrow(count, rows.schema), str(tmp_path), params)
+    assert made.value == 1500
+    assert values(again.scored, KEY, "p") == values(f.scored, KEY, "p")
+
+
 def test_vector_entries(spark):
     from pyspark.ml.linalg import Vectors
 

@@ -169,16 +169,16 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     buckets = banded.select("node", F.explode("bands").alias("band")).repartition("band")
     shared = buckets.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     sized = stored(buckets.join(shared, "band"))
-    near = stored(sized.groupBy("node").agg(F.sum("size").alias("degree")).join(banded.select("node", "chars"), "node"))
-    live = stored(sized.select("band", "node").join(near, "node").withColumn("component", F.col("node")))
+    # of the bands only those that another line has are needed from here on, and of few lines
+    own = sized.groupBy("node").agg(F.sum("size").alias("degree"), F.collect_list("band").alias("bands"))
+    near = stored(own.join(banded.select("node", "digest", "place", "chars", "count"), "node"))
+    live = stored(sized.select("band", "node").join(near.select("node", "degree", "chars"), "node").withColumn("component", F.col("node")))
     release(sized)
-    # bands are large and are needed of few lines from here on
-    nodes = stored(banded.select("digest", "place", "count", "node"))
-    compared = stored(banded.join(near.select("node"), "node").select("node", "place", "bands"))
+    again = stored(banded.where("count > 1").select("digest", "place", "node"))
     release(banded)
 
     spot = F.struct("node", "place.line", "bands")
-    wanted = compared.groupBy("place.id", "place.hash").agg(F.collect_list(spot).alias("wanted"))
+    wanted = near.groupBy("place.id", "place.hash").agg(F.collect_list(spot).alias("wanted"))
     text = F.col(text_col).cast("string")
     source = docs.select(F.col(id_col).alias("_id"), text.alias("text"), F.xxhash64(text).alias("_hash")).withColumn("slot", slot("_hash"))
     owners = source.join(occupied(wanted, "hash"), "slot", "left_semi")
@@ -192,20 +192,19 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         sets = pairs.join(first, "a").join(second, "b").select("a", "b", shingles(F.col("x")).alias("x"), shingles(F.col("y")).alias("y"))
         return sets.where(similar(F.col("x"), F.col("y"))).select("a", "b")
 
-    release(compared)
-
     edges = settled(live, confirm, lambda open_: block_links(open_, texts), ROUNDS)
-    release(near, texts)
-    kept = nodes.select("digest", "node", "place", "count")
+    release(texts)
+    # only lines that occur again, or are like an earlier one, can go
+    alone = again.select("digest", "node", F.col("place").alias("keep"))
     if edges is not None:
-        kept = kept.join(components(edges).withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        first = kept.groupBy("component").agg(F.min("place").alias("keep"))
-        kept = kept.join(first, "component")
+        labels = components(edges).withColumnRenamed("id", "node")
+        linked = near.select("digest", "place", "count", "node").join(labels, "node")
+        first = linked.groupBy("component").agg(F.min("place").alias("keep"))
+        later = linked.join(first, "component").where("count > 1 OR place <> keep").select("digest", "keep")
+        going = stored(later.unionByName(alone.join(labels, "node", "left_anti").select("digest", "keep")))
     else:
-        kept = kept.withColumn("keep", F.col("place"))
-    # only lines that occur again, or are like an earlier one, can go
-    going = stored(kept.where("count > 1 OR place <> keep").select("digest", "keep"))
-    release(nodes)
+        going = stored(alone.select("digest", "keep"))
+    release(near, again)
     every = named.select("digest", place.alias("place")).withColumn("slot", slot("digest")).join(occupied(going, "digest"), "slot", "left_semi")
     gone = every.join(going, "digest").where("place <> keep").select("place.*")
     return gone.groupBy("id", "hash").agg(F.collect_set("line").alias("removed"))

@@ -29,8 +29,9 @@ SIMILARITY = 0.85
 #: to 0.92 share none, of any length and kind of change. Five hashes keep unlike lines, which share a hundredth of their
 #: shingles, out of each other's buckets.
 BANDS, ROWS = 12, 5
-#: All places of a line from which ``WIDTH`` characters can be taken, and those at one of the sampled characters.
-PLACES, SAMPLED = (rf"(?s)(?=({c}.{{{WIDTH - 1}}}))" for c in (".", "[aei3]"))
+#: All places of a line from which ``WIDTH`` characters can be taken, and those at one of the sampled characters. A match
+#: takes a whole character, so that none begins inside a surrogate pair.
+PLACES, SAMPLED = (rf"(?s)(?=({c}.{{{WIDTH - 1}}}))." for c in (".", "[aei3]"))
 #: A line of ``LEAST`` sampled places has bands of the sample, one of fewer than ``FEW`` has bands of all places.
 LEAST, FEW = 28, 38
 #: Starting points of the bands: even numbers, the hashes are odd.
@@ -39,34 +40,23 @@ STARTS = [(b * ((1 << 64) // BANDS) & ~1) - (1 << 63) for b in range(BANDS)]
 BLOCK_CHARS = 1 << 17
 #: Rounds in which lines meet one other before blocks are compared.
 ROUNDS = 2
-#: Characters that are cut into shingles at a time; keeps the work in proportion to the line.
-PIECE = 64
 
 
 def shingles(line: Column) -> Column:
     """Distinct hashes of the shingles of a line of ``WIDTH`` characters or more."""
-    pieces = F.regexp_extract_all(line, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
-    longer = F.zip_with(pieces, F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))), lambda a, b: F.concat(a, F.coalesce(F.left(b, F.lit(WIDTH - 1)), F.lit(""))))
-
-    def of_piece(piece: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.length(piece) - (WIDTH - 1))
-        hashed = F.transform(starts, lambda i: F.xxhash64(F.substring(piece, i, F.lit(WIDTH))))
-        return F.when(F.length(piece) >= WIDTH, hashed).otherwise(F.array().cast("array<bigint>"))
-
-    return F.array_distinct(F.flatten(F.transform(longer, of_piece)))
+    return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(PLACES), F.lit(1)), lambda piece: F.xxhash64(piece)))
 
 
 def hashes(line: Column, places: str) -> Column:
     return F.transform(F.regexp_extract_all(line, F.lit(places), F.lit(1)), lambda piece: F.xxhash64(piece).bitwiseOR(F.lit(1)))
 
 
-def rotations(own: Column, merged: Column, kind: Column) -> Column:
-    """One hash per band over the ``ROWS`` least of the sorted hashes ``own`` from its starting point on.
+def rotations(twice: Column, merged: Column, kind: Column) -> Column:
+    """One hash per band over the ``ROWS`` least of the sorted hashes from its starting point on; ``twice`` has them twice.
 
     Hashes are odd and starting points even, and ``merged`` has both sorted: the place of a starting point, less those
     before it, says how many hashes lie below.
     """
-    twice = F.concat(own, own)
     return F.array(*(F.xxhash64(kind, F.lit(i), F.slice(twice, (F.array_position(merged, F.lit(start)) - i).cast("int"), ROWS)) for i, start in enumerate(STARTS)))
 
 
@@ -82,9 +72,10 @@ def signed(rows: DataFrame, line: str) -> DataFrame:
     whole = F.when(few < FEW, F.struct(F.lit(1).alias("kind"), hashes(F.col(line), PLACES).alias("hashes")))
     kinds = sampled.withColumn("_less", few < LEAST).withColumn("_one", F.explode(F.array_compact(F.array(part, whole)))).drop("_sample", line)
     own = kinds.select("*", F.col("_one.kind").alias("kind"), F.sort_array(F.array_distinct("_one.hashes")).alias("_own")).drop("_one")
-    merged = own.withColumn("_merged", F.sort_array(F.concat("_own", F.array(*map(F.lit, STARTS)))))
-    found = F.when(F.size("_own") > 0, rotations(F.col("_own"), F.col("_merged"), F.col("kind")))
-    return merged.withColumn("bands", found).withColumn("first_kind", (F.col("kind") == 0) | F.col("_less")).drop("_own", "_merged", "_less")
+    # columns of their own, so that each is made once for all bands
+    merged = own.withColumn("_merged", F.sort_array(F.concat("_own", F.array(*map(F.lit, STARTS))))).withColumn("_twice", F.concat("_own", "_own"))
+    found = F.when(F.size("_own") > 0, rotations(F.col("_twice"), F.col("_merged"), F.col("kind")))
+    return merged.withColumn("bands", found).withColumn("first_kind", (F.col("kind") == 0) | F.col("_less")).drop("_own", "_merged", "_twice", "_less")
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str, shortest: int) -> DataFrame:
@@ -104,13 +95,18 @@ def similar(a: Column, b: Column) -> Column:
 def block_links(live: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between different components of a bucket, found in blocks of about ``BLOCK_CHARS`` by ``BLOCK_CHARS``.
 
-    The lines outside a bucket's largest component meet all others. The lines of a block are gathered in one row with
-    their sets and compared there, so no row is made for a pair that is no link; a pair is looked at in the least band
-    that it shares.
+    A bucket of two lines is settled: they met in the first round. Of buckets that hold the same lines the least is looked
+    at, which is where their pairs have their turn. The lines outside a bucket's largest component meet all others. The
+    lines of a block are gathered in one row with their sets and compared there, so no row is made for a pair that is no
+    link; a pair is looked at in the least band that it shares.
     """
-    sizes = live.groupBy("band", "component").agg(F.count("*").alias("count"), F.sum("chars").alias("chars"))
+    names = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"name{i}") for i in (0, 1)]
+    sizes = live.groupBy("band", "component").agg(F.count("*").alias("count"), F.sum("chars").alias("chars"), *names)
     main = F.max_by(F.struct("component", "count", "chars"), F.struct("count", "component")).alias("main")
-    opened = sizes.groupBy("band").agg(main, F.sum("count").alias("total"), F.sum("chars").alias("total_chars"), F.count("*").alias("n")).where("n > 1")
+    same = [F.bit_xor(f"name{i}").alias(f"name{i}") for i in (0, 1)]
+    buckets = sizes.groupBy("band").agg(main, F.sum("count").alias("total"), F.sum("chars").alias("total_chars"), F.count("*").alias("n"), *same)
+    several = buckets.where("n > 1 AND total > 2")
+    opened = several.groupBy("total", "name0", "name1").agg(F.min(F.struct("band", "main", "total_chars")).alias("least")).select("total", "least.*")
 
     def parts(count: str, chars: str) -> Column:
         return F.greatest(F.least(F.expr(count), F.ceil(F.expr(chars) / BLOCK_CHARS)), F.lit(1)).cast("int")
@@ -168,10 +164,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # one exchange for both the sizes and the rows
     buckets = banded.select("node", F.explode("bands").alias("band")).repartition("band")
     shared = buckets.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    sized = stored(buckets.join(shared, "band"))
+    sized = stored(buckets.join(shared.hint("shuffle_hash"), "band"))
     # of the bands only those that another line has are needed from here on, and of few lines
     own = sized.groupBy("node").agg(F.sum("size").alias("degree"), F.collect_list("band").alias("bands"))
-    near = stored(own.join(banded.select("node", "digest", "place", "chars", "count"), "node"))
+    near = stored(own.hint("shuffle_hash").join(banded.select("node", "digest", "place", "chars", "count"), "node"))
     live = stored(sized.select("band", "node").join(near.select("node", "degree", "chars"), "node").withColumn("component", F.col("node")))
     release(sized)
     again = stored(banded.where("count > 1").select("digest", "place", "node"))
@@ -182,7 +178,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.col(text_col).cast("string")
     source = docs.select(F.col(id_col).alias("_id"), text.alias("text"), F.xxhash64(text).alias("_hash")).withColumn("slot", slot("_hash"))
     owners = source.join(occupied(wanted, "hash"), "slot", "left_semi")
-    found = wanted.join(owners, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")))
+    found = wanted.hint("shuffle_hash").join(owners, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")))
     cut = F.split("text", "\n")
     one = F.transform("wanted", lambda w: F.struct(w["node"].alias("node"), w["bands"].alias("bands"), F.lower(F.trim(cut[w["line"]])).alias("norm")))
     texts = stored(found.select(F.explode(one).alias("one")).select("one.*").dropDuplicates(["node"]))  # rows that repeat id and text
@@ -206,7 +202,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         going = stored(alone.select("digest", "keep"))
     release(near, again)
     every = named.select("digest", place.alias("place")).withColumn("slot", slot("digest")).join(occupied(going, "digest"), "slot", "left_semi")
-    gone = every.join(going, "digest").where("place <> keep").select("place.*")
+    gone = every.join(going.hint("shuffle_hash"), "digest").where("place <> keep").select("place.*")
     return gone.groupBy("id", "hash").agg(F.collect_set("line").alias("removed"))
 
 
@@ -225,7 +221,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remov
     marked = rows.withColumn("key", F.xxhash64(text)).withColumn("slot", slot("key"))
     slots = occupied(removed, "hash")
     untouched = marked.join(slots, "slot", "left_anti").withColumn("removed", F.lit(None).cast("array<int>"))
-    maybe = marked.join(slots, "slot", "left_semi").join(removed, id_.eqNullSafe(F.col("id")) & (F.col("key") == F.col("hash")), "left")
+    maybe = marked.join(slots, "slot", "left_semi").join(removed.hint("shuffle_hash"), id_.eqNullSafe(F.col("id")) & (F.col("key") == F.col("hash")), "left")
     parts = F.split(text, "\n")
     staying = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("removed"))
     cut = F.when(F.col("removed").isNull(), text).otherwise(F.array_join(F.transform(staying, lambda i: parts[i]), "\n"))

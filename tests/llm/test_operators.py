@@ -386,3 +386,19 @@ def test_line_dedup_moves_only_bands_that_lines_share(spark, monkeypatch):
     for rows in moved:
         of = [b for r in rows for b in set(r.bands)]
         assert min(of.count(b) for b in of) > 1
+
+
+def test_blocks_leave_out_what_is_settled(spark):
+    """Two lines alone in a bucket have met; of buckets with the same lines one is compared, and no link is lost."""
+    base = "the quick brown fox jumps over the lazy dog while seven wizards brew a potion number "
+    held = {10: [1, 2], 11: [3, 4, 5], 12: [3, 4, 5], 13: [3, 4, 5, 6], 14: [7, 8]}
+    bands = {n: sorted(b for b, nodes in held.items() if n in nodes) for n in range(1, 9)}
+    live = spark.createDataFrame([(b, n, n, 90) for b, nodes in held.items() for n in nodes], "band long, node long, component long, chars int")
+    texts = spark.createDataFrame([(n, bands[n], base + str(n) if n != 6 else "unlike all others") for n in bands], "node long, bands array<long>, norm string")
+    assert sorted(map(tuple, line_dedup.block_links(live, texts).collect())) == [(3, 4), (3, 5), (4, 5)]
+
+
+def test_line_shingles_are_of_characters(spark):
+    lines = ["abcdefgh", "😀" * 9 + "abc", "a😀b😀c😀d😀e😀f😀", "zu kurz", "äöüß" * 60 + "日本語"]
+    rows = spark.createDataFrame([(x,) for x in lines], "line string").repartition(1).select("line", line_dedup.shingles(line_dedup.F.col("line")).alias("set")).collect()
+    assert {r.line: len(r.set) for r in rows} == {x: len({x[i : i + 8] for i in range(len(x) - 7)}) for x in lines}

@@ -25,13 +25,14 @@ from creditloom.llm.components import components, settled
 WIDTH = 8
 #: Jaccard similarity of the shingle sets of two lines that are linked.
 SIMILARITY = 0.85
+PERCENT = round(100 * SIMILARITY)
 #: At the threshold a band differs with probability 1 - 0.85 ** 5; measured, fewer than 1 in 1,000 pairs of similarity 0.85
 #: to 0.92 share none, of any length and kind of change. Five hashes keep unlike lines, which share a hundredth of their
 #: shingles, out of each other's buckets.
 BANDS, ROWS = 12, 5
 #: All places of a line from which ``WIDTH`` characters can be taken, and those at one of the sampled characters. A match
 #: takes a whole character, so that none begins inside a surrogate pair.
-PLACES, SAMPLED = (rf"(?s)(?=({c}.{{{WIDTH - 1}}}))." for c in (".", "[aei3]"))
+PLACES, SAMPLED = (f"(?s)(?=({c}{'.' * (WIDTH - 1)}))." for c in (".", "[aei3]"))
 #: A line of ``LEAST`` sampled places has bands of the sample, one of fewer than ``FEW`` has bands of all places.
 LEAST, FEW = 28, 38
 #: Starting points of the bands: even numbers, the hashes are odd.
@@ -51,13 +52,14 @@ def hashes(line: Column, places: str) -> Column:
     return F.transform(F.regexp_extract_all(line, F.lit(places), F.lit(1)), lambda piece: F.xxhash64(piece).bitwiseOR(F.lit(1)))
 
 
-def rotations(twice: Column, merged: Column, kind: Column) -> Column:
-    """One hash per band over the ``ROWS`` least of the sorted hashes from its starting point on; ``twice`` has them twice.
+def rotations(round_: Column, merged: Column, kind: Column) -> Column:
+    """One hash per band over the ``ROWS`` least of the sorted hashes from its starting point on; ``round_`` goes
+    round: after the last hash it has the first ``ROWS`` again.
 
     Hashes are odd and starting points even, and ``merged`` has both sorted: the place of a starting point, less those
     before it, says how many hashes lie below.
     """
-    return F.array(*(F.xxhash64(kind, F.lit(i), F.slice(twice, (F.array_position(merged, F.lit(start)) - i).cast("int"), ROWS)) for i, start in enumerate(STARTS)))
+    return F.array(*(F.xxhash64(kind, F.lit(i), F.slice(round_, (F.array_position(merged, F.lit(start)) - i).cast("int"), ROWS)) for i, start in enumerate(STARTS)))
 
 
 def signed(rows: DataFrame, line: str) -> DataFrame:
@@ -73,23 +75,25 @@ def signed(rows: DataFrame, line: str) -> DataFrame:
     kinds = sampled.withColumn("_less", few < LEAST).withColumn("_one", F.explode(F.array_compact(F.array(part, whole)))).drop("_sample", line)
     own = kinds.select("*", F.col("_one.kind").alias("kind"), F.sort_array(F.array_distinct("_one.hashes")).alias("_own")).drop("_one")
     # columns of their own, so that each is made once for all bands
-    merged = own.withColumn("_merged", F.sort_array(F.concat("_own", F.array(*map(F.lit, STARTS))))).withColumn("_twice", F.concat("_own", "_own"))
-    found = F.when(F.size("_own") > 0, rotations(F.col("_twice"), F.col("_merged"), F.col("kind")))
-    return merged.withColumn("bands", found).withColumn("first_kind", (F.col("kind") == 0) | F.col("_less")).drop("_own", "_merged", "_twice", "_less")
+    merged = own.withColumn("_merged", F.sort_array(F.concat("_own", F.array(*map(F.lit, STARTS))))).withColumn("_round", F.concat("_own", F.slice("_own", 1, ROWS)))
+    found = F.when(F.size("_own") > 0, rotations(F.col("_round"), F.col("_merged"), F.col("kind")))
+    return merged.withColumn("bands", found).withColumn("first_kind", (F.col("kind") == 0) | F.col("_less")).drop("_own", "_merged", "_round", "_less")
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str, shortest: int) -> DataFrame:
     """``(id, hash, line, norm)``: the lines of ``shortest`` characters or more, in lower case, trimmed; ``line`` from 0."""
     text = F.col(text_col).cast("string")
-    split = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), F.posexplode(F.split(text, "\n")).alias("line", "raw"))
+    # the hash below the lines: beside them it would be made of the whole text for every line
+    whole = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    split = whole.select("id", "hash", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
     return split.select("id", "hash", "line", F.lower(F.trim("raw")).alias("norm")).where(F.length("norm") >= shortest)
 
 
 def similar(a: Column, b: Column) -> Column:
-    """Whether two sets are linked; sizes that can't be are told first."""
-    shared = F.size(F.array_intersect(a, b))
+    """Whether two sets are linked; sizes that can't be are told first. In whole numbers, and with what is shared named
+    once: a compiled filter makes it as often as it is named."""
     near = F.least(F.size(a), F.size(b)) >= SIMILARITY * F.greatest(F.size(a), F.size(b))
-    return near & (shared >= SIMILARITY * (F.size(a) + F.size(b) - shared))
+    return near & (F.size(F.array_intersect(a, b)) * (100 + PERCENT) >= PERCENT * (F.size(a) + F.size(b)))
 
 
 def block_links(live: DataFrame, texts: DataFrame) -> DataFrame:
@@ -106,49 +110,45 @@ def block_links(live: DataFrame, texts: DataFrame) -> DataFrame:
     same = [F.bit_xor(f"name{i}").alias(f"name{i}") for i in (0, 1)]
     buckets = sizes.groupBy("band").agg(main, F.sum("count").alias("total"), F.sum("chars").alias("total_chars"), F.count("*").alias("n"), *same)
     several = buckets.where("n > 1 AND total > 2")
-    opened = several.groupBy("total", "name0", "name1").agg(F.min(F.struct("band", "main", "total_chars")).alias("least")).select("total", "least.*")
+    first = several.groupBy("total", "name0", "name1").agg(F.min(F.struct("band", "main", "total_chars")).alias("least")).select("total", "least.*")
 
     def parts(count: str, chars: str) -> Column:
         return F.greatest(F.least(F.expr(count), F.ceil(F.expr(chars) / BLOCK_CHARS)), F.lit(1)).cast("int")
 
-    groups = opened.select(
+    groups = first.select(
         "band", F.col("main.component").alias("main"), parts("total - main.count", "total_chars - main.chars").alias("outs"), parts("total", "total_chars").alias("ins")
     )
     members = live.select("band", "node", "component").join(groups, "band").join(texts, "node").withColumn("in_main", F.col("component") == F.col("main"))
     place, columns = F.xxhash64("node"), ["band", "i", "j", "outside", "in_main", "node", "component", "bands", "norm"]
 
-    def every(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    def every(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
 
-    out = members.where("NOT in_main").withColumn("outside", F.lit(True)).withColumn("i", F.pmod(place, "outs").cast("int")).withColumn("j", every("ins"))
-    inside = members.withColumn("outside", F.lit(False)).withColumn("j", F.pmod(place, "ins").cast("int")).withColumn("i", every("outs"))
+    out = members.where("NOT in_main").withColumn("outside", F.lit(True)).withColumn("i", F.pmod(place, "outs").cast("int")).withColumn("j", every(F.col("ins")))
+    inside = members.withColumn("outside", F.lit(False)).withColumn("j", F.pmod(place, "ins").cast("int")).withColumn("i", every(F.col("outs")))
     both = out.select(columns).union(inside.select(columns))
     gathered = both.groupBy("band", "i", "j").agg(F.collect_list(F.struct(*columns[3:])).alias("members"))
 
-    def side(outside: bool) -> Column:
-        chosen = F.filter("members", lambda m: m["outside"] == F.lit(outside))
-        fields = ["node", "component", "bands", "in_main"]
-        return F.transform(chosen, lambda m: F.struct(*(m[f].alias(f) for f in fields), shingles(m["norm"]).alias("set")))
-
-    def partners(x: Column, y: Column, band: Column) -> Column:
+    def partners(x: Column, y: Column) -> Column:
         open_ = (x["component"] != y["component"]) & (y["in_main"] | (x["node"] < y["node"]))
-        return open_ & (F.array_min(F.array_intersect(x["bands"], y["bands"])) == band) & similar(x["set"], y["set"])
-
-    def found(s: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                s["left"],
-                lambda x: F.transform(
-                    F.filter(s["right"], lambda y: partners(x, y, s["band"])),
-                    lambda y: F.struct(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")),
-                ),
-            )
-        )
-
-    # an array of one element, so that the sets of a block are made once
-    sides = F.array(F.struct(F.col("band").alias("band"), side(True).alias("left"), side(False).alias("right")))
-    pairs = gathered.select(F.explode(F.flatten(F.transform(sides, found))).alias("pair"))
-    return pairs.select("pair.a", "pair.b").distinct()
+        return open_ & (F.array_min(F.array_intersect(x["bands"], y["bands"])) == F.col("band"))
+
+    def with_set(m: Column) -> Column:
+        return F.struct(*(m[f].alias(f) for f in columns[4:8]), shingles(m["norm"]).alias("set"))
+
+    # arrays of one element, so that the sides of a block are made once; only members that have a partner get a set
+    whole = F.struct(F.filter("members", lambda m: m["outside"]).alias("left"), F.filter("members", lambda m: ~m["outside"]).alias("right"))
+    block = gathered.select("band", F.explode(F.array(whole)).alias("side")).select("band", "side.*")
+    outs = F.filter("left", lambda x: F.exists("right", lambda y: partners(x, y)))
+    ins = F.filter("right", lambda y: F.exists("left", lambda x: partners(x, y)))
+    sides = F.array(F.struct(F.transform(outs, with_set).alias("left"), F.transform(ins, with_set).alias("right")))
+    opened = block.select("band", F.explode(sides).alias("side")).select("band", "side.*").where((F.size("left") > 0) & (F.size("right") > 0))
+    # pairs are numbers of members, one after another: Spark compiles this, a lambda it would interpret
+    of_left = opened.select("band", "left", "right", every(F.size("left")).alias("x")).select("band", F.col("left")[F.col("x")].alias("x"), "right")
+    of_both = of_left.select("band", "x", F.col("right"), every(F.size("right")).alias("at")).select("band", "x", F.col("right")[F.col("at")].alias("y"))
+    x, y = F.col("x"), F.col("y")
+    pairs = of_both.where(partners(x, y) & similar(x["set"], y["set"]))
+    return pairs.select(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")).distinct()
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = 1) -> DataFrame:
@@ -163,7 +163,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     banded = stored(grouped.select("digest", "place", both.alias("bands"), "chars", "count", F.monotonically_increasing_id().alias("node")))  # numbers hold once written
     # one exchange for both the sizes and the rows
     buckets = banded.select("node", F.explode("bands").alias("band")).repartition("band")
-    shared = buckets.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    shared = buckets.groupBy("band").agg(F.count("node").alias("size")).where("size > 1")
     sized = stored(buckets.join(shared.hint("shuffle_hash"), "band"))
     # of the bands only those that another line has are needed from here on, and of few lines
     own = sized.groupBy("node").agg(F.sum("size").alias("degree"), F.collect_list("band").alias("bands"))
@@ -179,14 +179,17 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     source = docs.select(F.col(id_col).alias("_id"), text.alias("text"), F.xxhash64(text).alias("_hash")).withColumn("slot", slot("_hash"))
     owners = source.join(occupied(wanted, "hash"), "slot", "left_semi")
     found = wanted.hint("shuffle_hash").join(owners, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")))
-    cut = F.split("text", "\n")
-    one = F.transform("wanted", lambda w: F.struct(w["node"].alias("node"), w["bands"].alias("bands"), F.lower(F.trim(cut[w["line"]])).alias("norm")))
-    texts = stored(found.select(F.explode(one).alias("one")).select("one.*").dropDuplicates(["node"]))  # rows that repeat id and text
+    # split below the lambda, which would do it again for each line
+    parted = found.select("wanted", F.explode(F.array(F.split("text", "\n"))).alias("cut"))
+    one = F.transform("wanted", lambda w: F.struct(w["node"].alias("node"), w["bands"].alias("bands"), F.lower(F.trim(F.col("cut")[w["line"]])).alias("norm")))
+    texts = stored(parted.select(F.explode(one).alias("one")).select("one.*").dropDuplicates(["node"]))  # rows that repeat id and text
 
     def confirm(pairs: DataFrame) -> DataFrame:
         first, second = texts.select(F.col("node").alias("a"), F.col("norm").alias("x")), texts.select(F.col("node").alias("b"), F.col("norm").alias("y"))
-        sets = pairs.join(first, "a").join(second, "b").select("a", "b", shingles(F.col("x")).alias("x"), shingles(F.col("y")).alias("y"))
-        return sets.where(similar(F.col("x"), F.col("y"))).select("a", "b")
+        sets = F.struct(shingles(F.col("x")).alias("x"), shingles(F.col("y")).alias("y"))
+        # out of an array of one element, so that the sets of a pair are made once
+        made = pairs.join(first, "a").join(second, "b").select("a", "b", F.explode(F.array(sets)).alias("sets"))
+        return made.where(similar(F.col("sets.x"), F.col("sets.y"))).select("a", "b")
 
     edges = settled(live, confirm, lambda open_: block_links(open_, texts), ROUNDS)
     release(texts)
@@ -222,10 +225,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remov
     slots = occupied(removed, "hash")
     untouched = marked.join(slots, "slot", "left_anti").withColumn("removed", F.lit(None).cast("array<int>"))
     maybe = marked.join(slots, "slot", "left_semi").join(removed.hint("shuffle_hash"), id_.eqNullSafe(F.col("id")) & (F.col("key") == F.col("hash")), "left")
-    parts = F.split(text, "\n")
-    staying = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("removed"))
-    cut = F.when(F.col("removed").isNull(), text).otherwise(F.array_join(F.transform(staying, lambda i: parts[i]), "\n"))
+    # split below the lambda, which would do it again for each line
+    parted = maybe.select("row", "removed", F.explode(F.array(F.when(F.col("removed").isNotNull(), F.split(text, "\n")))).alias("parts"))
+    staying = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("removed"))
+    joined = F.array_join(F.transform(staying, lambda i: F.col("parts")[i]), "\n")
+    cut = parted.select("row", "removed", F.when(F.col("removed").isNull(), text).otherwise(joined).alias("text"))
     count = F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).cast("long")
-    both = untouched.select("row", "removed").unionByName(maybe.select("row", "removed"))
-    columns = [cut.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c != removed_col]
+    both = untouched.select("row", "removed", text.alias("text")).unionByName(cut)
+    columns = [F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c != removed_col]
     return both.select(*columns, count.alias(removed_col))

@@ -402,3 +402,74 @@ def test_line_shingles_are_of_characters(spark):
     lines = ["abcdefgh", "😀" * 9 + "abc", "a😀b😀c😀d😀e😀f😀", "zu kurz", "äöüß" * 60 + "日本語"]
     rows = spark.createDataFrame([(x,) for x in lines], "line string").repartition(1).select("line", line_dedup.shingles(line_dedup.F.col("line")).alias("set")).collect()
     assert {r.line: len(r.set) for r in rows} == {x: len({x[i : i + 8] for i in range(len(x) - 7)}) for x in lines}
+
+
+def test_line_dedup_splits_texts_and_makes_sets_once(spark, monkeypatch):
+    """No lambda splits a text again for each line, no filter makes the sets of a pair again each time it names them, and
+    the hash of a text is not made beside each of its lines."""
+    plans, keep = [], line_dedup.stored
+    shown = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+
+    def watched(df):
+        plans.append(shown(df))
+        return keep(df)
+
+    setting = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1000")
+    for module in ("line_dedup", "components"):
+        monkeypatch.setattr(f"creditloom.llm.{module}.stored", watched)
+    try:
+        base = "the quick brown fox jumps over the lazy dog while seven wizards brew a potion number "
+        texts = [f"{base}1\nsphinx of black quartz\n{base}2", f"{base}3\nsphinx of black quartz", "alone"]
+        result = line_dedup.dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+        assert {r.doc_id: r.text for r in result.collect()} == brute.line_dedup(dict(enumerate(texts)))
+        plans.append(shown(result))
+    finally:
+        spark.conf.set(setting, before)
+    assert any("transform(" in p and "split(" in p for p in plans) and any("array_intersect(" in p for p in plans)
+    for plan in plans:
+        for part in plan.split("lambdafunction(")[1:]:
+            depth, end = 1, 0
+            while depth and end < len(part):
+                depth += {"(": 1, ")": -1}.get(part[end], 0)
+                end += 1
+            assert "split(" not in part[:end]
+        rows = plan.split("\n")
+        assert not any("Filter" in row and "regexp_extract_all(" in row for row in rows)
+        cut = [n for n, row in enumerate(rows) if "Generate posexplode(" in row]
+        assert not any("xxhash64(text" in row for n in cut for row in rows[:n])
+
+
+def test_blocks_find_the_links_of_plain_comparison(spark, monkeypatch):
+    """Buckets of several blocks, some with one side empty, and lines on both sides of the threshold."""
+    import random
+
+    monkeypatch.setattr(line_dedup, "BLOCK_CHARS", 400)
+    r = random.Random(4)
+    word = lambda: spelled(r, "abcdefghijklmnopqrstuvwxyz", r.randint(3, 8))
+    lines, bands = {}, {}
+    for template in range(3):
+        words = [word() for _ in range(24)]
+        for _ in range(14):
+            n = len(lines) + 1
+            lines[n] = " ".join(word() if i in r.sample(range(24), r.randint(0, 2)) else w for i, w in enumerate(words))
+            bands[n] = sorted(r.sample(range(10 * template, 10 * template + 4), r.randint(1, 3)) + [99])
+    component = {n: n - n % 2 for n in lines}
+    live = [(b, n, component[n], len(lines[n])) for n in lines for b in bands[n]]
+    texts = spark.createDataFrame([(n, bands[n], x) for n, x in lines.items()], "node long, bands array<long>, norm string")
+    got = line_dedup.block_links(spark.createDataFrame(live, "band long, node long, component long, chars int"), texts)
+    sets = {n: {x[i : i + 8] for i in range(len(x) - 7)} for n, x in lines.items()}
+    near = {(a, b): 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) for a in lines for b in lines if a < b}
+    expected = sorted(p for p, linked in near.items() if linked and component[p[0]] != component[p[1]])
+    assert 0 < len(expected) < sum(not linked for linked in near.values())
+    assert sorted(map(tuple, got.collect())) == expected
+
+
+def test_similarity_is_exact_at_the_threshold(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(list(range(x + n)), list(range(x, x + n + y))) for n in range(1, 120) for x in (0, 1, 3, n // 8) for y in (0, 2, 9, 3 * n // 17 - x) if y >= 0]
+    got = spark.createDataFrame(rows, "a array<long>, b array<long>").select("a", "b", line_dedup.similar(F.col("a"), F.col("b")).alias("linked")).collect()
+    assert all(r.linked == (100 * len({*r.a} & {*r.b}) >= 85 * len({*r.a} | {*r.b})) for r in got)
+    assert any(20 * len({*r.a} & {*r.b}) == 17 * len({*r.a} | {*r.b}) for r in got)

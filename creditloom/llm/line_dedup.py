@@ -90,8 +90,8 @@ def lines(docs: DataFrame, id_col: str, text_col: str, shortest: int) -> DataFra
 
 
 def similar(a: Column, b: Column) -> Column:
-    """Whether two sets are linked; sizes that can't be are told first. In whole numbers, and with what is shared named
-    once: a compiled filter makes it as often as it is named."""
+    """Whether two sets are linked; sizes that can't be are told first. What is shared is named once, as it is made as often
+    as it is named."""
     near = F.least(F.size(a), F.size(b)) >= SIMILARITY * F.greatest(F.size(a), F.size(b))
     return near & (F.size(F.array_intersect(a, b)) * (100 + PERCENT) >= PERCENT * (F.size(a) + F.size(b)))
 
@@ -110,22 +110,22 @@ def block_links(live: DataFrame, texts: DataFrame) -> DataFrame:
     same = [F.bit_xor(f"name{i}").alias(f"name{i}") for i in (0, 1)]
     buckets = sizes.groupBy("band").agg(main, F.sum("count").alias("total"), F.sum("chars").alias("total_chars"), F.count("*").alias("n"), *same)
     several = buckets.where("n > 1 AND total > 2")
-    first = several.groupBy("total", "name0", "name1").agg(F.min(F.struct("band", "main", "total_chars")).alias("least")).select("total", "least.*")
+    opened = several.groupBy("total", "name0", "name1").agg(F.min(F.struct("band", "main", "total_chars")).alias("least")).select("total", "least.*")
 
     def parts(count: str, chars: str) -> Column:
         return F.greatest(F.least(F.expr(count), F.ceil(F.expr(chars) / BLOCK_CHARS)), F.lit(1)).cast("int")
 
-    groups = first.select(
+    groups = opened.select(
         "band", F.col("main.component").alias("main"), parts("total - main.count", "total_chars - main.chars").alias("outs"), parts("total", "total_chars").alias("ins")
     )
     members = live.select("band", "node", "component").join(groups, "band").join(texts, "node").withColumn("in_main", F.col("component") == F.col("main"))
     place, columns = F.xxhash64("node"), ["band", "i", "j", "outside", "in_main", "node", "component", "bands", "norm"]
 
-    def every(n: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0), n - 1))
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    out = members.where("NOT in_main").withColumn("outside", F.lit(True)).withColumn("i", F.pmod(place, "outs").cast("int")).withColumn("j", every(F.col("ins")))
-    inside = members.withColumn("outside", F.lit(False)).withColumn("j", F.pmod(place, "ins").cast("int")).withColumn("i", every(F.col("outs")))
+    out = members.where("NOT in_main").withColumn("outside", F.lit(True)).withColumn("i", F.pmod(place, "outs").cast("int")).withColumn("j", every("ins"))
+    inside = members.withColumn("outside", F.lit(False)).withColumn("j", F.pmod(place, "ins").cast("int")).withColumn("i", every("outs"))
     both = out.select(columns).union(inside.select(columns))
     gathered = both.groupBy("band", "i", "j").agg(F.collect_list(F.struct(*columns[3:])).alias("members"))
 
@@ -136,19 +136,25 @@ def block_links(live: DataFrame, texts: DataFrame) -> DataFrame:
     def with_set(m: Column) -> Column:
         return F.struct(*(m[f].alias(f) for f in columns[4:8]), shingles(m["norm"]).alias("set"))
 
-    # arrays of one element, so that the sides of a block are made once; only members that have a partner get a set
+    def found(s: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                s["left"],
+                lambda x: F.transform(
+                    F.filter(s["right"], lambda y: partners(x, y) & similar(x["set"], y["set"])),
+                    lambda y: F.struct(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")),
+                ),
+            )
+        )
+
+    # arrays of one element, so that the sides of a block and their sets are made once; only lines with a partner get a set
     whole = F.struct(F.filter("members", lambda m: m["outside"]).alias("left"), F.filter("members", lambda m: ~m["outside"]).alias("right"))
     block = gathered.select("band", F.explode(F.array(whole)).alias("side")).select("band", "side.*")
     outs = F.filter("left", lambda x: F.exists("right", lambda y: partners(x, y)))
     ins = F.filter("right", lambda y: F.exists("left", lambda x: partners(x, y)))
     sides = F.array(F.struct(F.transform(outs, with_set).alias("left"), F.transform(ins, with_set).alias("right")))
-    opened = block.select("band", F.explode(sides).alias("side")).select("band", "side.*").where((F.size("left") > 0) & (F.size("right") > 0))
-    # pairs are numbers of members, one after another: Spark compiles this, a lambda it would interpret
-    of_left = opened.select("band", "left", "right", every(F.size("left")).alias("x")).select("band", F.col("left")[F.col("x")].alias("x"), "right")
-    of_both = of_left.select("band", "x", F.col("right"), every(F.size("right")).alias("at")).select("band", "x", F.col("right")[F.col("at")].alias("y"))
-    x, y = F.col("x"), F.col("y")
-    pairs = of_both.where(partners(x, y) & similar(x["set"], y["set"]))
-    return pairs.select(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")).distinct()
+    pairs = block.select(F.explode(F.flatten(F.transform(sides, found))).alias("pair"))
+    return pairs.select("pair.a", "pair.b").distinct()
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = 1) -> DataFrame:
